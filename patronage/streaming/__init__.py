@@ -1,0 +1,5 @@
+"""Empty on purpose: every stage of this engine reads a complete table.
+
+There is no windowed, stateful or incremental operator to offer, so the package
+holds no streaming code.
+"""
