@@ -18,14 +18,17 @@ HIGHER_IS_BETTER = {"R": False, "F": True, "M": True, "L": True}
 
 
 def per_invoice(lines: DataFrame) -> DataFrame:
-    """Customer, date and amount of each invoice in one aggregation by invoice id."""
-    first = F.min(F.struct("invoice_date", "customer_id"))
-    return lines.groupBy("invoice_id").agg(
-        first.alias("first"), F.sum(F.col("quantity") * F.col("price")).alias("amount")
-    ).select(
-        "invoice_id", F.col("first.customer_id").alias("customer_id"),
-        F.col("first.invoice_date").alias("invoice_date"), "amount",
-    )
+    """Customer, date and amount of each invoice.
+
+    Lines fold to (invoice, customer) by hash aggregation first; choosing the customer of
+    the earliest line needs a sorted aggregate, which then sees invoices, not lines.
+    """
+    pairs = lines.groupBy("invoice_id", "customer_id").agg(
+        F.min("invoice_date").alias("invoice_date"), F.sum(F.expr("quantity * price")).alias("amount"))
+    return pairs.groupBy("invoice_id").agg(
+        F.min(F.struct("invoice_date", "customer_id")).alias("first"), F.sum("amount").alias("amount")
+    ).selectExpr(
+        "invoice_id", "first.customer_id AS customer_id", "first.invoice_date AS invoice_date", "amount")
 
 
 def per_customer(invoices: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.operators.graph import cut_manhattan, lift, reduce_cells, score_columns, silhouette, threshold_counts
+from patronage.operators.graph import lift, reduce_cells, score_columns, silhouette, threshold_counts
 from patronage.operators.scoring import BINS, LRFM, RFM
 from patronage.sources.storage import materialise
 
@@ -254,57 +254,65 @@ def robustness(cells: DataFrame, variables: list[str], k: int = 4, budgets: tupl
 
 # ---------------------------------------------------------------- lattices beyond one task
 
-def _move_costs(counts: DataFrame, bins: int) -> DataFrame:
-    """For each dimension and score, the distance sum into every cluster: q x bins rows.
+def _counts(state: DataFrame, variables: list[str], bins: int, k: int) -> np.ndarray:
+    """Customers per variable, score and cluster: q x bins x k numbers, whatever the data."""
+    table = np.zeros((len(variables), bins, k), dtype=object)
+    for r in threshold_counts(state, [], variables).collect():
+        table[variables.index(r.dimension), r.score - 1, r.cluster] += int(r.h)
+    return table
+
+
+def _cut(counts: np.ndarray) -> int:
+    """Crossing weight from those counts, in whole numbers of any size."""
+    def spread(h: np.ndarray) -> int:
+        below = h.cumsum(axis=1)
+        return int((below * (below[:, -1:] - below)).sum())
+
+    return spread(counts.sum(axis=2, keepdims=True)) - spread(counts)
 
-    On one dimension a customer's distance to a cluster depends on its score alone, so
-    the k x q x bins counts say everything about the clusters.
-    """
-    sums = counts.withColumn("at", F.explode(F.sequence(F.lit(1), F.lit(bins)))).groupBy(
-        "dimension", "at", "cluster").agg(F.sum(F.expr("CAST(h AS DOUBLE) * abs(score - at)")).alias("c"))
-    return sums.groupBy("dimension", "at").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "c"))).alias("costs"))
+
+def _move_costs(counts: np.ndarray) -> np.ndarray:
+    """Distance sum from each score into each cluster, per variable."""
+    bins = counts.shape[1]
+    gaps = np.abs(np.arange(bins)[:, None] - np.arange(bins)[None, :])
+    return np.stack([gaps @ counts[v].astype(float) for v in range(len(counts))])
 
 
 def relocate_at_scale(cells: DataFrame, variables: list[str], k: int, bins: int = BINS, rounds: int = 20,
-                      seed: int = SEED) -> tuple[DataFrame, list[float]]:
+                      seed: int = SEED) -> tuple[DataFrame, list[int]]:
     """Relocation for a lattice of any size (Manhattan weights), as rounds of DataFrame jobs.
 
-    Each round sends the k x q x bins distance sums to the cells and moves a hash-chosen
-    part of those that would gain; moving all at once can swing back and forth. A round
-    is kept only if the cut grows, otherwise the part is halved. Every kept state is
-    written to the shared folder. Returns the labelled cells and the cuts kept.
+    Weights separate by variable, so q x bins x k counts describe all clusters: each round
+    collects them in one aggregation and sends the distance sums back as literals. A
+    hash-chosen part of the cells that would gain moves; moving all at once can swing back
+    and forth. A round is kept only if the cut grows, otherwise the part is halved. Kept
+    states are written to the shared folder. Returns the labelled cells and the cuts kept.
     """
     columns = score_columns(variables)
     base = ["cell_id", "cnt", *columns]
-    state = materialise(
-        cells.select(*base, F.expr(f"CAST(pmod(xxhash64(cell_id, {seed}L), {k}L) AS INT)").alias("cluster")), "relocation")
-    cuts = [_cut_of(state, variables)]
+    start = cells.selectExpr(*base, f"CAST(pmod(xxhash64(cell_id, {seed}L), {k}L) AS INT) AS cluster")
+    state = materialise(start, "relocation")
+    counts = _counts(state, variables, bins, k)
+    cuts = [_cut(counts)]
     part = 0.5
     for number in range(rounds):
-        costs = _move_costs(threshold_counts(state, [], variables), bins)
-        priced = state
-        for v, column in zip(variables, columns):
-            table = costs.filter(F.col("dimension") == v).selectExpr(f"at AS {column}", f"costs AS cost_{column}")
-            priced = priced.join(F.broadcast(table), column, "left")
-        terms = " + ".join(f"coalesce(cost_{c}[l], 0D)" for c in columns)
-        priced = priced.withColumn("cost", F.expr(f"transform(sequence(0, {k - 1}), l -> {terms})"))
+        costs = _move_costs(counts)
+        tables = [
+            "array(" + ", ".join("array(" + ", ".join(f"{x!r}D" for x in row.tolist()) + ")" for row in table) + ")"
+            for table in costs
+        ]
+        terms = " + ".join(f"{table}[{c} - 1][l]" for table, c in zip(tables, columns))
         chosen = f"pmod(xxhash64(cell_id, {seed}L, {number}L), 1000000L) < {int(part * 1_000_000)}L"
         target = "CAST(array_position(cost, array_min(cost)) - 1 AS INT)"
         gains = f"array_min(cost) < cost[cluster] - {IMPROVEMENT}D"
-        moved = materialise(
-            priced.selectExpr(*base, f"IF({chosen} AND {gains}, {target}, cluster) AS cluster"), "relocation")
-        cut = _cut_of(moved, variables)
-        if cut > cuts[-1]:
-            state = moved
-            cuts.append(cut)
-        elif part < 1e-4:
+        moved = state.selectExpr("*", f"transform(sequence(0, {k - 1}), l -> {terms}) AS cost").selectExpr(
+            *base, f"IF({chosen} AND {gains}, {target}, cluster) AS cluster")
+        after = _counts(moved, variables, bins, k)
+        if _cut(after) > cuts[-1]:
+            state, counts = materialise(moved, "relocation"), after
+            cuts.append(_cut(after))
+        elif part < 1 / 64:
             break
         else:
             part /= 2
     return state, cuts
-
-
-def _cut_of(state: DataFrame, variables: list[str]) -> float:
-    one = state.withColumn("run", F.expr("cell_id * 0"))
-    row = cut_manhattan(one, ["run"], variables).first()
-    return float(row.cut) if row else 0.0

@@ -63,12 +63,10 @@ def dim_product(lines: DataFrame) -> DataFrame:
 
 def dim_invoice(lines: DataFrame) -> DataFrame:
     """Customer of the earliest line (lowest id on ties) and earliest date per invoice."""
-    first = F.min(F.struct("invoice_date", "customer_id"))
-    return lines.groupBy("invoice_id").agg(first.alias("first")).select(
-        "invoice_id",
-        F.col("first.customer_id").alias("customer_id"),
-        F.col("first.invoice_date").alias("invoice_date"),
-    )
+    pairs = lines.groupBy("invoice_id", "customer_id").agg(F.min("invoice_date").alias("invoice_date"))
+    return pairs.groupBy("invoice_id").agg(
+        F.min(F.struct("invoice_date", "customer_id")).alias("first")
+    ).selectExpr("invoice_id", "first.customer_id AS customer_id", "first.invoice_date AS invoice_date")
 
 
 def fact_line(lines: DataFrame) -> DataFrame:

@@ -98,6 +98,11 @@ def stripes(spark: SparkSession, d: str) -> DataFrame:
         "cluster", F.expr("(r_score + f_score + m_score) % k")), "cell-stripes")
 
 
+def _slug(spark: SparkSession, d: str) -> str:
+    """A folder name for tables of this application and this data folder."""
+    return f"{spark.sparkContext.applicationId}-{d.strip('/').replace('/', '-')}"
+
+
 def per_country(df: DataFrame) -> DataFrame:
     return df.groupBy("Country").agg(
         F.count("*").alias("n_rows"), F.sum("Quantity").alias("quantity"),
@@ -143,7 +148,7 @@ def a5_type_normalisation(spark, d):
 
 @query
 def a6_cached_raw(spark, d):
-    path = f"{shared_folder(spark)}/raw-{abs(hash(d))}-{spark.sparkContext.applicationId}"
+    path = f"{shared_folder(spark)}/raw-{_slug(spark, d)}"
     return I.rows_per_part(cached_table(spark, path, lambda: transaction_log(spark, d)))
 
 
@@ -157,7 +162,7 @@ def a7_clean_sink_scan(spark, d):
 @query
 def a8_table_sink(spark, d):
     stored = materialise(cleaned(spark, d), "clean")
-    folder = f"{shared_folder(spark)}/warehouse-{spark.sparkContext.applicationId}-{abs(hash(d))}"
+    folder = f"{shared_folder(spark)}/warehouse-{_slug(spark, d)}"
     return W.table_sizes(W.write_tables(W.build_tables(stored), folder))
 
 
@@ -827,7 +832,28 @@ def k4_local_search(spark, d):
 @query
 def k4_relocation_at_scale(spark, d):
     state, cuts = K.relocate_at_scale(G.reduce_cells(mart(spark, d), S.LRFM), S.LRFM, 4)
-    return state.withColumn("cut", F.lit(cuts[-1]))
+    return state.withColumn("cut", F.lit(float(cuts[-1])))
+
+
+def _small_lattice(spark, d):
+    """Cells of R and F in three bins: nine at most, so the optimum can be enumerated."""
+    scored = S.add_scores(S.raw_values(S.customers_of(lines(spark, d))), ["R", "F"], bins=3)
+    return materialise(G.reduce_cells(scored, ["R", "F"], 3), "small-cells")
+
+
+@query
+def k4_local_search_optimum(spark, d):
+    """The local search on the small lattice; its SQL check enumerates every partition."""
+    labels = K.solve(_small_lattice(spark, d), ["R", "F"], [2, 3, 4], bins=3)
+    return labels.groupBy("k").agg(F.first("objective").alias("best_cut"))
+
+
+@query
+def k7_objective_recomputed(spark, d):
+    """The reported objective of the small lattice beside the cut of its labels."""
+    labels = K.solve(_small_lattice(spark, d), ["R", "F"], [2, 3, 4], bins=3)
+    recomputed = G.cut_manhattan(labels, ["k"], ["R", "F"]).select("k", F.col("cut").alias("label_cut"))
+    return labels.groupBy("k").agg(F.first("objective").alias("best_cut")).join(recomputed, "k")
 
 
 @query
@@ -866,8 +892,7 @@ def k9_side_by_side(spark, d):
 
 @query
 def k10_exhaustive_cut(spark, d):
-    scored = S.add_scores(S.raw_values(S.customers_of(lines(spark, d))), ["R", "F"], bins=3)
-    return G.exhaustive_cut(G.reduce_cells(scored, ["R", "F"], 3), ["R", "F"], [2, 3, 4], 3)
+    return G.exhaustive_cut(_small_lattice(spark, d), ["R", "F"], [2, 3, 4], 3)
 
 
 @query

@@ -298,6 +298,11 @@ def oracle_sql() -> dict[str, str]:
     q["a11_structure"] = _with(
         f"SELECT count(*) AS n_rows, CAST(9 AS BIGINT) AS n_columns, {DATE.format('min(InvoiceDate)')} AS first_date, {DATE.format('max(InvoiceDate)')} AS last_date FROM tx")
 
+    kinds = [("Invoice", "string"), ("StockCode", "string"), ("Description", "string"), ("Quantity", "int"), ("InvoiceDate", "timestamp_ntz"),
+             ("Price", "decimal(12,2)"), ("CustomerID", "bigint"), ("Country", "string"), ("SourceSheet", "string")]
+    q["a11_column_types"] = " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS position, '{n}' AS column_name, '{t}' AS column_type" for i, (n, t) in enumerate(kinds))
+
     q["p1_with_customer"] = _with(PER_COUNTRY.format("tx WHERE CustomerID IS NOT NULL"))
     q["p2_positive_quantity"] = _with(PER_COUNTRY.format("tx WHERE Quantity > 0"))
     q["p3_positive_price"] = _with(PER_COUNTRY.format("tx WHERE Price > 0"))
@@ -514,6 +519,9 @@ def oracle_sql() -> dict[str, str]:
     q["k3_cut_euclidean"] = _with(
         f"SELECT CAST(k AS BIGINT) AS k, round((total - intra) / total, 6) AS cut_share FROM (SELECT k, {cut.format('euclidean')} FROM gaps GROUP BY k)")
     q["k10_exhaustive_cut"] = _with(" UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4)), _EXHAUSTIVE)
+    q["k4_local_search_optimum"] = q["k10_exhaustive_cut"]
+    q["k7_objective_recomputed"] = _with(
+        "SELECT k, best_cut, best_cut AS label_cut FROM (" + " UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4)) + ")", _EXHAUSTIVE)
     q["k12_silhouette"] = _with("SELECT CAST(k AS BIGINT) AS k, round(silhouette, 6) AS silhouette FROM curve", _silhouette("euclidean"))
     q["k13_loyalty_ranking"] = _with(
         "SELECT cluster, round(r_score, 6) AS r_score, round(f_score, 6) AS f_score, round(m_score, 6) AS m_score, round(l_score, 6) AS l_score, round(distance, 6) AS distance, rank FROM loyal", _LOYALTY)
