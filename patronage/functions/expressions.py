@@ -62,11 +62,6 @@ def line_amount(quantity: Column, price: Column) -> Column:
     return quantity * price
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """``part / whole`` in doubles; NULL where the whole is zero."""
-    return F.when(whole != 0, part.cast("double") / whole.cast("double"))
-
-
 def percent(part: Column, whole: Column, digits: int | None = None) -> Column:
     value = F.when(whole != 0, F.lit(100.0) * part.cast("double") / whole.cast("double"))
     return value if digits is None else F.round(value, digits)
@@ -104,8 +99,3 @@ def churn_band(recency: Column) -> Column:
 def share_where(condition: Column) -> Column:
     """Aggregate: share of rows that meet a condition."""
     return F.avg(F.when(condition, 1.0).otherwise(0.0))
-
-
-def cents(amount: Column) -> Column:
-    """A two-digit decimal amount as a whole number of cents."""
-    return (amount * 100).cast("bigint")

@@ -155,7 +155,7 @@ def compare_methods(cells: DataFrame, variables: list[str], k_values: list[int],
         fit, starts = FITS[method]
         fitted = _grid_fit(restart_grid(packed, k_values, starts, [seed], block=starts), method, fit, keys)
         best = best_restarts(fitted, [*keys, "method"])
-        rows = cell_labels(best, cells, [*keys, "method"], cohort)
+        rows = cell_labels(best, cells, [*keys, "method"], cohort).drop("cut")
         labelled = rows if labelled is None else labelled.unionByName(rows)
     return labelled
 

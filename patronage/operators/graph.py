@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from patronage.functions.skew import lookup
 from patronage.operators.scoring import BINS, SCORE_COLUMN
 
 CHUNK = 1024  # cells packed into one array
+BROADCAST_CELLS = 100_000  # largest lattice sent to the customers whole
 
 
 def score_columns(variables: list[str]) -> list[str]:
@@ -72,13 +74,18 @@ def edges(cells: DataFrame, variables: list[str], metric: str = "manhattan", bin
 
 # ---------------------------------------------------------------- lifting labels
 
-def lift(mart: DataFrame, labels: DataFrame, variables: list[str]) -> DataFrame:
-    """Every customer with the label of its cell.
+def lift(mart: DataFrame, labels: DataFrame, variables: list[str], bins: int = BINS) -> DataFrame:
+    """Every customer with the cluster of its cell; ``labels`` has one row per cell.
 
-    ``labels`` holds one row per cell and labelling, so its size is bounded by the
-    lattice and it goes to the customers, not the other way round.
+    A lattice of checked size goes to the customers by broadcast. A larger one is joined
+    by shuffle, with the cells that hold many customers served apart.
     """
-    return mart.join(F.broadcast(labels.drop("cnt", "cell_id")), score_columns(variables))
+    columns = score_columns(variables)
+    if bins ** len(variables) <= BROADCAST_CELLS:
+        return mart.join(F.broadcast(labels.select(*columns, "cluster")), columns)
+    total = labels.agg(F.sum("cnt")).first()[0] or 0
+    found = lookup(mart, labels.select(*columns, "cnt", "cluster"), columns, "cnt", total, "customer_id")
+    return found.filter("cluster IS NOT NULL")
 
 
 # ---------------------------------------------------------------- cut of a partition

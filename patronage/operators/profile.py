@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from patronage.functions.expressions import (
     is_cancelled, is_junk_description, is_nonproduct, letter_prefix, month_text, percent,
 )
+from patronage.functions.skew import lookup
 from patronage.operators.ranking import ROWS_PER_BUCKET, cumulative, long_form, quantiles, value_counts
 from patronage.operators.scoring import ORDINAL
 from patronage.sources.storage import materialise
@@ -323,33 +324,21 @@ def with_ranks(mart: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET,
                broadcast_values: int = BROADCAST_VALUES) -> DataFrame:
     """Append the average rank of each raw value.
 
-    Axes with few distinct values (checked) are looked up by broadcast. Otherwise the
-    values held by more than one customer in a thousand, of which there are at most a
-    thousand, are looked up by broadcast and the rest by a shuffled join in which the
-    rows already served are spread by their id.
+    Axes with few distinct values (checked) are looked up by broadcast, the others by a
+    join that serves frequent values apart.
     """
     ranks, n = average_ranks(mart, rows_per_bucket)
     ranks = materialise(ranks, "ranks")
     distinct = {r.axis: r.n for r in ranks.groupBy("axis").agg(F.count("*").alias("n")).collect()}
     out = mart
     for axis, ordinal in RAW_AXES.items():
-        table = ranks.filter(F.col("axis") == axis)
-        key, rank = f"{axis}_key", f"{axis}_rank"
+        key = f"{axis}_key"
+        table = ranks.filter(F.col("axis") == axis).selectExpr(f"ordinal AS {key}", "weight", f"rank AS {axis}_rank")
         keyed = out.withColumn(key, F.expr(f"CAST({ordinal} AS BIGINT)"))
         if distinct.get(axis, 0) <= broadcast_values:
-            small = table.selectExpr(f"ordinal AS {key}", f"rank AS {rank}")
-            out = keyed.join(F.broadcast(small), key, "left").drop(key)
-            continue
-        limit = n // 1000
-        heavy = table.filter(F.col("weight") > limit).selectExpr(f"ordinal AS {key}", "rank AS heavy_rank")
-        light = table.filter(F.col("weight") <= limit).selectExpr(f"ordinal AS {key}", "0L AS spread", "rank AS light_rank")
-        out = (
-            keyed.join(F.broadcast(heavy), key, "left")
-            .withColumn("spread", F.expr("IF(heavy_rank IS NULL, 0L, 1L + pmod(customer_id, 4096L))"))
-            .join(light, [key, "spread"], "left")
-            .withColumn(rank, F.coalesce("heavy_rank", "light_rank"))
-            .drop(key, "spread", "heavy_rank", "light_rank")
-        )
+            out = keyed.join(F.broadcast(table.drop("weight")), key, "left").drop(key)
+        else:
+            out = lookup(keyed, table, [key], "weight", n, "customer_id").drop(key)
     return out
 
 

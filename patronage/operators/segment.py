@@ -181,9 +181,12 @@ def best_restarts(runs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def cell_labels(best: DataFrame, cells: DataFrame, keys: list[str], cohort: list[str] | None = None) -> DataFrame:
-    """Label rows per cell: the arrays of the best restart taken apart again."""
-    flat = best.select(*keys, F.explode(F.arrays_zip("cell_ids", "clusters")).alias("z")).select(
-        *keys, F.col("z.cell_ids").alias("cell_id"), F.col("z.clusters").alias("cluster"))
+    """Label rows per cell: the arrays of the best restart taken apart again.
+
+    The grid is referenced once only, so it runs once.
+    """
+    flat = best.select(*keys, "cut", F.explode(F.arrays_zip("cell_ids", "clusters")).alias("z")).select(
+        *keys, "cut", F.col("z.cell_ids").alias("cell_id"), F.col("z.clusters").alias("cluster"))
     return flat.join(cells, [*(cohort or []), "cell_id"])
 
 
@@ -204,16 +207,15 @@ def solve(cells: DataFrame, variables: list[str], k_values: list[int], restarts:
     keys = [*(cohort or []), "variables", "k"]
     grid = restart_grid(packed_cells(cells, variables, cohort), k_values, restarts, [seed])
     best = best_restarts(run_restarts(grid, metric, cohort=cohort), keys)
-    labelled = cell_labels(best.withColumnRenamed("cut", "objective"), cells, keys, cohort)
-    objective = best.select(*keys, F.col("cut").alias("objective"), F.lit(None).cast("double").alias("gap"))
-    return labelled.join(F.broadcast(objective), keys) if not cohort else labelled.join(objective, keys)
+    return cell_labels(best, cells, keys, cohort).withColumnRenamed("cut", "objective").withColumn(
+        "gap", F.lit(None).cast("double"))
 
 
 def segment_customers(mart: DataFrame, variables: list[str] = LRFM, k: int = 4, **options) -> DataFrame:
     """Customers with the cluster of their cell."""
     cells = materialise(reduce_cells(mart, variables), "cells")
     labels = solve(cells, variables, [k], **options)
-    return lift(mart, labels.select(*score_columns(variables), "cluster"), variables)
+    return lift(mart, labels, variables)
 
 
 def sweep(mart: DataFrame, variable_sets: list[list[str]] | None = None, k_values: list[int] | None = None,

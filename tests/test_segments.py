@@ -87,6 +87,16 @@ def test_labels_of_customers(stored_mart):
     assert {r.cluster for r in rows} == {0, 1, 2, 3}
 
 
+def test_lifting_by_shuffle_equals_broadcast(stored_mart, cells, monkeypatch):
+    labels = cells.withColumn("cluster", F.expr("cell_id % 4"))
+    pick = ["customer_id", "cluster"]
+    whole = sorted(map(tuple, G.lift(stored_mart, labels, RFM).select(pick).collect()))
+    monkeypatch.setattr(G, "BROADCAST_CELLS", 0)
+    assert sorted(map(tuple, G.lift(stored_mart, labels, RFM).select(pick).collect())) == whole
+    hot = labels.withColumn("cnt", F.expr("IF(cell_id % 2 = 0, cnt * 1000, 0)"))
+    assert sorted(map(tuple, G.lift(stored_mart, hot, RFM).select(pick).collect())) == whole
+
+
 def test_objective_is_the_cut_and_grows_with_restarts(cells):
     cuts = []
     for restarts in (1, 10, 60):
