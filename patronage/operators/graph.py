@@ -83,8 +83,7 @@ def lift(mart: DataFrame, labels: DataFrame, variables: list[str], bins: int = B
     columns = score_columns(variables)
     if bins ** len(variables) <= BROADCAST_CELLS:
         return mart.join(F.broadcast(labels.select(*columns, "cluster")), columns)
-    total = labels.agg(F.sum("cnt")).first()[0] or 0
-    found = lookup(mart, labels.select(*columns, "cnt", "cluster"), columns, "cnt", total, "customer_id")
+    found = lookup(mart, labels.select(*columns, "cnt", "cluster"), columns, "cnt", "customer_id")
     return found.filter("cluster IS NOT NULL")
 
 

@@ -338,7 +338,7 @@ def with_ranks(mart: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET,
         if distinct.get(axis, 0) <= broadcast_values:
             out = keyed.join(F.broadcast(table.drop("weight")), key, "left").drop(key)
         else:
-            out = lookup(keyed, table, [key], "weight", n, "customer_id").drop(key)
+            out = lookup(keyed, table, [key], "weight", "customer_id", n).drop(key)
     return out
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronage.functions.skew import lookup
 from patronage.sources.storage import save_table
 
 # clean column -> warehouse column
@@ -114,11 +115,16 @@ def invoice_totals(fact: DataFrame, invoice: DataFrame) -> DataFrame:
 
 
 def lines_with_invoice(fact: DataFrame, invoice: DataFrame) -> DataFrame:
-    """Inner join at line grain, with the computed amount."""
-    return fact.join(invoice, "invoice_id").select(
-        "customer_id", "invoice_id", "invoice_date", "stock_code",
-        (F.col("quantity") * F.col("price")).alias("amount"),
-    )
+    """Inner join at line grain, with the computed amount.
+
+    The number of lines per invoice decides how an invoice is served, so one that holds a
+    large part of all lines does not end in one task.
+    """
+    sizes = fact.groupBy("invoice_id").agg(F.count("*").alias("n_lines"))
+    sized = invoice.join(sizes, "invoice_id").select("invoice_id", "customer_id", "invoice_date", "n_lines")
+    found = lookup(fact, sized, ["invoice_id"], "n_lines", "line_id").filter("customer_id IS NOT NULL")
+    return found.selectExpr(
+        "customer_id", "invoice_id", "invoice_date", "stock_code", "quantity * price AS amount")
 
 
 def _orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:

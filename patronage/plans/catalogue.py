@@ -848,6 +848,14 @@ def k4_local_search_optimum(spark, d):
     return labels.groupBy("k").agg(F.first("objective").alias("best_cut"))
 
 
+@query
+def k6_multi_start_optimum(spark, d):
+    """Two clusters on sixteen cells: 32,768 partitions for the SQL check to try."""
+    scored = S.add_scores(S.raw_values(S.customers_of(lines(spark, d))), ["R", "F"], bins=4)
+    cells = materialise(G.reduce_cells(scored, ["R", "F"], 4), "sixteen-cells")
+    return K.solve(cells, ["R", "F"], [2], bins=4).groupBy("k").agg(F.first("objective").alias("best_cut"))
+
+
 @query
 def k7_objective_recomputed(spark, d):
     """The reported objective of the small lattice beside the cut of its labels."""

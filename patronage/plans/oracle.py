@@ -252,18 +252,22 @@ def _histogram(value: str) -> str:
       SELECT x, min(x) OVER () AS lo, max(x) OVER () AS hi FROM (SELECT {value} AS x FROM mart))) GROUP BY bin"""
 
 
-_EXHAUSTIVE = """
-scored AS (SELECT ntile(3) OVER (ORDER BY recency DESC, customer_id) AS r, ntile(3) OVER (ORDER BY frequency, customer_id) AS f FROM agg),
-small AS (SELECT r, f, count(*) AS cnt, (r - 1) * 3 + f - 1 AS v FROM scored GROUP BY r, f),
+def _lattice(bins: int) -> str:
+    return f"""
+scored AS (SELECT ntile({bins}) OVER (ORDER BY recency DESC, customer_id) AS r, ntile({bins}) OVER (ORDER BY frequency, customer_id) AS f FROM agg),
+small AS (SELECT r, f, count(*) AS cnt, (r - 1) * {bins} + f - 1 AS v FROM scored GROUP BY r, f),
 link AS (SELECT a.v AS i, b.v AS j, a.cnt * b.cnt * (abs(a.r - b.r) + abs(a.f - b.f)) AS w FROM small a JOIN small b ON a.v < b.v)
 """
 
 
-def _exhaustive(k: int) -> str:
+_EXHAUSTIVE = _lattice(3)
+
+
+def _exhaustive(k: int, vertices: int = 9) -> str:
     return f"""SELECT CAST({k} AS BIGINT) AS k, CAST(max(cut) AS DOUBLE) AS best_cut FROM (
       SELECT id, sum(CASE WHEN (CASE WHEN i = 0 THEN 0 ELSE (id // CAST(power({k}, i - 1) AS BIGINT)) % {k} END)
                              <> (id // CAST(power({k}, j - 1) AS BIGINT)) % {k} THEN w ELSE 0 END) AS cut
-      FROM generate_series(0, {k ** 8 - 1}) AS g(id), link GROUP BY id)"""
+      FROM generate_series(0, {k ** (vertices - 1) - 1}) AS g(id), link GROUP BY id)"""
 
 
 def _with(select: str, *stages: str) -> str:
@@ -520,6 +524,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT CAST(k AS BIGINT) AS k, round((total - intra) / total, 6) AS cut_share FROM (SELECT k, {cut.format('euclidean')} FROM gaps GROUP BY k)")
     q["k10_exhaustive_cut"] = _with(" UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4)), _EXHAUSTIVE)
     q["k4_local_search_optimum"] = q["k10_exhaustive_cut"]
+    q["k6_multi_start_optimum"] = _with(_exhaustive(2, 16), _lattice(4))
     q["k7_objective_recomputed"] = _with(
         "SELECT k, best_cut, best_cut AS label_cut FROM (" + " UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4)) + ")", _EXHAUSTIVE)
     q["k12_silhouette"] = _with("SELECT CAST(k AS BIGINT) AS k, round(silhouette, 6) AS silhouette FROM curve", _silhouette("euclidean"))
