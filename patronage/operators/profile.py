@@ -365,17 +365,19 @@ def match_cancellations(log: DataFrame) -> DataFrame:
     Sales and cancellations fold to distinct moments per customer, product and day. The
     latest sale before a day comes from the day totals, the latest within a day from a
     window over that day, so no pair of lines is formed and one busy customer-product
-    is spread over its days.
+    is spread over its days. Only customer-products with a cancellation get that far.
     """
+    key = ["CustomerID", "StockCode"]
+    known = log.filter("CustomerID IS NOT NULL AND Quantity <> 0").withColumn(
+        "is_sale", F.expr("NOT startswith(Invoice, 'C') AND Quantity > 0"))
     moments = (
-        log.filter("CustomerID IS NOT NULL AND Quantity <> 0")
-        .withColumn("is_sale", F.expr("NOT startswith(Invoice, 'C') AND Quantity > 0"))
-        .filter("is_sale OR startswith(Invoice, 'C')")
+        known.filter("is_sale OR startswith(Invoice, 'C')")
         .groupBy("CustomerID", "StockCode", "InvoiceDate")
         .agg(F.expr("count_if(is_sale)").alias("n_sales"), F.expr("count_if(NOT is_sale)").alias("n_cancelled"))
         .withColumn("day", F.to_date("InvoiceDate"))
     )
-    key = ["CustomerID", "StockCode"]
+    with_cancellation = known.filter("startswith(Invoice, 'C')").select(*key).distinct()
+    moments = materialise(moments.join(with_cancellation, key, "left_semi"), "moments")
     sold_at = F.when(F.col("n_sales") > 0, F.col("InvoiceDate"))
     days = moments.groupBy(*key, "day").agg(F.max(sold_at).alias("last_sale"))
     before_day = days.withColumn("earlier_sale", F.max("last_sale").over(

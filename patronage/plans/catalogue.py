@@ -286,7 +286,7 @@ def j1_lines_with_invoice(spark, d):
 
 @query
 def j2_invoice_totals(spark, d):
-    t = W.build_tables(materialise(cleaned(spark, d), "clean"))
+    t = W.build_tables(cleaned(spark, d))
     return W.invoice_totals(t["fact_line"], t["dim_invoice"])
 
 

@@ -44,13 +44,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order line, shaped like a two-part retail export."""
+    """One row per order line, shaped like a two-part retail export.
+
+    Buyers join to orders before lines do, so lines are moved once, by order. The merge
+    hint keeps the planner from broadcasting a small line file, its largest table.
+    """
     base = {name: read_base(spark, sf_dir, name) for name in BASE_SCHEMAS}
     buyers = base["customer"].join(base["nation"], F.expr("c_nationkey = n_nationkey"))
+    sales = base["orders"].join(buyers, F.expr("o_custkey = c_custkey")).select(
+        "o_orderkey", "o_custkey", "o_orderdate", "n_name")
     joined = (
         spread(base["lineitem"], "l_orderkey")
-        .join(base["orders"], F.expr("l_orderkey = o_orderkey"))
-        .join(buyers, F.expr("o_custkey = c_custkey"))
+        .join(sales.hint("merge"), F.expr("l_orderkey = o_orderkey"))
         .join(base["part"], F.expr("l_partkey = p_partkey"))
     )
     cancelled = "l_returnflag = 'R' AND o_orderkey % 10 = 0"
