@@ -22,8 +22,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 500_000
+ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 4096
+ACCURACY = 10_000  # of approximate percentiles; their error is below 1 / ACCURACY
+MARGIN = 3 / ACCURACY
 
 
 @dataclass(frozen=True)
@@ -65,8 +67,56 @@ def value_counts(df: DataFrame, axes: dict[str, str], group: str | None = None)
     )
 
 
-def bucketed(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> Ordered:
-    """Assign each long row a bucket such that buckets are ordered by (ordinal, tie)."""
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _of_group(axis: str, grp: str) -> str:
+    return f"axis = {_quoted(axis)} AND grp = {_quoted(grp)}"
+
+
+def _evenly(keyed: DataFrame, buckets: int) -> tuple[DataFrame, str]:
+    """Buckets of about equal size over each axis: a search among its split points."""
+    shares = [i / buckets for i in range(1, buckets)]
+    splits = keyed.groupBy("axis").agg(
+        F.percentile_approx("key", shares, max(10_000, 20 * buckets)).alias("points")
+    ).collect()
+    choices = []
+    for number, row in enumerate(splits):
+        points = [-float("inf"), *sorted(set(row.points)), float("inf")]
+        keyed = Bucketizer(splits=points, inputCol="key", outputCol=f"_bucket_{number}").transform(keyed)
+        choices.append(f"WHEN axis = {_quoted(row.axis)} THEN CAST(_bucket_{number} AS INT)")
+    return keyed, f"CASE {' '.join(choices)} END"
+
+
+def _around(keyed: DataFrame, ranks: dict[tuple[str, str], list[int]],
+            totals: dict[tuple[str, str], int]) -> tuple[DataFrame, str]:
+    """A thin bucket around each wanted rank and wide ones between, which are only counted.
+
+    Should a rank fall outside its thin bucket, the wide one that holds it is sorted.
+    """
+    own = {
+        key: sorted({min(1.0, max(0.0, rank / totals[key] + side)) for rank in wanted for side in (-MARGIN, MARGIN)})
+        for key, wanted in ranks.items()
+    }
+    shares = sorted({share for values in own.values() for share in values})
+    rows = keyed.groupBy("axis", "grp").agg(F.percentile_approx("key", shares, ACCURACY).alias("points")).collect()
+    choices = []
+    for row in rows:
+        points = sorted({row.points[shares.index(share)] for share in own[row.axis, row.grp]})
+        steps = " + ".join(["0", *[f"IF(key >= {point!r}D, 1, 0)" for point in points]])
+        choices.append(f"WHEN {_of_group(row.axis, row.grp)} THEN {steps}")
+    return keyed, f"CASE {' '.join(choices)} END"
+
+
+def bucketed(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET,
+             wanted: Callable[[str, int], Iterable[int]] | None = None) -> Ordered:
+    """Assign each long row a bucket such that buckets are ordered by (ordinal, tie).
+
+    If ranks are wanted and every row weighs one, the buckets lie around those ranks,
+    otherwise they are of about equal size.
+    """
     stats = rows.groupBy("axis", "grp").agg(
         F.sum("weight").alias("total"), F.count("*").alias("n"),
         F.min("tie").alias("low"), F.max("tie").alias("high"),
@@ -81,19 +131,16 @@ def bucketed(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> Ordered
 
     low, high = min(r.low for r in stats), max(r.high for r in stats)
     span = float(high - low + 1)
-    keyed = rows.selectExpr("*", f"CAST(ordinal AS DOUBLE) + CAST(tie - {low}L AS DOUBLE) / {span!r}D AS key")
-    shares = [i / buckets for i in range(1, buckets)]
-    splits = keyed.groupBy("axis").agg(
-        F.percentile_approx("key", shares, max(10_000, 20 * buckets)).alias("points")
-    ).collect()
-
-    choices = []
-    for number, row in enumerate(splits):
-        points = [-float("inf"), *sorted(set(row.points)), float("inf")]
-        keyed = Bucketizer(splits=points, inputCol="key", outputCol=f"_bucket_{number}").transform(keyed)
-        choices.append(f"WHEN axis = '{row.axis}' THEN CAST(_bucket_{number} AS INT)")
-    keyed = keyed.selectExpr(*rows.columns, f"CASE {' '.join(choices)} END AS bucket")
-    return Ordered(keyed, totals, buckets)
+    # exploding a one-element array computes a column once; a plain projection would be
+    # copied into every comparison below and outgrow the compiled code
+    key = f"CAST(ordinal AS DOUBLE) + CAST(tie - {low}L AS DOUBLE) / {span!r}D"
+    keyed = rows.selectExpr("*", f"explode(array({key})) AS key")
+    if wanted is not None and all(r.total == r.n for r in stats):
+        ranks = {key: sorted(set(wanted(key[0], total))) for key, total in totals.items()}
+        keyed, bucket = _around(keyed, ranks, totals)
+    else:
+        keyed, bucket = _evenly(keyed, buckets)
+    return Ordered(keyed.selectExpr(*rows.columns, f"explode(array({bucket})) AS bucket"), totals, buckets)
 
 
 def _by_order(columns: list[str]) -> Window:
@@ -101,8 +148,7 @@ def _by_order(columns: list[str]) -> Window:
 
 
 def _in_bucket(axis: str, grp: str, bucket: int) -> str:
-    quoted = grp.replace("\\", "\\\\").replace("'", "\\'")
-    return f"(axis = '{axis}' AND grp = '{quoted}' AND bucket = {bucket})"
+    return f"({_of_group(axis, grp)} AND bucket = {bucket})"
 
 
 def order_statistics(
@@ -115,7 +161,7 @@ def order_statistics(
     Only the buckets that hold a wanted rank are sorted. The answer is as large as the
     list of ranks; the total weight of each axis and group comes with it.
     """
-    ordered = bucketed(rows, rows_per_bucket)
+    ordered = bucketed(rows, rows_per_bucket, wanted)
     targets: list[tuple[str, str, int, int, int]] = []
     if ordered.buckets == 1:
         sizes = {(axis, grp): [(0, total)] for (axis, grp), total in ordered.totals.items()}
@@ -138,7 +184,12 @@ def order_statistics(
     local_ranks: dict[tuple[str, str, int], list[tuple[int, int]]] = {}
     for axis, grp, bucket, rank, local in targets:
         local_ranks.setdefault((axis, grp, bucket), []).append((rank, local))
-    candidates = ordered.rows.filter(" OR ".join(_in_bucket(*key) for key in local_ranks))
+    # one membership test: the bucket's own expression is then evaluated once per row
+    chosen: dict[tuple[str, str], list[str]] = {}
+    for axis, grp, bucket in local_ranks:
+        chosen.setdefault((axis, grp), []).append(str(bucket))
+    lists = " ".join(f"WHEN {_of_group(*key)} THEN array({', '.join(buckets)})" for key, buckets in chosen.items())
+    candidates = ordered.rows.filter(f"array_contains(CASE {lists} END, bucket)")
     upto = F.sum("weight").over(
         _by_order(["axis", "grp", "bucket"]).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     hits = candidates.withColumn("upto", upto).filter(" OR ".join(
