@@ -41,8 +41,6 @@ BLOCK_TOKENS = 4_000_000
 PIVOT_ROUNDS = 4
 FLUSH = 2_000_000
 
-DEALT = "to int, of int, n array<bigint>, key binary, count binary, token binary, doc binary"
-
 
 # ---------------------------------------------------------------- shingles out to their owners, and back
 
@@ -107,8 +105,8 @@ def _deal(shards: int, k: int):
     return run
 
 
-def _shared(shards: int):
-    """Of the shingles of one shard: (set, shingle, number of sets) of those in two sets or more, by shard of the set."""
+def _shared(homes: int):
+    """Of the shingles of one shard: (set, shingle, number of sets) of those in two sets or more, by home of the set."""
     schema = pa.schema([("to", pa.int32()), ("key", pa.binary()), ("count", pa.binary()), ("token", pa.binary()), ("doc", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
@@ -127,10 +125,10 @@ def _shared(shards: int):
         count = np.repeat(sets, sets)
         keep = count > 1
         key, token, count = key[keep], token[keep], count[keep]
-        to = (mix(key.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+        to = (mix(key.astype(np.uint64)) % np.uint64(homes)).astype(np.int64)
         order = np.argsort(to, kind="stable")
         key, token, count, to = key[order], token[order], count[order], to[order]
-        cut = np.searchsorted(to, np.arange(shards + 1))
+        cut = np.searchsorted(to, np.arange(homes + 1))
         for s in np.flatnonzero(np.diff(cut)):
             a, b = cut[s], cut[s + 1]
             rows.append((int(s), blob(key[a:b], np.int64), blob(np.minimum(count[a:b], 2**31 - 1), np.int32), blob(token[a:b]), None))
@@ -140,7 +138,7 @@ def _shared(shards: int):
 
 
 def _gather(table: pa.Table) -> pa.Table:
-    """One row for each set of this shard: its shared shingles in order, and in how many sets each occurs."""
+    """One row for each set of this home: its shared shingles in order, and in how many sets each occurs."""
     key = np.concatenate([unblob(v, np.int64) for v in table.column("key").to_pylist()])
     token = np.concatenate([unblob(v) for v in table.column("token").to_pylist()])
     count = np.concatenate([unblob(v, np.int32) for v in table.column("count").to_pylist()])
@@ -417,10 +415,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: Fraction = THRESHOLD
     64-bit signatures: two different sets among a hundred million share one with a chance below 1 in 3,000.
     """
     spark = docs.sparkSession
-    shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards, homes = 2 * partitions, partitions // 2 + 1  # every shard answers every home, in packed rows
     packed = "to int, key binary, count binary, token binary, doc binary"
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_deal(shards, k), packed)
-    back = materialise(dealt.groupBy("to").applyInArrow(_shared(shards), packed), "shared")
+    back = materialise(dealt.groupBy("to").applyInArrow(_shared(homes), packed), "shared")
 
     def infos(batches):
         for batch in batches:
@@ -432,9 +431,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: Fraction = THRESHOLD
 
     rows = back.filter("doc IS NOT NULL").select("doc").mapInArrow(infos, "doc_id long, set long, n long")
     shared = back.filter("doc IS NULL").groupBy("to").applyInArrow(_gather, "set long, token binary, count binary")
-    sizes = rows.filter("set IS NOT NULL").groupBy("set").agg(F.first("n").alias("n"))
+    sets = materialise(rows.filter("set IS NOT NULL").groupBy("set").agg(F.first("n").alias("n"), F.min("doc_id").alias("least")), "sets")
     least = f"({threshold.numerator} * n + {threshold.denominator - 1}) div {threshold.denominator}"
-    live = materialise(shared.join(sizes, "set").filter(f"octet_length(token) div 8 >= {least}"), "live")
+    live = materialise(shared.join(sets.select("set", "n"), "set").filter(f"octet_length(token) div 8 >= {least}"), "live")
 
     def prefix(batches):
         for batch in batches:
@@ -463,9 +462,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: Fraction = THRESHOLD
             links = links.union(more)
         links = components(links).filter("node <> root").selectExpr("node AS a", "root AS b")
     label = materialise(links, "links").selectExpr("a AS set", "b AS root")
-    named = rows.join(label, "set", "left").selectExpr("doc_id", "n", "set", "coalesce(root, set) AS label")
-    ids = named.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
-    return named.join(ids, "label", "left").selectExpr("doc_id", "n AS n_shingles", "CASE WHEN label IS NULL THEN doc_id ELSE least END AS component_id")
+    rooted = sets.join(label, "set", "left").selectExpr("set", "least", "coalesce(root, set) AS root")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    named = rooted.join(ids, "root").select("set", "component")
+    return rows.join(named, "set", "left").selectExpr("doc_id", "n AS n_shingles", "CASE WHEN set IS NULL THEN doc_id ELSE component END AS component_id")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, threshold: Fraction = THRESHOLD) -> DataFrame:
