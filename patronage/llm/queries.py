@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from patronage.llm import jaccard
+from patronage.llm import bitpack, bpecount, jaccard, packing, passages, pieces, secretscan, tiling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+WORD_VOCABULARY, END_ID = 49_408, 1
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def query(function):
     QUERIES[function.__name__] = function
@@ -24,3 +29,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op2_ngram_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secretscan.secrets(docs, secretscan.train(secretscan.sample(docs)))
+
+
+@query
+def op4_sentencepiece(spark, sf_dir):
+    return pieces.encoded(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+@query
+def op5_packed_ids(spark, sf_dir):
+    return bitpack.read(bitpack.write(table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID, WORD_VOCABULARY))
+
+
+@query
+def op6_vector_packing(spark, sf_dir):
+    return packing.assign(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_token_counts(spark, sf_dir):
+    return bpecount.token_counts(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+@query
+def op8_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return passages.scores(docs, passages.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_decontamination(spark, sf_dir):
+    return tiling.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

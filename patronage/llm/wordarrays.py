@@ -76,10 +76,10 @@ def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a column of texts: ``start``, ``end`` (bytes), ``hash``, ``first`` (of each text, one more at the end)."""
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    def __init__(self, texts: pa.Array, lower: bool = True, gaps: np.ndarray = SPACE):
         data, offsets = buffer(texts)
         n = len(data)
-        gap = SPACE[data]
+        gap = gaps[data]
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
         before = np.ones(n, bool)
