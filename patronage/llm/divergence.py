@@ -31,7 +31,7 @@ CLASSES = ("lower", "upper", "digit", "space", "symbol", "point", "other")
 
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _DIGIT = "0123456789"
-_SPACE = "\\t\\n\\u000b\\f\\r "
+_SPACE = "\\t\\n\\u000b\\u000c\\r "
 _SYMBOL = "#*$%&|<>"
 _POINT = ".,;:!?()[]{}/@^_`~+=-\\'\"\\\\"
 
@@ -74,8 +74,13 @@ def counts(docs: DataFrame) -> DataFrame:
         "array(n_all - n_rest, n_upper, n_digit, n_space, n_symbols, n_point, n_rest - n_upper - n_digit - n_space - n_symbols - n_point) AS chars", "common")
 
 
+def language_references(docs: DataFrame) -> DataFrame:
+    """References from all of ``docs`` (doc_id, text, lang), to judge other documents by."""
+    return references(materialise(counts(docs), "counts"))
+
+
 def references(counted: DataFrame, languages=tuple(COMMON)) -> DataFrame:
-    """(lang, ref_chars, ref_common): sums over all documents of a language that pass the base rules."""
+    """(lang, ref_chars, ref_common): sums over all documents of a language that pass the base rules, from stored counts."""
     passed = counted.filter(F.col("lang").isin(*languages) & ~F.col("base_failed"))
     sums = passed.groupBy("lang").agg(*[F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(len(CLASSES))],
                                       *[F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(len(WORDS))])

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from patronage.llm import bitpack, bpecount, chatformat, divergence, jaccard, packing, passages, pieces, secretscan, tiling
+from patronage.llm.oracle import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORD_VOCABULARY, END_ID = 49_408, 1
@@ -77,7 +77,7 @@ def pipeline(spark, sf_dir):
 
 @query
 def op1_distribution_divergence(spark, sf_dir):
-    return divergence.judged(table(spark, sf_dir, "documents"))
+    return divergence.judged(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
 @query
