@@ -31,6 +31,8 @@ HEAD = "<4sB3xQQII"
 HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK = 4096
 CHUNK = 4 << 20
+#: A sign that stands between words that are encoded in one line.
+JOINER = "\x01"
 #: Ids in a file, about; a file of one very long document may hold more.
 FILE_IDS = 4_000_000
 
@@ -116,7 +118,9 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(content.value)
-        lookup = units.Lookup(lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
+        ids_of = lambda lines: [e.ids for e in tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        mark = ids_of([JOINER])[0]
+        lookup = units.Lookup(units.joined(ids_of, f" {JOINER} ", mark[0] if len(mark) == 1 else None))
         for rows in slices(batches, CHUNK):
             if rows.column("doc_id").null_count:
                 raise ValueError("a document without doc_id has no place in the order")

@@ -163,7 +163,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT) -> Da
 
     def run(batches):
         merger = Merger(content.value)
-        lookup = units.Lookup(lambda words: [[n] for n in merger.counts(words)])
+        lookup = units.Lookup(lambda words: (merger.counts(words), np.ones(len(words), np.int64)))
         for part in slices(batches, CHUNK):
             texts = pc.fill_null(part.column("text"), "")
             spans = units.words(texts)

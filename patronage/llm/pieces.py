@@ -23,6 +23,7 @@ from patronage.llm.wordarrays import ranges, slices
 
 MARK = "▁"
 THREADS = 2
+JOINER = "\x01"
 CHUNK = 4 << 20
 # Field numbers and enums of the model's protobuf.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -133,17 +134,24 @@ class PieceModel:
         """Ids of whole texts, in one multithreaded batch; an empty text has none."""
         return [e.ids if t else [] for e, t in zip(self.tokenizer.encode_batch(texts, add_special_tokens=False), texts)]
 
-    def encode_units(self, words: list[str]) -> list[list[int]]:
-        """Ids of words that begin with the space of their prefix, each verified against the sentencepiece library.
+    def encode_lines(self, lines: list[str]) -> list[list[int]]:
+        """Ids of lines that begin with the space of their prefix, each verified against the sentencepiece library.
 
-        A rebuilt order of joins may differ from the library's where two ways to make one piece overlap; a word for
+        A rebuilt order of joins may differ from the library's where two ways to make one piece overlap; a line for
         which it does is counted in ``differing`` and takes the library's ids.
         """
-        bare = [w[1:] for w in words]
-        mine = self.encode(bare)
-        theirs = self.reference.encode(bare, num_threads=THREADS)
+        bare = [x[1:] for x in lines]
+        mine = [e.ids if t else self.lone_space for e, t in zip(self.tokenizer.encode_batch_fast(bare, add_special_tokens=False), bare)]
+        theirs = [x or self.lone_space for x in self.reference.encode(bare, num_threads=THREADS)]
         self.differing += sum(a != b for a, b in zip(mine, theirs))
-        return [(a if a == b else b) or self.lone_space for a, b in zip(mine, theirs)]
+        return [a if a == b else b for a, b in zip(mine, theirs)]
+
+    def encoder(self):
+        """For ``units.Lookup``: words in lines, with a sign between them that is in no longer piece, so nothing joins across."""
+        alone = not any(JOINER in p and p != JOINER for p in self.pieces)
+        own = JOINER if JOINER in self.pieces else f"<0x{ord(JOINER):02X}>"
+        mark = self.pieces.index(own) if alone and own in self.pieces else None
+        return units.joined(self.encode_lines, JOINER, mark, 64)
 
     @property
     def lone_space(self) -> list[int]:
@@ -177,7 +185,7 @@ class Codec:
 
     def __init__(self, raw: bytes):
         self.model = shared_model(raw)
-        self.lookup = units.Lookup(self.model.encode_units)
+        self.lookup = units.Lookup(self.model.encoder())
         self.bytes, self.begin = self.model.table()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

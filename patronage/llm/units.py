@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +10,9 @@ import pyarrow as pa
 from patronage.llm.wordarrays import BASE, BASE_INVERSE, BYTE, BYTE_LOWER, SPACE, buffer, mix, powers, ranges
 
 #: Distinct units that a task remembers; beyond it begins anew, which costs time only.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
+#: Units that are encoded at once.
+BATCH = 16_384
 
 _HIGH = np.zeros(256, bool)
 _HIGH[128:] = True
@@ -27,8 +29,18 @@ class Spans:
     def __init__(self, data, start, end, name, first):
         self.data, self.start, self.end, self.name, self.first = data, start, end, name, first
 
-    def text(self, i: int) -> str:
-        return self.data[self.start[i]:self.end[i]].tobytes().decode("utf-8")
+    def texts(self, at: np.ndarray) -> list[str]:
+        """The texts of some units, decoded together."""
+        if not len(at):
+            return []
+        sizes = self.end[at] - self.start[at]
+        ends = np.cumsum(sizes + 1)
+        out = np.zeros(ends[-1], np.uint8)
+        out[ranges(ends - sizes - 1, sizes)] = self.data[ranges(self.start[at], sizes)]
+        found = out[:-1].tobytes().decode("utf-8").split("\0")
+        if len(found) != len(at):  # a unit holds the separator
+            return [self.data[self.start[i]:self.end[i]].tobytes().decode("utf-8") for i in at]
+        return found
 
 
 def _names(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool) -> np.ndarray:
@@ -83,10 +95,31 @@ def marked(texts: pa.Array) -> Spans:
     return Spans(data, start, end, _names(data, start, end, False), np.searchsorted(start, offsets))
 
 
+def joined(encode: Callable[[list[str]], list[list[int]]], joiner: str, mark: int | None, per_line: int = 256):
+    """An encoder of many units at once: units are joined to lines by a string that always gives the one id ``mark``.
+
+    Returns all ids in order and the number of each unit. Units with that id of their own go alone.
+    """
+    def run(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if mark is not None:
+            lines = [joiner.join(texts[i:i + per_line]) for i in range(0, len(texts), per_line)]
+            ids = np.concatenate([np.append(np.asarray(x, np.uint32), np.uint32(mark)) for x in encode(lines)])
+            at = np.flatnonzero(ids == mark)
+            if len(at) == len(texts):
+                return ids[ids != mark], np.diff(np.concatenate([[-1], at])) - 1
+            if len(texts) > per_line:
+                parts = [run(texts[i:i + per_line]) for i in range(0, len(texts), per_line)]
+                return np.concatenate([a for a, _ in parts]), np.concatenate([b for _, b in parts])
+        each = [encode([t])[0] for t in texts]
+        return np.array([x for ids in each for x in ids], np.uint32), np.array([len(x) for x in each], np.int64)
+
+    return run
+
+
 class Lookup:
     """Ids of units: encodes those it has not met, and remembers them up to a limit."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], limit: int = REMEMBERED):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = REMEMBERED):
         self.encode, self.limit = encode, limit
         self.forget()
 
@@ -102,12 +135,16 @@ class Lookup:
         name, at, inverse = np.unique(spans.name, return_index=True, return_inverse=True)
         row = np.fromiter((self.place.get(x, -1) for x in name.tolist()), np.int64, len(name))
         new = np.flatnonzero(row < 0)
+        flats, sizes = [self.flat], []
+        for part in np.split(new, np.arange(BATCH, len(new), BATCH)) if len(new) else []:
+            ids, size = self.encode(spans.texts(at[part]))
+            flats.append(ids.astype(np.uint32))
+            sizes.append(size)
         if len(new):
-            ids = list(self.encode([spans.text(i) for i in at[new]]))
             row[new] = len(self.begin) - 1 + np.arange(len(new))
             self.place.update(zip(name[new].tolist(), row[new].tolist()))
-            self.flat = np.concatenate([self.flat, *[np.asarray(x, np.uint32) for x in ids]])
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in ids])])
+            self.flat = np.concatenate(flats)
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))])
         return row[inverse]
 
     def ids(self, spans: Spans) -> tuple[np.ndarray, np.ndarray]:
