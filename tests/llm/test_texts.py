@@ -1,0 +1,204 @@
+"""Operators that read texts where they are: rules, secrets, tokens, scores."""
+
+import re
+import zlib
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import SF
+
+from patronage.llm import bitpack, bpecount, divergence, passages, pieces, secretscan
+
+WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def library_ids(texts):
+    from tokenizers import Tokenizer
+    return [e.ids for e in Tokenizer.from_file(WORD_FILE).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def by_text(df, found, *columns):
+    """What was found for each row, as multisets of (doc_id, values)."""
+    return sorted((tuple(r[c] for c in ("doc_id", *columns)) for r in found.collect()), key=str)
+
+
+# ---------------------------------------------------------------- distribution divergence
+
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+@pytest.mark.parametrize("table", ["odd", "documents"])
+def test_base_rules(request, table):
+    docs = request.getfixturevalue(table)
+    want = sorted(((d, *brute.base_counts(t)) for d, t in pairs(docs)), key=str)
+    found = divergence.judged(docs)
+    assert by_text(docs, found, *BASE) == want
+    assert all(not r["kept"] for r in found.filter("base_failed").collect())
+
+
+def test_divergence_keeps_prose_and_drops_junk(spark, documents):
+    texts = [r["text"] for r in documents.filter("lang = 'en' AND length(text) BETWEEN 1000 AND 4000").limit(20).collect()]
+    junk = [re.sub(r"\S+", lambda m: m[0].upper() + "!!", t) for t in texts]
+    refs = divergence.language_references(documents)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts + junk)], "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r for r in divergence.judged(docs, refs).collect()}
+    good = [i for i in range(len(texts)) if not found[i]["base_failed"]]
+    assert good and all(found[i]["kept"] for i in good)
+    assert not any(found[len(texts) + i]["kept"] for i in range(len(junk)))
+
+
+def test_divergence_without_rows_or_languages(none, odd):
+    assert divergence.judged(none).collect() == []
+    assert all(r["kept"] == (not r["base_failed"]) for r in divergence.judged(odd.drop("lang")).collect())
+
+
+# ---------------------------------------------------------------- secrets
+
+@pytest.fixture(scope="module")
+def model(documents):
+    return secretscan.train(secretscan.sample(documents))
+
+
+@pytest.mark.parametrize("table", ["odd", "documents", "none"])
+def test_base_secrets(request, model, table):
+    docs = request.getfixturevalue(table)
+    want = sorted(((d, *brute.secrets(t)) for d, t in pairs(docs)), key=str)
+    assert by_text(docs, secretscan.secrets(docs, model), "n_assign", "n_access", "n_hex", "base_sha256") == want
+
+
+def test_random_strings_are_told_from_identifiers(spark, model):
+    random = ["ghp_x9QzR4tLk2VbN8wYp0Jd7Hs", "3fK9+vQ2xLmZ8rT1/yWpB6cN==", "sk-a8Jq2LzX9vR4nT7bYw0Kd3Ph", "aGx7Q9zK2pWv4Rt8"]
+    plain = ["informationRetrievalSystem", "natural-language-processing", "user_account_settings_page", "thisthatandtheotherthing"]
+    caught = {t: bool(secretscan.scan(__import__("pyarrow").array([f"see {t} here"]), model)[0][1]) for t in random + plain}
+    assert [caught[t] for t in random] == [True, True, True, False], "the last is too short to be a token"
+    assert not any(caught[t] for t in plain)
+
+
+def test_masking(odd, model):
+    before, after = {(r["doc_id"], r["n_words"]): r["text"] for r in odd.collect()}, secretscan.redacted(odd, model)
+    assert after.columns == odd.columns and after.count() == odd.count()
+    for r in after.collect():
+        text = before[r["doc_id"], r["n_words"]]
+        _, spans = secretscan.scan(__import__("pyarrow").array([text], "string"), model)[0]
+        assert r["text"] == (secretscan.masked(text, spans) if spans else text)
+        assert brute.secrets(r["text"])[1:3] == (0, 0)
+    assert secretscan.masked("a bc def", [(2, 0, 4), (3, 1, 6), (6, 2, 7)]) == "a [SECRET][SECRET]f"
+
+
+def test_no_samples_no_secrets_by_model(spark):
+    assert not secretscan.train(spark.createDataFrame([(None, 1), ("x", 5)], "text string, random int")).any()
+
+
+# ---------------------------------------------------------------- tokens
+
+@pytest.mark.parametrize("table", ["odd", "documents", "none"])
+def test_token_counts(request, table):
+    docs = request.getfixturevalue(table)
+    rows = pairs(docs)
+    want = sorted(((d, len((t or "").encode()), len(ids), len(ids) > 2048) for (d, t), ids in zip(rows, library_ids([t for _, t in rows]))), key=str)
+    assert by_text(docs, bpecount.token_counts(docs, WORD_FILE), "n_bytes", "n_tokens", "over_limit") == want
+
+
+def test_overlapping_pairs_join_from_the_left():
+    from tokenizers import Tokenizer
+    merger = bpecount.Merger(open(WORD_FILE, encoding="utf-8").read())
+    texts = ["aaaaaaa", "ababababa", "lllllllll", "hahahahah", "0000000", "!!!!!!", "isisisis", "a'sb", "ooooooooooooooo"]
+    assert merger.counts(texts).tolist() == [len(e.ids) for e in Tokenizer.from_file(WORD_FILE).encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("table", ["odd", "documents", "none"])
+def test_sentencepiece_parity(request, table):
+    import sentencepiece
+    docs = request.getfixturevalue(table)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_FILE)
+    rows = pairs(docs)
+    want = sorted(((d, library.encode(t or "")) for d, t in rows), key=str)
+    found = pieces.encoded(docs, PIECE_FILE)
+    assert sorted(((r["doc_id"], r["ids"]) for r in found.collect()), key=str) == want
+    assert all(r["round_trip"] and r["n_differing"] == 0 for r in found.collect())
+    back = sorted(((r["doc_id"], r["text"]) for r in pieces.decoded(found, PIECE_FILE).collect()), key=str)
+    assert back == sorted(((d, library.decode(library.encode(t or ""))) for d, t in rows), key=str)
+
+
+def test_whole_texts_by_the_rebuilt_tokenizer():
+    model = pieces.PieceModel(open(PIECE_FILE, "rb").read())
+    texts = ["plain words  and   spaces", "a\nb\tc", "日本語 🎉 é", "", " ", "x▁y"]
+    assert model.encode(texts) == model.reference.encode(texts)
+    ids = model.encode(texts[:3])
+    assert model.tokenizer.decode_batch(ids) == texts[:3]
+
+
+def test_packed_ids(spark, documents, odd, none):
+    for docs in (documents, odd.filter("doc_id IS NOT NULL")):
+        files = bitpack.write(docs, WORD_FILE, 1, 49408, file_ids=3000)
+        assert files.count() > 1
+        rows = pairs(docs)
+        whole = sorted((d, ids + [1]) for (d, _), ids in zip(rows, library_ids([t for _, t in rows])))
+        at, want = 0, []
+        for d, ids in whole:
+            want.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            at += len(ids)
+        assert sorted(map(tuple, bitpack.read(files).collect())) == want
+    assert bitpack.read(bitpack.write(none, WORD_FILE, 1, 49408)).collect() == []
+    with pytest.raises(Exception, match="no place in the order"):
+        bitpack.write(odd, WORD_FILE, 1, 49408)
+
+
+@pytest.mark.parametrize("width", [1, 3, 13, 16, 17, 31])
+def test_packing_any_width(width):
+    r = np.random.default_rng(width)
+    sizes = np.array([0, 5, 4097, 1, 0, 900])
+    ids = r.integers(0, 1 << width, sizes.sum()).astype(np.uint32)
+    f = bitpack.IdFile(bitpack.to_file(np.arange(6) - 2, sizes, ids, width, block=512))
+    assert (f.ids() == ids).all() and f.doc_ids.tolist() == [-2, -1, 0, 1, 2, 3]
+    for a, b in ((0, 0), (3, 4), (500, 1030), (4000, 5003)):
+        assert (f.ids(a, b) == ids[a:b]).all()
+    assert (f.document(2) == ids[5:4102]).all() and len(f.document(4)) == 0
+    with pytest.raises(ValueError):
+        bitpack.to_file(np.array([1]), np.array([1]), np.array([1 << width], np.uint64), width)
+
+
+# ---------------------------------------------------------------- quality classifier
+
+def test_classifier_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = passages.fit(docs, labels)
+    rows = passages.scores(docs, model).join(labels, "doc_id").filter("held_out").collect()
+    assert len(rows) > 50 and sum(r["predicted"] == r["quality"] for r in rows) >= 0.95 * len(rows)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    again = passages.fit(docs.repartition(5), labels)
+    assert all(np.allclose(model.weights[k], again.weights[k]) for k in model.weights)
+
+
+def test_classifier_on_odd_texts(spark, odd, none):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    more = spark.createDataFrame([(None, 1), (3, None), (6, 7), (9, 0), (9, 1)], "doc_id long, quality int")
+    model = passages.fit(odd.union(spark.createDataFrame([(1000 + i, t * 30, "en", 0, "", "", [0]) for i, t in enumerate(["plain words here ", "JUNK!! "] * 20)], odd.schema)),
+                         labels.union(more).union(spark.range(40).selectExpr("id + 1000", "CAST(1 - id % 2 AS INT)")), per_class=50, steps=20)
+    rows = passages.scores(odd, model).collect()
+    assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    assert passages.scores(none, model).collect() == []
+    assert passages.accepted(odd, model).columns == odd.columns
+    assert passages.accepted(odd, model).count() == sum(r["predicted"] for r in rows)
+
+
+def test_classifier_with_one_class_or_none(spark, odd):
+    for value, constant in ((1, 1.0), (0, 0.0), (None, 0.5)):
+        labels = odd.selectExpr("doc_id", f"CAST({'NULL' if value is None else value} AS INT) AS quality")
+        assert {r["score"] for r in passages.scores(odd, passages.fit(odd, labels)).collect()} == {constant}
+
+
+def test_gradient_of_the_attention_model():
+    r = np.random.default_rng(0)
+    x, begin, y = r.normal(size=(12, passages.FEATURES)), np.array([0, 3, 4, 9, 12]), np.array([1., 0, 1, 0])
+    m = passages.Model.fresh()
+    m.fit(x, begin, y, steps=150)
+    assert np.abs(m.forward(x, begin)["y"] - y).max() < 0.2
+    assert np.allclose(np.add.reduceat(m.forward(x, begin)["a"], begin[:-1]), 1)
