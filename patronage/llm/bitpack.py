@@ -13,6 +13,7 @@ offsets, any id can be read alone, and a block is unpacked by NumPy at once.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 
@@ -30,7 +31,7 @@ MAGIC = b"IDB1"
 HEAD = "<4sB3xQQII"
 HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK = 4096
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: A sign that stands between words that are encoded in one line.
 JOINER = "\x01"
 #: Ids in a file, about; a file of one very long document may hold more.
@@ -115,6 +116,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
         content = spark.sparkContext.broadcast(file.read())  # a vocabulary file, of a size apart from the corpus
 
     def encode(batches):
+        os.environ.setdefault("RAYON_NUM_THREADS", "1")  # a task has a core; more threads only hold memory
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(content.value)

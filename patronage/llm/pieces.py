@@ -24,7 +24,7 @@ from patronage.llm.wordarrays import ranges, slices
 MARK = "▁"
 THREADS = 2
 JOINER = "\x01"
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 # Field numbers and enums of the model's protobuf.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 PIECE, SCORE, TYPE = 1, 2, 3

@@ -10,7 +10,7 @@ import pyarrow as pa
 from patronage.llm.wordarrays import BASE, BASE_INVERSE, BYTE, BYTE_LOWER, SPACE, buffer, mix, powers, ranges
 
 #: Distinct units that a task remembers; beyond it begins anew, which costs time only.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: Units that are encoded at once.
 BATCH = 16_384
 
