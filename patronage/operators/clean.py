@@ -47,33 +47,28 @@ def clean(log: DataFrame, keep_part: bool = True) -> DataFrame:
     return with_total(deduplicate(kept, columns))
 
 
+# Names of the rules in the cleaning log.
+RULE_NAMES = ["0 raw rows", "1 drop missing CustomerID", "2 drop Quantity<=0", "3 drop Price<=0", "4 drop exact duplicates"]
+
+
 def _rules() -> list[tuple[str, Column]]:
     """Rule names in order, each with the condition for a row to have survived so far."""
     customer = F.col("CustomerID").isNotNull()
     quantity = customer & F.coalesce(F.col("Quantity") > 0, F.lit(False))
     price = quantity & F.coalesce(F.col("Price") > 0, F.lit(False))
-    return [
-        ("0 raw rows", F.lit(True)),
-        ("1 drop missing CustomerID", customer),
-        ("2 drop Quantity<=0", quantity),
-        ("3 drop Price<=0", price),
-    ]
+    return list(zip(RULE_NAMES, [F.lit(True), customer, quantity, price]))
 
 
 def cleaning_log(log: DataFrame) -> DataFrame:
-    """Rows left and removed after each ordered rule, from a single pass.
+    """Rows left and removed after each ordered rule.
 
-    Equal rows are folded with their number first; the counts of the row rules are sums
-    of that number, and the last rule counts the folded rows themselves.
+    The row rules are counted where rows are read; only rows that pass them all are folded for the last rule.
     """
     rules = _rules()
-    folded = log.groupBy(*log.columns).agg(F.count("*").alias("copies"))
-    counts = folded.agg(
-        *[F.coalesce(F.sum(F.when(cond, F.col("copies"))), F.lit(0)).alias(f"c{i}")
-          for i, (_, cond) in enumerate(rules)],
-        F.count(F.when(rules[-1][1], 1)).alias(f"c{len(rules)}"),
-    )
-    names = [name for name, _ in rules] + ["4 drop exact duplicates"]
+    passed = log.agg(*[F.count(F.when(cond, 1)).alias(f"c{i}") for i, (_, cond) in enumerate(rules)])
+    distinct = log.filter(rules[-1][1]).distinct().agg(F.count("*").alias(f"c{len(rules)}"))
+    counts = passed.crossJoin(distinct)  # one row each
+    names = RULE_NAMES
     steps = F.array(*[
         F.struct(
             F.lit(name).alias("rule"),

@@ -1,173 +1,54 @@
-"""K-means, Ward and Gaussian-mixture partitions of the weighted cells.
+"""K-means and Gaussian-mixture partitions of the weighted cells, by the library's distributed fits.
 
-All three see each cell once with its customers as weight, which is the same objective
-as seeing every customer. Fits are rows of a grid (variables, cohort, k, start) spread
-over tasks. For point sets beyond one task there is the distributed k-means below.
+Both see each cell once with its customers as weight, which is the same objective as seeing every customer. The fits of
+all k and starts are independent jobs and are submitted side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.operators.graph import score_columns
-from patronage.operators.segment import SEED, best_restarts, cell_labels, packed_cells, restart_grid
+from patronage.operators.segment import SEED
+from patronage.sources.storage import materialise
 
 STARTS = 10
+AT_ONCE = 8
+METHODS = ["K-means", "GMM"]
 
 
-def _squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2)
+def _estimator(method: str, k: int, seed: int):
+    if method == "K-means":
+        return KMeans(k=k, weightCol="cnt", seed=seed, featuresCol="features", predictionCol="cluster")
+    return GaussianMixture(k=k, weightCol="cnt", seed=seed, featuresCol="features", predictionCol="cluster", probabilityCol="share")
 
 
-def kmeans_fit(points: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator,
-               rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weighted Lloyd iterations from a distance-weighted start; labels and inertia."""
-    k = min(k, len(points))
-    centres = points[rng.choice(len(points), p=weight / weight.sum())][None, :]
-    while len(centres) < k:
-        odds = weight * _squared(points, centres).min(axis=1)
-        centres = np.vstack([centres, points[rng.choice(len(points), p=odds / odds.sum())]])
-    labels = np.full(len(points), -1)
-    for _ in range(rounds):
-        d = _squared(points, centres)
-        new = d.argmin(axis=1)
-        if (new == labels).all():
-            break
-        labels = new
-        for c in range(k):
-            mine = labels == c
-            if mine.any():
-                centres[c] = np.average(points[mine], axis=0, weights=weight[mine])
-    return labels, float((weight * _squared(points, centres)[np.arange(len(points)), labels]).sum())
-
-
-def mixture_fit(points: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 100,
-                tolerance: float = 1e-3, ridge: float = 1e-6) -> tuple[np.ndarray, float]:
-    """Weighted expectation-maximisation with full covariances; labels and mean log-likelihood."""
-    n, q = points.shape
-    labels, _ = kmeans_fit(points, weight, k, rng)
-    share = np.eye(max(k, labels.max() + 1))[labels]
-    previous = -np.inf
-    level = previous
-    for _ in range(rounds):
-        mass = (share * weight[:, None]).sum(axis=0) + 1e-12
-        means = (share * weight[:, None]).T @ points / mass[:, None]
-        log_p = np.empty_like(share)
-        for c in range(share.shape[1]):
-            gap = points - means[c]
-            cov = (gap * (share[:, c] * weight)[:, None]).T @ gap / mass[c] + ridge * np.eye(q)
-            root = np.linalg.cholesky(cov)
-            z = np.linalg.solve(root, gap.T)
-            log_p[:, c] = (np.log(mass[c] / weight.sum()) - 0.5 * (z**2).sum(axis=0)
-                           - np.log(np.diag(root)).sum() - 0.5 * q * np.log(2 * np.pi))
-        top = log_p.max(axis=1, keepdims=True)
-        log_sum = top[:, 0] + np.log(np.exp(log_p - top).sum(axis=1))
-        share = np.exp(log_p - log_sum[:, None])
-        level = float((weight * log_sum).sum() / weight.sum())
-        if abs(level - previous) < tolerance:
-            break
-        previous = level
-    return share.argmax(axis=1), level
-
-
-def ward_merges(points: np.ndarray, weight: np.ndarray) -> list[tuple[int, int]]:
-    """The merges of weighted Ward linkage, cheapest first; (kept, absorbed) positions."""
-    size = weight.astype(float).copy()
-    cost = size[:, None] * size[None, :] / (size[:, None] + size[None, :]) * _squared(points, points)
-    np.fill_diagonal(cost, np.inf)
-    merges = []
-    for _ in range(len(points) - 1):
-        i, j = sorted(np.unravel_index(cost.argmin(), cost.shape))
-        total = size[i] + size[j]
-        row = ((size[i] + size) * cost[i] + (size[j] + size) * cost[j] - size * cost[i, j]) / (total + size)
-        row[[i, j]] = np.inf
-        row[~np.isfinite(cost[i])] = np.inf
-        cost[i], cost[:, i] = row, row
-        cost[j], cost[:, j] = np.inf, np.inf
-        size[i] = total
-        merges.append((int(i), int(j)))
-    return merges
-
-
-def ward_labels(merges: list[tuple[int, int]], n: int, k: int) -> np.ndarray:
-    """Labels after the first ``n - k`` merges of the tree."""
-    owner = np.arange(n)
-    for kept, absorbed in merges[: max(0, n - k)]:
-        owner[owner == absorbed] = kept
-    return np.unique(owner, return_inverse=True)[1]
-
-
-def _grid_fit(grid: DataFrame, method: str, fit: Callable, keys: list[str]) -> DataFrame:
-    """Best start of each grid row; ``cut`` holds the value that is maximised."""
-    types = dict(grid.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in keys] + [
-        "method STRING", "restart INT", "cut DOUBLE", "cell_ids ARRAY<BIGINT>", "clusters ARRAY<INT>"])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                weight = np.asarray(row.counts, float)
-                points = np.asarray(row.points, float).reshape(-1, len(weight)).T
-                results = []
-                for start in range(row.first_restart, row.first_restart + row.n_restarts):
-                    labels, value = fit(points, weight, int(row.k), np.random.default_rng([int(row.seed), start]))
-                    results.append((value, -start, labels))
-                value, minus_start, labels = max(results, key=lambda r: r[:2])
-                yield pd.DataFrame([{
-                    **{key: getattr(row, key) for key in keys}, "method": method, "restart": -minus_start,
-                    "cut": value, "cell_ids": row.cell_ids,
-                    "clusters": np.unique(labels, return_inverse=True)[1],
-                }])
-
-    return grid.mapInPandas(run, schema)
-
-
-def _kmeans_start(points, weight, k, rng):
-    labels, inertia = kmeans_fit(points, weight, k, rng)
-    return labels, -inertia
-
-
-def _ward_once(points, weight, k, _rng):
-    return ward_labels(ward_merges(points, weight), len(points), k), 0.0
-
-
-FITS = {
-    "K-means": (_kmeans_start, STARTS),
-    "Ward": (_ward_once, 1),
-    "GMM": (mixture_fit, 1),
-}
+def _loss(method: str, model) -> float:
+    return model.summary.trainingCost if method == "K-means" else -model.summary.logLikelihood
 
 
 def compare_methods(cells: DataFrame, variables: list[str], k_values: list[int], methods: list[str] | None = None,
-                    seed: int = SEED, cohort: list[str] | None = None) -> DataFrame:
-    """Cell labels of each comparator and k, in the layout of the max-k-cut labels."""
-    keys = [*(cohort or []), "variables", "k"]
-    packed = packed_cells(cells, variables, cohort)
-    labelled = None
-    for method in methods or list(FITS):
-        fit, starts = FITS[method]
-        fitted = _grid_fit(restart_grid(packed, k_values, starts, [seed], block=starts), method, fit, keys)
-        best = best_restarts(fitted, [*keys, "method"])
-        rows = cell_labels(best, cells, [*keys, "method"], cohort).drop("cut")
-        labelled = rows if labelled is None else labelled.unionByName(rows)
-    return labelled
-
-
-def kmeans_distributed(cells: DataFrame, variables: list[str], k: int, starts: int = STARTS,
-                       seed: int = SEED) -> DataFrame:
-    """K-means over cell tables of any size with the library's distributed fit, best of several starts."""
+                    seed: int = SEED, starts: int = STARTS) -> DataFrame:
+    """Cell labels of each comparator and k, in the layout of the max-k-cut labels: K-means by the best of
+    ``starts`` fits (the first on ties), the mixture by one fit. Only models come to the driver, not cells."""
     columns = score_columns(variables)
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(cells).persist()
-    models = [
-        KMeans(k=k, weightCol="cnt", seed=seed + start, featuresCol="features", predictionCol="cluster").fit(vectors)
-        for start in range(starts)
+    stored = materialise(cells.select("cell_id", "cnt", *columns), "comparator-cells")
+    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(stored)
+    wanted = [(m, k, s) for m in methods or METHODS for k in k_values for s in range(starts if m == "K-means" else 1)]
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        models = list(pool.map(lambda w: _estimator(w[0], w[1], seed + w[2]).fit(vectors), wanted))
+    best: dict[tuple[str, int], tuple[float, int]] = {}
+    for place, ((method, k, _), model) in enumerate(zip(wanted, models)):
+        best[method, k] = min(best.get((method, k), (float("inf"), -1)), (_loss(method, model), place))
+    labelled = [
+        models[place].transform(vectors).select("cell_id", "cnt", *columns, "cluster").withColumns(
+            {"method": F.lit(method), "k": F.lit(k), "variables": F.lit("".join(variables))})
+        for (method, k), (_, place) in best.items()
     ]
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    return best.transform(vectors).drop("features").withColumn("k", F.lit(k))
+    return reduce(DataFrame.unionByName, labelled)

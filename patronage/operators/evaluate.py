@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.operators.ranking import ROWS_PER_BUCKET, long_form, quantile_ranks, order_statistics
 from patronage.operators.scoring import LRFM, RAW_COLUMN, SCORE_COLUMN
 from patronage.sources.storage import materialise
 
@@ -83,30 +82,40 @@ def loyalty_segments(labelled: DataFrame, variables: list[str] = LRFM) -> DataFr
     return labelled.join(F.broadcast(ranks), "cluster")
 
 
-def box_statistics(labelled: DataFrame, by: str = "cluster", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Quartiles of monetary value per cluster and the whiskers inside 1.5 quartile ranges.
+def exact_quantiles(df: DataFrame, by: str, value: str, shares: dict[str, float], accuracy: int = 1000) -> DataFrame:
+    """Interpolated quantiles of ``value`` (no NULL) per group: one row for each group, one column for each share.
 
-    The quartiles are exact order statistics found by rank, so no cluster's customers
-    gather in one task.
+    An approximate pass brackets each wanted rank (its error is bounded by ``accuracy``); then counts below the bracket and
+    running counts inside it, over folded values, find the rank exactly. Groups stay in tables, whatever their number or type.
     """
-    stored = materialise(labelled.select("customer_id", by, "monetary"), "boxes")
-    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    found, totals = order_statistics(
-        long_form(stored, {"m": "monetary * 100"}, "customer_id", by),
-        lambda _axis, n: [r for s in shares.values() for r in quantile_ranks(n, s)[:2]],
-        rows_per_bucket,
-    )
-    rows = []
-    for (axis, grp), by_rank in found.items():
-        cuts = []
-        for share in shares.values():
-            low, high, fraction = quantile_ranks(totals[axis, grp], share)
-            cuts.append((by_rank[low][0] + (by_rank[high][0] - by_rank[low][0]) * fraction) / 100)
-        rows.append(f"('{grp}', {cuts[0]!r}D, {cuts[1]!r}D, {cuts[2]!r}D)")
-    table = stored.sparkSession.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(grp, q1, median, q3)")
-    keyed = stored.withColumn("grp", F.col(by).cast("string")).join(F.broadcast(table), "grp")
-    return keyed.groupBy(by).agg(
-        F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
+    whole = df.select(F.col(by).alias("g"), F.col(value).alias("v")).filter("v IS NOT NULL")
+    margin = 2 / accuracy
+    ends = [min(1.0, max(0.0, s + side * margin)) for s in shares.values() for side in (-1, 1)]
+    bounds = whole.groupBy("g").agg(F.percentile_approx("v", ends, 2 * accuracy).alias("e"), F.count("*").alias("n"))
+    bounds = bounds.withColumnRenamed("g", "group")
+    folded = whole.groupBy("g", "v").agg(F.count("*").alias("c")).join(bounds, F.expr("g <=> group")).drop("group")
+    names = list(shares)
+    few = 2 * accuracy  # a bracket of a smaller group could miss the neighbours of a rank, so it holds the whole group
+    wanted = ", ".join(
+        f"struct({i} AS i, {shares[name]}D * (n - 1) AS r, IF(n > {few}, e[{2 * i}], NULL) AS low, IF(n > {few}, e[{2 * i + 1}], NULL) AS high)" for i, name in enumerate(names))
+    near = folded.selectExpr("g", "v", "c", f"explode(array({wanted})) AS w").filter("coalesce(v <= w.high, true)")
+    # values below a bracket count as one row
+    near = near.groupBy("g", F.col("w.i").alias("i"), F.col("w.r").alias("r"), F.expr("greatest(v, w.low)").alias("v"), F.expr("coalesce(v < w.low, false)").alias("under")).agg(F.sum("c").alias("c"))
+    running = near.selectExpr("*", "sum(c) OVER (PARTITION BY g, i ORDER BY under DESC, v) AS upto").filter("NOT under")
+    found = running.groupBy("g", "i").agg(
+        F.expr("min(IF(upto > floor(r), v, NULL))").alias("a"), F.expr("min(IF(upto > ceil(r), v, NULL))").alias("b"), F.first("r").alias("r"))
+    value_at = found.selectExpr("g", "i", "CAST(a AS DOUBLE) + (CAST(b AS DOUBLE) - CAST(a AS DOUBLE)) * (r - floor(r)) AS q")
+    return value_at.groupBy(F.col("g").alias(by)).agg(*[F.expr(f"max(IF(i = {i}, q, NULL))").alias(name) for i, name in enumerate(names)])
+
+
+def box_statistics(labelled: DataFrame, by: str = "cluster", accuracy: int = 1000) -> DataFrame:
+    """Exact quartiles of monetary value per cluster and the whiskers inside 1.5 quartile ranges.
+
+    Groups may be of any type and number, NULL included; an empty table gives no rows.
+    """
+    stored = materialise(labelled.select(by, "monetary"), "boxes")
+    table = exact_quantiles(stored, by, "monetary", {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy).withColumnRenamed(by, "group")
+    return stored.join(table, F.col(by).eqNullSafe(F.col("group"))).groupBy(by, "q1", "median", "q3").agg(
         F.expr("min(IF(monetary >= q1 - 1.5D * (q3 - q1), CAST(monetary AS DOUBLE), NULL))").alias("whisker_low"),
         F.expr("max(IF(monetary <= q3 + 1.5D * (q3 - q1), CAST(monetary AS DOUBLE), NULL))").alias("whisker_high"),
     )

@@ -43,12 +43,15 @@ def distance(variables: list[str], left: str, right: str, metric: str = "manhatt
     def field(side: str, column: str) -> str:
         return f"{side}.{column}" if side else column
 
-    gaps = [f"({field(left, c)} - {field(right, c)})" for c in score_columns(variables)]
-    if metric == "manhattan":
-        return "CAST(" + " + ".join(f"abs{g}" for g in gaps) + " AS DOUBLE)"
-    if metric == "euclidean":
-        return "sqrt(CAST(" + " + ".join(f"{g} * {g}" for g in gaps) + " AS DOUBLE))"
-    raise ValueError(f"unknown metric {metric!r}")
+    pairs = [(field(left, c), field(right, c)) for c in score_columns(variables)]
+    forms = {
+        "manhattan": ("abs({0} - {1})", "CAST({} AS DOUBLE)"),
+        "euclidean": ("pow({0} - {1}, 2)", "sqrt({})"),
+    }
+    if metric not in forms:
+        raise ValueError(f"{metric!r} is not one of {', '.join(forms)}")
+    term, whole = forms[metric]
+    return whole.format(" + ".join(term.format(*pair) for pair in pairs))
 
 
 def _chunks(variables: list[str], bins: int) -> int:
@@ -74,14 +77,15 @@ def edges(cells: DataFrame, variables: list[str], metric: str = "manhattan", bin
 
 # ---------------------------------------------------------------- lifting labels
 
-def lift(mart: DataFrame, labels: DataFrame, variables: list[str], bins: int = BINS) -> DataFrame:
+def lift(mart: DataFrame, labels: DataFrame, variables: list[str], bins: int = BINS,
+         broadcast_cells: int | None = None) -> DataFrame:
     """Every customer with the cluster of its cell; ``labels`` has one row per cell.
 
     A lattice of checked size goes to the customers by broadcast. A larger one is joined
     by shuffle, with the cells that hold many customers served apart.
     """
     columns = score_columns(variables)
-    if bins ** len(variables) <= BROADCAST_CELLS:
+    if bins ** len(variables) <= (BROADCAST_CELLS if broadcast_cells is None else broadcast_cells):
         return mart.join(F.broadcast(labels.select(*columns, "cluster")), columns)
     found = lookup(mart, labels.select(*columns, "cnt", "cluster"), columns, "cnt", "customer_id")
     return found.filter("cluster IS NOT NULL")

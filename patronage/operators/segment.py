@@ -28,14 +28,48 @@ SEED = 42
 K_RANGE = list(range(2, 11))
 MAX_CELLS = 4096  # largest lattice solved inside one task; beyond it use relocate_at_scale
 IMPROVEMENT = 1e-9
+SMALLEST_GAIN = 1e-13  # of all weight: what rounding can feign
 
 
 # ---------------------------------------------------------------- inside one task
 
 def edge_weights(points: np.ndarray, counts: np.ndarray, metric: str) -> np.ndarray:
-    gaps = points[:, None, :] - points[None, :, :]
-    d = np.abs(gaps).sum(axis=2) if metric == "manhattan" else np.sqrt((gaps**2).sum(axis=2))
-    return counts[:, None] * counts[None, :] * d
+    """Weights of all pairs as shares of their sum, so that no figure of the search depends on the number of customers.
+
+    On each axis a table over pairs of scores is looked up; for the Manhattan metric it counts the steps between them.
+    """
+    share = counts / counts.sum()
+    total = np.zeros((len(share), len(share)))
+    for axis in points.T:
+        scores, at = np.unique(axis, return_inverse=True)
+        steps = np.abs(np.subtract.outer(scores, scores))
+        total += (steps if metric == "manhattan" else steps * steps)[np.ix_(at, at)]
+    weights = np.outer(share, share) * (total if metric == "manhattan" else np.sqrt(total))
+    return weights / max(weights.sum(), np.finfo(float).tiny)
+
+
+def exact_cut(points: np.ndarray, counts: np.ndarray, labels: np.ndarray, metric: str) -> int | float:
+    """The cut of one labelling: a whole number of any size for the Manhattan metric.
+
+    On each axis and at each border between scores, the customers below times those above, less the same inside clusters.
+    """
+    if metric != "manhattan":
+        gaps = np.sqrt(sum(np.subtract.outer(a, a) ** 2 for a in points.T))
+        apart = labels[:, None] != labels[None, :]
+        return float((np.outer(counts, counts) * gaps)[apart].sum() / 2)
+    cut = 0
+    numbers = [int(c) for c in counts]
+    for axis in points.T:
+        scores = np.unique(axis)
+        for low, high in zip(scores[:-1], scores[1:]):
+            below: dict[int, int] = {}
+            above: dict[int, int] = {}
+            for score, label, n in zip(axis, labels.tolist(), numbers):
+                side = below if score <= low else above
+                side[label] = side.get(label, 0) + n
+            crossing = sum(below.values()) * sum(above.values()) - sum(n * above.get(c, 0) for c, n in below.items())
+            cut += crossing * int(high - low)
+    return cut
 
 
 def _relocation_pass(w, pull, labels, order, eps):
@@ -83,15 +117,19 @@ def _swap_sweep(w, pull, labels, eps):
 
 
 def local_search(w: np.ndarray, k: int, restarts: np.ndarray, seed: int = SEED,
-                 sweeps: int = SWEEPS, max_rounds: int = MAX_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Labels and cut of each restart: relocation and exchange until neither improves."""
+                 sweeps: int = SWEEPS, max_rounds: int = MAX_ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels and cut of each restart, and whether it settled: relocation and exchange until neither improves.
+
+    A restart that still improves after ``max_rounds`` is returned as it stands, marked as not settled.
+    """
     n = w.shape[0]
-    eps = max(IMPROVEMENT, 1e-15 * w.sum())
+    eps = SMALLEST_GAIN * w.sum()
     final = np.stack([np.random.default_rng([seed, int(r)]).integers(0, k, n) for r in restarts])
     live = np.arange(len(restarts))
     labels = final.copy()
     pull = np.stack([(labels == c).astype(float) @ w for c in range(k)], axis=1)
     cuts = np.empty(len(restarts))
+    settled = np.zeros(len(restarts), bool)
     for number in range(max_rounds + 1):
         if number == max_rounds:
             improved = np.zeros(len(live), bool)
@@ -104,6 +142,7 @@ def local_search(w: np.ndarray, k: int, restarts: np.ndarray, seed: int = SEED,
                 if not swapped.any():
                     break
         done = ~improved
+        settled[live[done]] = number < max_rounds
         if done.any():
             final[live[done]] = labels[done]
             own = np.take_along_axis(pull[done], labels[done][:, None, :], axis=1)[:, 0, :]
@@ -111,7 +150,7 @@ def local_search(w: np.ndarray, k: int, restarts: np.ndarray, seed: int = SEED,
             live, labels, pull = live[improved], labels[improved], pull[improved]
         if not live.size:
             break
-    return final, cuts
+    return final, cuts, settled
 
 
 def _compact(labels: np.ndarray) -> np.ndarray:
@@ -120,9 +159,15 @@ def _compact(labels: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- the grid
 
-def packed_cells(cells: DataFrame, variables: list[str], cohort: list[str] | None = None) -> DataFrame:
-    """One row per cohort with its cells as parallel arrays, ordered by cell id."""
+def packed_cells(cells: DataFrame, variables: list[str], cohort: list[str] | None = None, bins: int = BINS) -> DataFrame:
+    """One row per cohort with its cells as parallel arrays, ordered by cell id.
+
+    At most ``bins ** q`` cells can meet in a row: a lattice beyond one task is refused, and so is a score outside it.
+    """
+    check_lattice(variables, bins)
     columns = score_columns(variables)
+    outside = " OR ".join(f"{c} NOT BETWEEN 1 AND {bins}" for c in columns)
+    cells = cells.withColumn("cnt", F.expr(f"IF({outside}, raise_error('a score is outside 1..{bins}'), cnt)"))
     packed = cells.groupBy(*(cohort or [])).agg(
         F.array_sort(F.collect_list(F.struct("cell_id", "cnt", *columns))).alias("p"))
     points = ", ".join(f"transform(p, x -> x.{c})" for c in columns)
@@ -148,11 +193,11 @@ def restart_grid(packed: DataFrame, k_values: list[int], restarts: int, seeds: l
 
 def run_restarts(grid: DataFrame, metric: str = "manhattan", sweeps: int = SWEEPS,
                  cohort: list[str] | None = None) -> DataFrame:
-    """Every restart's cut; the labels of a block's best restart, NULL for the others."""
+    """Every restart's cut and whether it settled; the labels of a block's best restart, NULL for the others."""
     keys = [*(cohort or []), "variables", "seed", "k"]
     types = dict(grid.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in keys] + [
-        "restart INT", "cut DOUBLE", "cell_ids ARRAY<BIGINT>", "clusters ARRAY<INT>"])
+        "restart INT", "cut DOUBLE", "settled BOOLEAN", "cell_ids ARRAY<BIGINT>", "clusters ARRAY<INT>"])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -160,15 +205,16 @@ def run_restarts(grid: DataFrame, metric: str = "manhattan", sweeps: int = SWEEP
                 counts = np.asarray(row.counts, float)
                 points = np.asarray(row.points, float).reshape(-1, len(counts)).T
                 numbers = np.arange(row.first_restart, row.first_restart + row.n_restarts)
-                labels, cuts = local_search(
+                labels, _, settled = local_search(
                     edge_weights(points, counts, metric), int(row.k), numbers, int(row.seed), sweeps)
-                best = int(cuts.argmax())
-                out = pd.DataFrame({"restart": numbers, "cut": cuts})
+                exact = [exact_cut(points, row.counts, own, metric) for own in labels]
+                best = max(range(len(exact)), key=lambda i: (exact[i], -i))
+                out = pd.DataFrame({"restart": numbers, "cut": [float(x) for x in exact], "settled": settled})
                 for key in keys:
                     out[key] = getattr(row, key)
                 out["cell_ids"] = [row.cell_ids if i == best else None for i in range(len(out))]
                 out["clusters"] = [_compact(labels[best]) if i == best else None for i in range(len(out))]
-                yield out[[*keys, "restart", "cut", "cell_ids", "clusters"]]
+                yield out[[*keys, "restart", "cut", "settled", "cell_ids", "clusters"]]
 
     return grid.mapInPandas(solve, schema)
 
@@ -203,9 +249,8 @@ def solve(cells: DataFrame, variables: list[str], k_values: list[int], restarts:
     Columns: the keys, ``objective`` (the cut), ``gap`` (NULL: a heuristic proves none),
     ``cell_id``, the scores, ``cnt`` and ``cluster``.
     """
-    check_lattice(variables, bins)
     keys = [*(cohort or []), "variables", "k"]
-    grid = restart_grid(packed_cells(cells, variables, cohort), k_values, restarts, [seed])
+    grid = restart_grid(packed_cells(cells, variables, cohort, bins), k_values, restarts, [seed])
     best = best_restarts(run_restarts(grid, metric, cohort=cohort), keys)
     return cell_labels(best, cells, keys, cohort).withColumnRenamed("cut", "objective").withColumn(
         "gap", F.lit(None).cast("double"))
@@ -251,7 +296,7 @@ def robustness(cells: DataFrame, variables: list[str], k: int = 4, budgets: tupl
     return by_seed.selectExpr(f"stack({len(budgets)}, {pairs}) AS (budget, cut)").withColumn(
         "reference", reference).groupBy("budget").agg(
         F.max("cut").alias("best_cut"), F.min("cut").alias("worst_cut"),
-        F.expr("100D * avg(IF(abs(cut - reference) < 1e-6D, 1D, 0D))").alias("hit_pct"))
+        F.expr("100D * avg(IF(cut = reference, 1D, 0D))").alias("hit_pct"))
 
 
 # ---------------------------------------------------------------- lattices beyond one task
@@ -280,15 +325,16 @@ def _move_costs(counts: np.ndarray) -> np.ndarray:
     return np.stack([gaps @ counts[v].astype(float) for v in range(len(counts))])
 
 
-def relocate_at_scale(cells: DataFrame, variables: list[str], k: int, bins: int = BINS, rounds: int = 20,
-                      seed: int = SEED) -> tuple[DataFrame, list[int]]:
+def relocate_at_scale(cells: DataFrame, variables: list[str], k: int, bins: int = BINS, rounds: int = 60,
+                      seed: int = SEED) -> tuple[DataFrame, list[int], bool]:
     """Relocation for a lattice of any size (Manhattan weights), as rounds of DataFrame jobs.
 
     Weights separate by variable, so q x bins x k counts describe all clusters: each round
     collects them in one aggregation and sends the distance sums back as literals. A
     hash-chosen part of the cells that would gain moves; moving all at once can swing back
     and forth. A round is kept only if the cut grows, otherwise the part is halved. Kept
-    states are written to the shared folder. Returns the labelled cells and the cuts kept.
+    states are written to the shared folder. Once the part is small, the single best cell moves. Returns the labelled
+    cells, the cuts kept, and whether it settled, that is no cell would gain; after ``rounds`` it stops as it stands.
     """
     columns = score_columns(variables)
     base = ["cell_id", "cnt", *columns]
@@ -298,23 +344,29 @@ def relocate_at_scale(cells: DataFrame, variables: list[str], k: int, bins: int
     cuts = [_cut(counts)]
     part = 0.5
     for number in range(rounds):
-        costs = _move_costs(counts)
         tables = [
             "array(" + ", ".join("array(" + ", ".join(f"{x!r}D" for x in row.tolist()) + ")" for row in table) + ")"
-            for table in costs
+            for table in _move_costs(counts)
         ]
         terms = " + ".join(f"{table}[{c} - 1][l]" for table, c in zip(tables, columns))
-        chosen = f"pmod(xxhash64(cell_id, {seed}L, {number}L), 1000000L) < {int(part * 1_000_000)}L"
+        priced = state.selectExpr("*", f"transform(sequence(0, {k - 1}), l -> {terms}) AS cost").selectExpr(
+            "*", f"cost[cluster] - array_min(cost) > {IMPROVEMENT}D * greatest(1D, cost[cluster]) AS gains")
+        if part >= 1 / 64:
+            chosen = f"pmod(xxhash64(cell_id, {seed}L, {number}L), 1000000L) < {int(part * 1_000_000)}L"
+        else:
+            gain = F.expr("struct((cost[cluster] - array_min(cost)) * cnt, -cell_id)")
+            best = priced.filter("gains").agg(F.max_by("cell_id", gain)).first()[0]
+            if best is None:
+                return state, cuts, True
+            chosen = f"cell_id = {best}L"
         target = "CAST(array_position(cost, array_min(cost)) - 1 AS INT)"
-        gains = f"array_min(cost) < cost[cluster] - {IMPROVEMENT}D"
-        moved = state.selectExpr("*", f"transform(sequence(0, {k - 1}), l -> {terms}) AS cost").selectExpr(
-            *base, f"IF({chosen} AND {gains}, {target}, cluster) AS cluster")
+        moved = priced.selectExpr(*base, f"IF({chosen} AND gains, {target}, cluster) AS cluster")
         after = _counts(moved, variables, bins, k)
         if _cut(after) > cuts[-1]:
             state, counts = materialise(moved, "relocation"), after
             cuts.append(_cut(after))
         elif part < 1 / 64:
-            break
+            return state, cuts, True
         else:
             part /= 2
-    return state, cuts
+    return state, cuts, False

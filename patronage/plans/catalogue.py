@@ -6,6 +6,7 @@ they compare cleanly with other engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,7 +27,7 @@ from patronage.operators import warehouse as W
 from patronage.plans import reports as R
 from patronage.sources import ingest as I
 from patronage.sources.retail_log import transaction_log
-from patronage.sources.storage import cached_table, materialise, shared_folder
+from patronage.sources.storage import cached_table, materialise, save_table, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,7 +43,7 @@ def query(function: Query) -> Query:
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Whole numbers as BIGINT, fractions as DOUBLE of nine digits, moments as text."""
+    """Whole numbers as BIGINT, fractions as DOUBLE of six digits, moments as text."""
     columns = []
     for field in df.schema.fields:
         name = f"`{field.name}`"
@@ -83,14 +84,6 @@ def levels(spark: SparkSession, d: str) -> DataFrame:
         "cluster", F.expr("CAST(floor((r_score + f_score + m_score + l_score) / 4) - 1 AS BIGINT)"))
 
 
-def cell_levels(spark: SparkSession, d: str) -> DataFrame:
-    """LRFM cells under the same label."""
-    cells = G.reduce_cells(mart(spark, d), S.LRFM)
-    return materialise(cells.selectExpr(
-        "*", "CAST(floor((r_score + f_score + m_score + l_score) / 4) - 1 AS BIGINT) AS cluster",
-        "concat('level ', 4) AS labelling"), "cell-levels")
-
-
 def stripes(spark: SparkSession, d: str) -> DataFrame:
     """RFM cells labelled for each k = 2..10 by the remainder of their score sum."""
     cells = G.reduce_cells(mart(spark, d), S.RFM)
@@ -111,16 +104,21 @@ def per_country(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- scans, sources, sinks
 
+def part_folders(spark: SparkSession, d: str) -> dict[str, str]:
+    """The log written once, one folder for each part."""
+    path = f"{shared_folder(spark)}/parts-{uuid.uuid4().hex}"
+    save_table(transaction_log(spark, d), path, ["SourceSheet"])
+    return {name: f"{path}/SourceSheet={name}" for name in SHEETS}
+
+
 @query
 def a1_multi_part_load(spark, d):
-    parts = I.split_parts(transaction_log(spark, d), SHEETS)
-    return per_country(I.stack_parts(parts, tag=False))
+    return per_country(I.read_parts(spark, part_folders(spark, d), tag=False))
 
 
 @query
 def a2_part_tag(spark, d):
-    parts = I.split_parts(transaction_log(spark, d), SHEETS)
-    return I.rows_per_part(I.stack_parts(parts))
+    return I.rows_per_part(I.read_parts(spark, part_folders(spark, d)))
 
 
 @query
@@ -324,6 +322,14 @@ def j6_lift_labels(spark, d):
     return G.lift(m, cells, S.LRFM).select("customer_id", "cluster")
 
 
+@query
+def j6_lift_labels_shuffled(spark, d):
+    m = mart(spark, d)
+    cells = G.reduce_cells(m, S.LRFM).withColumn(
+        "cluster", F.expr("CAST(floor((r_score + f_score + m_score + l_score) / 4) - 1 AS BIGINT)"))
+    return G.lift(m, cells, S.LRFM, broadcast_cells=0).select("customer_id", "cluster")
+
+
 @query
 def j7_cell_pairs(spark, d):
     return G.edges(G.reduce_cells(mart(spark, d), S.RFM), S.RFM, "euclidean")
@@ -558,6 +564,21 @@ def w1_ntile_scores(spark, d):
     return mart(spark, d)
 
 
+#: Bucket size of the queries that make small inputs take the way of large ones.
+SMALL_BUCKET = 100
+
+
+@query
+def w1_ntile_scores_buckets(spark, d):
+    return S.customer_rfml(lines(spark, d), SMALL_BUCKET)
+
+
+@query
+def w2_rank_cut_scores_buckets(spark, d):
+    raw = S.raw_values(S.customers_of(lines(spark, d)), "elapsed")
+    return S.add_scores(raw, method="rank_cut", rows_per_bucket=SMALL_BUCKET)
+
+
 @query
 def w2_rank_cut_scores(spark, d):
     raw = S.raw_values(S.customers_of(lines(spark, d)), "elapsed")
@@ -570,6 +591,12 @@ def w3_monetary_quintile(spark, d):
         F.count("*").alias("customers"), F.min("monetary").alias("least"), F.max("monetary").alias("most"))
 
 
+@query
+def w3_monetary_quintile_buckets(spark, d):
+    return R.monetary_quintiles(mart(spark, d), rows_per_bucket=SMALL_BUCKET).groupBy("m_quintile").agg(
+        F.count("*").alias("customers"), F.min("monetary").alias("least"), F.max("monetary").alias("most"))
+
+
 @query
 def w4_share_of_total(spark, d):
     return R.segment_values(mart(spark, d)).select("segment", "pct_customers", "pct_revenue")
@@ -586,6 +613,22 @@ def w6_pareto_curve(spark, d):
     return P.pareto_curve(mart(spark, d)).select("position", "customers_pct", "revenue_pct")
 
 
+@query
+def w6_pareto_curve_buckets(spark, d):
+    return P.pareto_curve(mart(spark, d), SMALL_BUCKET).select("position", "customers_pct", "revenue_pct")
+
+
+@query
+def w7_gini_customers_buckets(spark, d):
+    return P.concentration(P.revenue_per(positive(spark, d), "CustomerID"), "customer", rows_per_bucket=SMALL_BUCKET)
+
+
+@query
+def w8_average_ranks_shuffled(spark, d):
+    return P.with_ranks(mart(spark, d), SMALL_BUCKET, 0).select(
+        "customer_id", "recency_rank", "frequency_rank", "monetary_rank", "length_rank")
+
+
 @query
 def w7_gini_customers(spark, d):
     return P.concentration(P.revenue_per(positive(spark, d), "CustomerID"), "customer")
@@ -652,8 +695,7 @@ def u1_union_of_histograms(spark, d):
 
 @query
 def u2_row_stacking(spark, d):
-    parts = I.split_parts(transaction_log(spark, d), SHEETS)
-    return I.stack_parts(parts).groupBy("SourceSheet", "Country").agg(F.count("*").alias("n_rows"))
+    return I.read_parts(spark, part_folders(spark, d)).groupBy("SourceSheet", "Country").agg(F.count("*").alias("n_rows"))
 
 
 @query
@@ -738,6 +780,16 @@ def s2_extremes(spark, d):
     return P.shape(positive(spark, d), P.LINE_AXES, P.LINE_SCALES, {"p99": 0.99}).select("axis", "p99", "max")
 
 
+@query
+def s2_extremes_buckets(spark, d):
+    return P.shape(positive(spark, d), P.LINE_AXES, P.LINE_SCALES, {"p99": 0.99}, SMALL_BUCKET).select("axis", "p99", "max")
+
+
+@query
+def s3_spearman_raw_shuffled(spark, d):
+    return P.spearman_raw(mart(spark, d), SMALL_BUCKET, 0)
+
+
 @query
 def s3_spearman_raw(spark, d):
     return P.spearman_raw(mart(spark, d))
@@ -831,7 +883,7 @@ def k4_local_search(spark, d):
 
 @query
 def k4_relocation_at_scale(spark, d):
-    state, cuts = K.relocate_at_scale(G.reduce_cells(mart(spark, d), S.LRFM), S.LRFM, 4)
+    state, cuts, settled = K.relocate_at_scale(G.reduce_cells(mart(spark, d), S.LRFM), S.LRFM, 4)
     return state.withColumn("cut", F.lit(float(cuts[-1])))
 
 
@@ -868,11 +920,89 @@ def k7_objective_recomputed(spark, d):
 def k5_exchange_refinement(spark, d):
     """Best cut per k of the same starts without and with exchanges."""
     packed = K.packed_cells(materialise(G.reduce_cells(mart(spark, d), S.RFM), "cells"), S.RFM)
-    grid = K.restart_grid(packed, [2, 4, 10], 50, [K.SEED])
+    grid = K.restart_grid(packed, K.K_RANGE, K.RESTARTS, [K.SEED])
     plain = K.run_restarts(grid, sweeps=0).groupBy("k").agg(F.max("cut").alias("relocation_cut"))
     return K.run_restarts(grid).groupBy("k").agg(F.max("cut").alias("exchange_cut")).join(plain, "k")
 
 
+@query
+def k5_exchange_optimum(spark, d):
+    """Relocation with exchanges on the small lattice; its SQL check enumerates every partition."""
+    packed = K.packed_cells(_small_lattice(spark, d), ["R", "F"], bins=3)
+    runs = K.run_restarts(K.restart_grid(packed, [2, 3, 4], K.RESTARTS, [K.SEED]))
+    return runs.groupBy("k").agg(F.max("cut").alias("best_cut"))
+
+
+@query
+def k4_convergence(spark, d):
+    """Restarts and settled restarts for each variable set and k on the full cells."""
+    m = mart(spark, d)
+    found = None
+    for variables in (S.RFM, S.LRFM):
+        packed = K.packed_cells(materialise(G.reduce_cells(m, variables), "cells"), variables)
+        runs = K.run_restarts(K.restart_grid(packed, K.K_RANGE, K.RESTARTS, [K.SEED]))
+        part = runs.groupBy("variables", "k").agg(F.count("*").alias("restarts"), F.count_if("settled").alias("settled"))
+        found = part if found is None else found.union(part)
+    return found
+
+
+@query
+def k7_objective_of_full_cells(spark, d):
+    """What the reported objective of the full cells differs from the cut of the stored labels: nothing."""
+    m = mart(spark, d)
+    found = None
+    for variables in (S.RFM, S.LRFM):
+        labels = materialise(K.solve(materialise(G.reduce_cells(m, variables), "cells"), variables, K.K_RANGE), "solved")
+        reported = labels.groupBy("variables", "k").agg(F.first("objective").alias("objective"), F.sum("cnt").alias("customers"))
+        part = reported.join(G.cut_manhattan(labels, ["variables", "k"], variables), ["variables", "k"]).selectExpr(
+            "variables", "k", "customers", "CAST(objective - cut AS DOUBLE) AS difference")
+        found = part if found is None else found.union(part)
+    return found
+
+
+def solved(spark: SparkSession, d: str, variables: list[str], k: int = 4) -> DataFrame:
+    """Customers of the mart with the cluster that the solver gives them, stored."""
+    m = materialise(mart(spark, d), "mart")
+    return materialise(E.align_labels(m, K.segment_customers(m, variables, k)), "solved")
+
+
+def _of_both(spark, d, report):
+    parts = [report(solved(spark, d, v), v).withColumn("variables", F.lit("".join(v))) for v in (S.RFM, S.LRFM)]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+@query
+def g25_profile_of_solution(spark, d):
+    return _of_both(spark, d, lambda labelled, v: E.profile_clusters(labelled, S.LRFM))
+
+
+@query
+def g27_volume_value_of_solution(spark, d):
+    return _of_both(spark, d, lambda labelled, v: E.volume_value(labelled))
+
+
+@query
+def k13_loyalty_of_solution(spark, d):
+    return _of_both(spark, d, lambda labelled, v: E.loyalty_ranking(labelled, v).select("cluster", "distance", "rank"))
+
+
+@query
+def s5_boxes_of_solution(spark, d):
+    return _of_both(spark, d, lambda labelled, v: E.box_statistics(labelled))
+
+
+@query
+def k19_deviation_of_solution(spark, d):
+    """Measured silhouettes of both sets beside the published curve: mean and largest difference, and the best k."""
+    curve, _ = K.sweep(mart(spark, d))
+    curve = materialise(curve, "curve")
+    parts = []
+    for name in ("RFM", "LRFM"):
+        own = curve.filter(F.col("variables") == name)
+        parts.append(E.deviation(own).crossJoin(E.best_k(own, ["variables"]).withColumnRenamed("k", "best")))  # a row each
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def k6_multi_start(spark, d):
     packed = K.packed_cells(materialise(G.reduce_cells(mart(spark, d), S.LRFM), "cells"), S.LRFM)
@@ -888,7 +1018,7 @@ def k7_segment_customers(spark, d):
 
 @query
 def k8_sweep(spark, d):
-    return K.sweep(mart(spark, d), [S.RFM])[0]
+    return K.sweep(mart(spark, d))[0]
 
 
 @query
@@ -924,8 +1054,9 @@ def k14_loyalty_segments(spark, d):
 
 
 def _comparator(spark, d, method):
-    cells = materialise(G.reduce_cells(mart(spark, d), S.RFM), "cells")
-    return M.compare_methods(cells, S.RFM, K.K_RANGE, [method]).select("method", "k", "cell_id", "cnt", "cluster")
+    m = mart(spark, d)
+    parts = [M.compare_methods(G.reduce_cells(m, v), v, K.K_RANGE, [method]).select("variables", "method", "k", "cell_id", "cnt", "cluster") for v in (S.RFM, S.LRFM)]
+    return parts[0].union(parts[1])
 
 
 @query
@@ -934,14 +1065,12 @@ def k15_kmeans(spark, d):
 
 
 @query
-def k15_kmeans_distributed(spark, d):
-    cells = materialise(G.reduce_cells(mart(spark, d), S.RFM), "cells")
-    return M.kmeans_distributed(cells, S.RFM, 4, starts=2).select("k", "cell_id", "cnt", "cluster")
-
-
-@query
-def k16_ward(spark, d):
-    return _comparator(spark, d, "Ward")
+def k15_kmeans_inertia(spark, d):
+    """Least sum of squares found on the small lattice; its SQL check enumerates every partition."""
+    cells = _small_lattice(spark, d)
+    labels = materialise(M.compare_methods(cells, ["R", "F"], [2, 3], ["K-means"]), "kmeans")
+    centred = labels.groupBy("k", "cluster").agg(*[F.expr(f"CAST(sum(cnt * {c} * {c}) AS DOUBLE) - CAST(sum(cnt * {c}) AS DOUBLE) * sum(cnt * {c}) / sum(cnt)").alias(c) for c in ("r_score", "f_score")])
+    return centred.groupBy("k").agg(F.sum(F.expr("r_score + f_score")).alias("inertia"))
 
 
 @query
@@ -951,13 +1080,15 @@ def k17_gaussian_mixture(spark, d):
 
 @query
 def k18_method_silhouettes(spark, d):
-    cells = materialise(G.reduce_cells(mart(spark, d), S.RFM), "cells")
-    cut = K.solve(cells, S.RFM, K.K_RANGE).withColumn("method", F.lit("max-k-cut"))
-    others = M.compare_methods(cells, S.RFM, K.K_RANGE)
-    wanted = ["variables", "k", "method", "cell_id", "cnt", *G.score_columns(S.RFM), "cluster"]
-    labels = materialise(cut.select(*wanted).unionByName(others.select(*wanted)), "methods")
-    curve = G.silhouette(labels, ["variables", "k", "method"], S.RFM)
-    return E.method_table(curve, ["max-k-cut", "K-means", "Ward", "GMM"])
+    m = mart(spark, d)
+    curves = []
+    for v in (S.RFM, S.LRFM):
+        cells = materialise(G.reduce_cells(m, v), "cells")
+        wanted = ["variables", "k", "method", "cell_id", "cnt", *G.score_columns(v), "cluster"]
+        cut = K.solve(cells, v, K.K_RANGE).withColumn("method", F.lit("max-k-cut"))
+        labels = materialise(cut.select(*wanted).unionByName(M.compare_methods(cells, v, K.K_RANGE).select(*wanted)), "methods")
+        curves.append(G.silhouette(labels, ["variables", "k", "method"], v))
+    return E.method_table(curves[0].unionByName(curves[1]), ["max-k-cut", *M.METHODS])
 
 
 @query

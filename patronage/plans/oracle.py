@@ -6,6 +6,17 @@ joins and all-pairs sums, which are fine at the size of a check.
 
 from __future__ import annotations
 
+from patronage.functions import expressions as X
+
+
+
+def _fifth(place: str) -> str:
+    """Which of five groups a place falls into: the first n % 5 groups are one larger."""
+    small, rest = "(n // 5)", "(n % 5)"
+    return (f"CAST(CASE WHEN {place} <= {rest} * ({small} + 1) THEN ({place} - 1) // ({small} + 1) "
+            f"ELSE {rest} + ({place} - 1 - {rest} * ({small} + 1)) // {small} END + 1 AS BIGINT)")
+
+
 STAGES = """
 joined AS (
   SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -52,41 +63,26 @@ dim_product AS (
            row_number() OVER (PARTITION BY StockCode ORDER BY (Description IS NULL), count(*) DESC, Description) AS pos
     FROM clean GROUP BY StockCode, Description) GROUP BY stock_code
 ),
-line AS (
-  SELECT di.customer_id, di.invoice_id, di.invoice_date, f.stock_code, f.quantity * f.price AS amount
-  FROM fact_line f JOIN dim_invoice di ON f.invoice_id = di.invoice_id
+sold AS (SELECT invoice_id, customer_id, invoice_date, stock_code, quantity * price AS amount FROM fact_line JOIN dim_invoice USING (invoice_id)),
+visits AS (SELECT customer_id, invoice_id, min(invoice_date) AS at, sum(amount) AS spent FROM sold GROUP BY customer_id, invoice_id),
+habits AS (
+  SELECT customer_id, count(*) AS frequency, round(sum(spent), 2) AS monetary, min(at) AS first_date, max(at) AS last_date,
+    max(max(at)) OVER () AS closing
+  FROM visits GROUP BY customer_id
 ),
-snap AS (SELECT max(invoice_date) AS snapshot FROM dim_invoice),
-agg AS (
-  SELECT customer_id,
-    date_diff('day', CAST(max(invoice_date) AS DATE), CAST((SELECT snapshot FROM snap) AS DATE)) AS recency,
-    count(DISTINCT invoice_id) AS frequency,
-    round(sum(amount), 2) AS monetary,
-    date_diff('day', CAST(min(invoice_date) AS DATE), CAST(max(invoice_date) AS DATE)) AS length,
-    min(invoice_date) AS first_date, max(invoice_date) AS last_date
-  FROM line GROUP BY customer_id
+buyers AS (
+  SELECT *, CAST(closing AS DATE) - CAST(last_date AS DATE) AS recency, CAST(last_date AS DATE) - CAST(first_date AS DATE) AS length FROM habits
 ),
-mart AS (
-  SELECT *,
-    ntile(5) OVER (ORDER BY recency DESC, customer_id) AS r_score,
-    ntile(5) OVER (ORDER BY frequency, customer_id) AS f_score,
-    ntile(5) OVER (ORDER BY monetary, customer_id) AS m_score,
-    ntile(5) OVER (ORDER BY length, customer_id) AS l_score
-  FROM agg
-),
-seg AS (
-  SELECT *, CASE
-      WHEN r_score >= 4 AND fm >= 4 THEN 'Champions'
-      WHEN r_score >= 3 AND fm >= 3 THEN 'Loyal Customers'
-      WHEN r_score >= 4 AND fm <= 2 THEN 'New / Promising'
-      WHEN r_score = 3 AND fm <= 2 THEN 'Potential Loyalist'
-      WHEN r_score = 2 AND fm >= 3 THEN 'At Risk'
-      WHEN r_score = 1 AND fm >= 4 THEN 'Cannot Lose Them'
-      WHEN r_score = 1 AND fm = 3 THEN 'At Risk'
-      WHEN r_score <= 2 AND fm <= 2 THEN 'Hibernating / Lost'
-      ELSE 'Others' END AS segment
-  FROM (SELECT *, CAST(round((f_score + m_score) / 2.0) AS BIGINT) AS fm FROM mart)
+orders_of AS (
+  SELECT *, count(*) OVER () AS n,
+    row_number() OVER (ORDER BY recency DESC, customer_id) AS r_place, row_number() OVER (ORDER BY frequency, customer_id) AS f_place,
+    row_number() OVER (ORDER BY monetary, customer_id) AS m_place, row_number() OVER (ORDER BY length, customer_id) AS l_place
+  FROM buyers
 ),
+mart AS (SELECT * EXCLUDE (n, r_place, f_place, m_place, l_place), @SCORES@ FROM orders_of),
+grid AS (SELECT * FROM (VALUES @GRID@) AS g(r_score, fm, segment)),
+spend AS (SELECT *, CAST((f_score + m_score + 1) // 2 AS BIGINT) AS fm FROM mart),
+seg AS (SELECT spend.*, coalesce(grid.segment, '@OTHER@') AS segment FROM spend LEFT JOIN grid USING (r_score, fm)),
 band AS (
   SELECT *, CASE WHEN recency <= 90 THEN '1 Active (<=90d)' WHEN recency <= 180 THEN '2 Cooling (91-180d)'
                  WHEN recency <= 365 THEN '3 At Risk (181-365d)' ELSE '4 Churned (>365d)' END AS churn_band FROM mart
@@ -110,7 +106,9 @@ gaps AS (
        + (a.m_score - b.m_score) * (a.m_score - b.m_score) AS DOUBLE)) AS euclidean
   FROM stripes a JOIN stripes b ON a.k = b.k
 )
-"""
+""".replace("@SCORES@", ", ".join(f"{_fifth(v + '_place')} AS {v}_score" for v in "rfml")).replace(
+    "@GRID@", ", ".join(f"({r}, {fm}, '{name}')" for r, row in X.SEGMENT_GRID.items() for fm, name in enumerate(row, 1))).replace(
+    "@OTHER@", X.OTHER_SEGMENT)
 
 
 def _silhouette(metric: str) -> str:
@@ -180,17 +178,27 @@ _SPEAR_SCORES = _spearman(["r_score", "f_score", "m_score", "l_score"], "mart")
 _REDUNDANCY = f"redundancy AS (SELECT max(CASE WHEN second = 'l_score' THEN abs(rho) END) AS l_redundancy, max(CASE WHEN second <> 'l_score' THEN abs(rho) END) AS rfm_redundancy FROM ({_SPEAR_SCORES[1]}))"
 _GAIN = "gain AS (SELECT (SELECT count(*) FROM rfm) AS rfm_cells, (SELECT count(*) FROM lrfm) AS lrfm_cells)"
 
-_SEGMENTS = """SELECT segment, count(*) AS customers,
-  round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS pct_customers,
-  round(CAST(sum(recency) AS DOUBLE) / count(*), 0) AS avg_recency, round(CAST(sum(frequency) AS DOUBLE) / count(*), 1) AS avg_frequency,
-  round(CAST(sum(monetary) AS DOUBLE) / count(*), 0) AS avg_monetary, round(CAST(sum(length) AS DOUBLE) / count(*), 0) AS avg_length,
-  round(CAST(sum(monetary) AS DOUBLE), 0) AS total_revenue,
-  round(100.0 * CAST(sum(monetary) AS DOUBLE) / CAST(sum(sum(monetary)) OVER () AS DOUBLE), 1) AS pct_revenue
-FROM seg GROUP BY segment"""
-_BANDS = """SELECT churn_band, count(*) AS customers, round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS pct_customers,
-  round(CAST(sum(frequency) AS DOUBLE) / count(*), 1) AS avg_frequency, round(CAST(sum(monetary) AS DOUBLE), 0) AS revenue_at_band,
-  round(100.0 * CAST(sum(monetary) AS DOUBLE) / CAST(sum(sum(monetary)) OVER () AS DOUBLE), 1) AS pct_revenue
-FROM band GROUP BY churn_band"""
+
+
+def _report(table: str, label: str, measures: dict[str, str], revenue: str) -> str:
+    """Customers and revenue of each label with their shares of the whole, and other measures."""
+    more = "".join(f", {sql} AS {name}" for name, sql in measures.items())
+    return f"""SELECT part.*, round(100.0 * customers / everyone, 1) AS pct_customers, round(100.0 * {revenue} / takings, 1) AS pct_revenue
+FROM (SELECT {label}, count(*) AS customers, round(CAST(sum(monetary) AS DOUBLE), 0) AS {revenue}_shown{more}, CAST(sum(monetary) AS DOUBLE) AS {revenue} FROM {table} GROUP BY {label}) part,
+     (SELECT count(*) AS everyone, CAST(sum(monetary) AS DOUBLE) AS takings FROM {table})"""
+
+
+def _shown(report: str, revenue: str) -> str:
+    return f"SELECT * EXCLUDE ({revenue}, {revenue}_shown), {revenue}_shown AS {revenue} FROM ({report})"
+
+
+def _average(column: str, digits: int) -> str:
+    return f"round(avg(CAST({column} AS DOUBLE)), {digits})"
+
+
+_SEGMENTS = _shown(_report("seg", "segment", {
+    "avg_recency": _average("recency", 0), "avg_frequency": _average("frequency", 1), "avg_monetary": _average("monetary", 0), "avg_length": _average("length", 0)}, "total_revenue"), "total_revenue")
+_BANDS = _shown(_report("band", "churn_band", {"avg_frequency": _average("frequency", 1)}, "revenue_at_band"), "revenue_at_band")
 _BALANCE = " UNION ALL ".join(
     f"SELECT '{v}' AS axis, {v.lower()}_score AS score, count(*) AS customers FROM mart GROUP BY {v.lower()}_score" for v in "RFML")
 _QUINTILE = "quintile AS (SELECT *, ntile(5) OVER (ORDER BY monetary DESC, customer_id) AS m_quintile FROM mart)"
@@ -220,8 +228,8 @@ def _rank_cut() -> str:
     FROM elapsed"""
 
 
-_ELAPSED = """elapsed AS (SELECT customer_id, CAST(floor(date_diff('second', last_date, (SELECT snapshot FROM snap)) / 86400) AS BIGINT) AS recency,
-  frequency, monetary, CAST(floor(date_diff('second', first_date, last_date) / 86400) AS BIGINT) AS length FROM agg)"""
+_ELAPSED = """elapsed AS (SELECT customer_id, CAST(floor(date_diff('second', last_date, (SELECT max(closing) FROM habits)) / 86400) AS BIGINT) AS recency,
+  frequency, monetary, CAST(floor(date_diff('second', first_date, last_date) / 86400) AS BIGINT) AS length FROM buyers)"""
 
 
 def _profile() -> str:
@@ -241,10 +249,10 @@ _LOYALTY = """means AS (SELECT cluster, avg(CAST(r_score AS DOUBLE)) AS r_score,
 
 def _lowest_bin() -> str:
     def score(axis):
-        cuts = [f"(SELECT quantile_cont(CAST({axis} AS DOUBLE), {s}) FROM agg)" for s in (0.2, 0.4, 0.6, 0.8)]
+        cuts = [f"(SELECT quantile_cont(CAST({axis} AS DOUBLE), {s}) FROM buyers)" for s in (0.2, 0.4, 0.6, 0.8)]
         return " + ".join(["1"] + [f"CASE WHEN CAST({axis} AS DOUBLE) > {c} THEN 1 ELSE 0 END" for c in cuts])
     return f"""SELECT customer_id, CAST({score('-recency')} AS BIGINT) AS r_score, CAST({score('frequency')} AS BIGINT) AS f_score,
-      CAST({score('CAST(monetary * 100 AS BIGINT)')} AS BIGINT) AS m_score, CAST({score('length')} AS BIGINT) AS l_score FROM agg"""
+      CAST({score('CAST(monetary * 100 AS BIGINT)')} AS BIGINT) AS m_score, CAST({score('length')} AS BIGINT) AS l_score FROM buyers"""
 
 
 def _histogram(value: str) -> str:
@@ -254,7 +262,7 @@ def _histogram(value: str) -> str:
 
 def _lattice(bins: int) -> str:
     return f"""
-scored AS (SELECT ntile({bins}) OVER (ORDER BY recency DESC, customer_id) AS r, ntile({bins}) OVER (ORDER BY frequency, customer_id) AS f FROM agg),
+scored AS (SELECT ntile({bins}) OVER (ORDER BY recency DESC, customer_id) AS r, ntile({bins}) OVER (ORDER BY frequency, customer_id) AS f FROM buyers),
 small AS (SELECT r, f, count(*) AS cnt, (r - 1) * {bins} + f - 1 AS v FROM scored GROUP BY r, f),
 link AS (SELECT a.v AS i, b.v AS j, a.cnt * b.cnt * (abs(a.r - b.r) + abs(a.f - b.f)) AS w FROM small a JOIN small b ON a.v < b.v)
 """
@@ -270,6 +278,14 @@ def _exhaustive(k: int, vertices: int = 9) -> str:
       FROM generate_series(0, {k ** (vertices - 1) - 1}) AS g(id), link GROUP BY id)"""
 
 
+def _least_squares(k: int, vertices: int = 9) -> str:
+    """Every labelling of the small lattice: sum of squares less squared sums over weights, per cluster and axis."""
+    own = f"CASE WHEN v = 0 THEN 0 ELSE (id // CAST(power({k}, v - 1) AS BIGINT)) % {k} END"
+    terms = " + ".join(f"sum(CAST(cnt * {a} * {a} AS DOUBLE)) - pow(sum(CAST(cnt * {a} AS DOUBLE)), 2) / sum(cnt)" for a in ("r", "f"))
+    return f"""SELECT CAST({k} AS BIGINT) AS k, round(min(inertia), 6) AS inertia FROM (SELECT id, sum(part) AS inertia FROM (
+      SELECT id, {own} AS cluster, {terms} AS part FROM generate_series(0, {k ** (vertices - 1) - 1}) AS g(id), small GROUP BY ALL) GROUP BY id)"""
+
+
 def _with(select: str, *stages: str) -> str:
     return "WITH " + ",\n".join([STAGES.strip(), *[s.strip() for s in stages]]) + "\n" + select
 
@@ -304,8 +320,8 @@ def oracle_sql() -> dict[str, str]:
 
     kinds = [("Invoice", "string"), ("StockCode", "string"), ("Description", "string"), ("Quantity", "int"), ("InvoiceDate", "timestamp_ntz"),
              ("Price", "decimal(12,2)"), ("CustomerID", "bigint"), ("Country", "string"), ("SourceSheet", "string")]
-    q["a11_column_types"] = " UNION ALL ".join(
-        f"SELECT CAST({i} AS BIGINT) AS position, '{n}' AS column_name, '{t}' AS column_type" for i, (n, t) in enumerate(kinds))
+    q["a11_column_types"] = _with(" UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS position, '{n}' AS column_name, '{t}' AS column_type, count({n}) AS n_values FROM tx" for i, (n, t) in enumerate(kinds)))
 
     q["p1_with_customer"] = _with(PER_COUNTRY.format("tx WHERE CustomerID IS NOT NULL"))
     q["p2_positive_quantity"] = _with(PER_COUNTRY.format("tx WHERE Quantity > 0"))
@@ -335,11 +351,11 @@ def oracle_sql() -> dict[str, str]:
     q["p15_cancelled_and_negative"] = _with(f"SELECT {both} FROM tx")
 
     q["j1_lines_with_invoice"] = _with(
-        f"SELECT customer_id, stock_code, count(*) AS n_lines, CAST(sum(amount) AS DOUBLE) AS amount, {DATE.format('max(invoice_date)')} AS last_date FROM line GROUP BY customer_id, stock_code")
+        f"SELECT customer_id, stock_code, count(*) AS n_lines, CAST(sum(amount) AS DOUBLE) AS amount, {DATE.format('max(invoice_date)')} AS last_date FROM sold GROUP BY customer_id, stock_code")
     q["j2_invoice_totals"] = _with(
-        f"SELECT invoice_id, customer_id, {DATE.format('invoice_date')} AS invoice_date, CAST(round(sum(amount), 2) AS DOUBLE) AS invoice_total FROM line GROUP BY invoice_id, customer_id, line.invoice_date")
+        f"SELECT invoice_id, customer_id, {DATE.format('invoice_date')} AS invoice_date, CAST(round(sum(amount), 2) AS DOUBLE) AS invoice_total FROM sold GROUP BY invoice_id, customer_id, sold.invoice_date")
     q["j3_snapshot"] = _with(
-        f"SELECT customer_id, {DATE.format('last_date')} AS last_date, {DATE.format('(SELECT snapshot FROM snap)')} AS snapshot FROM agg")
+        f"SELECT customer_id, {DATE.format('last_date')} AS last_date, {DATE.format('(SELECT max(closing) FROM habits)')} AS snapshot FROM buyers")
     fk = """SELECT 'dim_invoice' AS child, 'customer_id' AS key_column, 'dim_customer' AS parent, count(DISTINCT customer_id) AS n_keys, count(*) AS n_rows
               FROM dim_invoice WHERE customer_id NOT IN (SELECT customer_id FROM dim_customer)
             UNION ALL SELECT 'fact_line', 'invoice_id', 'dim_invoice', count(DISTINCT invoice_id), count(*) FROM {0} WHERE invoice_id NOT IN (SELECT invoice_id FROM dim_invoice)
@@ -379,7 +395,7 @@ def oracle_sql() -> dict[str, str]:
     q["g2_dim_product"] = _with("SELECT stock_code, description FROM dim_product")
     q["g3_dim_invoice"] = _with(f"SELECT invoice_id, customer_id, {DATE.format('invoice_date')} AS invoice_date FROM dim_invoice")
     q["g4_fact_line"] = _with("SELECT invoice_id, stock_code, CAST(quantity AS BIGINT) AS quantity, CAST(price AS DOUBLE) AS price FROM fact_line")
-    q["g5_rfml_calendar"] = _with(f"SELECT {RAW} FROM agg")
+    q["g5_rfml_calendar"] = _with(f"SELECT {RAW} FROM buyers")
     q["g6_rfml_elapsed"] = _with(f"SELECT {RAW} FROM elapsed", _ELAPSED)
     q["g7_score_balance"] = _with(_BALANCE)
     q["g8_segment_values"] = _with(_SEGMENTS)
@@ -471,7 +487,7 @@ def oracle_sql() -> dict[str, str]:
     q["u2_row_stacking"] = _with("SELECT SourceSheet, Country, count(*) AS n_rows FROM tx GROUP BY SourceSheet, Country")
     q["u3_key_intersection"] = _with(f"SELECT count(*) AS n_shared FROM ({shared})")
 
-    q["f1_calendar_days"] = _with("SELECT customer_id, length AS days FROM agg")
+    q["f1_calendar_days"] = _with("SELECT customer_id, length AS days FROM buyers")
     q["f2_elapsed_days"] = _with("SELECT customer_id, length AS days FROM elapsed", _ELAPSED)
     q["f3_date_text"] = _with(f"SELECT invoice_id, {DATE.format('invoice_date')} AS moment, strftime(invoice_date, '%Y-%m') AS month FROM dim_invoice")
     q["f4_rounding"] = _with(f"SELECT CAST(cell_id AS BIGINT) AS cell_id, CAST(round((f_score + m_score) / 2.0) AS BIGINT) AS half_away, {even} AS half_even FROM rfm")
@@ -524,6 +540,15 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT CAST(k AS BIGINT) AS k, round((total - intra) / total, 6) AS cut_share FROM (SELECT k, {cut.format('euclidean')} FROM gaps GROUP BY k)")
     q["k10_exhaustive_cut"] = _with(" UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4)), _EXHAUSTIVE)
     q["k4_local_search_optimum"] = q["k10_exhaustive_cut"]
+    q["k5_exchange_optimum"] = q["k10_exhaustive_cut"]
+    q["k15_kmeans_inertia"] = _with(" UNION ALL ".join(_least_squares(k) for k in (2, 3)), _EXHAUSTIVE)
+    sets = "(VALUES ('RFM'), ('LRFM')) AS v(variables), generate_series(2, 10) AS g(k)"
+    q["k4_convergence"] = f"SELECT variables, CAST(k AS BIGINT) AS k, CAST(200 AS BIGINT) AS restarts, CAST(200 AS BIGINT) AS settled FROM {sets}"
+    q["k7_objective_of_full_cells"] = _with(f"SELECT variables, CAST(k AS BIGINT) AS k, (SELECT count(*) FROM mart) AS customers, CAST(0 AS DOUBLE) AS difference FROM {sets}")
+    for name, same in (("w1_ntile_scores_buckets", "w1_ntile_scores"), ("w2_rank_cut_scores_buckets", "w2_rank_cut_scores"), ("w3_monetary_quintile_buckets", "w3_monetary_quintile"),
+                       ("w6_pareto_curve_buckets", "w6_pareto_curve"), ("w7_gini_customers_buckets", "w7_gini_customers"), ("w8_average_ranks_shuffled", "w8_average_ranks"),
+                       ("s2_extremes_buckets", "s2_extremes"), ("s3_spearman_raw_shuffled", "s3_spearman_raw"), ("j6_lift_labels_shuffled", "j6_lift_labels")):
+        q[name] = q[same]
     q["k6_multi_start_optimum"] = _with(_exhaustive(2, 16), _lattice(4))
     q["k7_objective_recomputed"] = _with(
         "SELECT k, best_cut, best_cut AS label_cut FROM (" + " UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4)) + ")", _EXHAUSTIVE)
@@ -546,7 +571,7 @@ def oracle_sql() -> dict[str, str]:
         GROUP BY c.CustomerID, c.StockCode, c.InvoiceDate, c.n_cancelled""")
     q["x4_missing_customer_months"] = _with("SELECT strftime(InvoiceDate, '%Y-%m') AS month, count(*) AS n_rows, count(*) FILTER (CustomerID IS NULL) AS n_missing FROM tx GROUP BY 1")
     q["x5_silhouette_manhattan"] = _with("SELECT CAST(k AS BIGINT) AS k, round(silhouette, 6) AS silhouette FROM curve", _silhouette("manhattan"))
-    q["x6_length_since_first"] = _with("SELECT customer_id, date_diff('day', CAST(first_date AS DATE), CAST((SELECT snapshot FROM snap) AS DATE)) AS length FROM agg")
+    q["x6_length_since_first"] = _with("SELECT customer_id, date_diff('day', CAST(first_date AS DATE), CAST((SELECT max(closing) FROM habits) AS DATE)) AS length FROM buyers")
     q["x7_lowest_bin_scores"] = _with(_lowest_bin())
     q["x8_scatter_length_recency"] = _with("SELECT customer_id, CAST(length AS DOUBLE) AS x, CAST(recency AS DOUBLE) AS y FROM mart")
     return q

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.functions.expressions import churn_band, combined_fm, named_segment, share_where
-from patronage.operators.ranking import long_form, order_statistics
+from patronage.operators.ranking import ROWS_PER_BUCKET, long_form, order_statistics
 from patronage.operators.scoring import BINS, ORDINAL, SCORE_COLUMN, bin_of, ntile_starts
 
 
@@ -82,11 +82,11 @@ def response_proxy(mart: DataFrame) -> DataFrame:
     ).orderBy(F.desc("repeat_rate_pct"), "segment")
 
 
-def monetary_quintiles(mart: DataFrame, bins: int = BINS) -> DataFrame:
+def monetary_quintiles(mart: DataFrame, bins: int = BINS, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Append the bin of the descending monetary order (1 = richest)."""
     ordinal = f"-{ORDINAL['M']}"
     found, _ = order_statistics(
-        long_form(mart, {"M": ordinal}, "customer_id"), lambda _axis, total: ntile_starts(total, bins))
+        long_form(mart, {"M": ordinal}, "customer_id"), lambda _axis, total: ntile_starts(total, bins), rows_per_bucket)
     borders = [border for _, border in sorted(found.get(("M", ""), {}).items())]
     return mart.withColumn("m_quintile", bin_of(ordinal, "customer_id", borders))
 

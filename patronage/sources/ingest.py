@@ -107,6 +107,9 @@ def structure(log: DataFrame) -> DataFrame:
 
 
 def column_types(log: DataFrame) -> DataFrame:
-    """Column names and types as a table."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(log.schema.fields)]
-    return log.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
+    """Columns in order with their types and the number of values that are not NULL, in one pass."""
+    counted = log.agg(*[F.count(f"`{f.name}`").alias(f"n{i}") for i, f in enumerate(log.schema.fields)])
+    rows = F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type"), F.col(f"n{i}").alias("n_values"))
+        for i, f in enumerate(log.schema.fields)])
+    return counted.select(F.explode(rows).alias("c")).select("c.*")

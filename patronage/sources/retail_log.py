@@ -33,16 +33,6 @@ def read_base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a scan with fewer splits than the session has cores.
-
-    A small file is read by one or two tasks, and all work up to the next shuffle would
-    stay there. A large table has more splits than cores and passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line, shaped like a two-part retail export.
 
@@ -54,7 +44,7 @@ def transaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = base["orders"].join(buyers, F.expr("o_custkey = c_custkey")).select(
         "o_orderkey", "o_custkey", "o_orderdate", "n_name")
     joined = (
-        spread(base["lineitem"], "l_orderkey")
+        base["lineitem"]
         .join(sales.hint("merge"), F.expr("l_orderkey = o_orderkey"))
         .join(base["part"], F.expr("l_partkey = p_partkey"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -42,9 +43,14 @@ def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def cached_table(spark: SparkSession, path: str, build, force: bool = False) -> DataFrame:
-    """Build the table at ``path`` unless a complete one is there, then scan it."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if force or not file_system.exists(hadoop_path):
-        save_table(build(), path)
+    """The table at ``path``, built if it cannot be read or if ``force`` asks for it.
+
+    What is stored is taken as it is; a caller whose source has changed passes ``force``.
+    """
+    if not force:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            pass  # not there, or without a file that tells its schema
+    save_table(build(), path)
     return spark.read.parquet(path)

@@ -121,5 +121,5 @@ def test_average_ranks_with_hot_values(customers, rows_per_bucket, broadcast_val
 def test_boxes_in_buckets(customers):
     labelled = customers.withColumn("cluster", F.expr("customer_id % 3"))
     plain = sorted(map(tuple, box_statistics(labelled).collect()))
-    split = sorted(map(tuple, box_statistics(labelled, rows_per_bucket=90).collect()))
+    split = sorted(map(tuple, box_statistics(labelled, accuracy=20).collect()))
     assert plain == split and len(plain) == 3

@@ -106,7 +106,13 @@ def test_grid_leaves_nobody_out(spark):
     names = {(r.r, r.fm): r.s for r in grid.select("r", "fm", X.named_segment(F.col("r"), F.col("fm")).alias("s")).collect()}
     assert "Others" not in names.values()
     assert names[5, 5] == "Champions" and names[1, 3] == "At Risk" and names[3, 4] == "Loyal Customers"
-    assert set(names.values()) == set(X.SEGMENTS)
+    assert set(names.values()) == {name for row in X.SEGMENT_GRID.values() for name in row}
+
+
+def test_only_whole_markers_are_junk(spark):
+    texts = ['?', '??', 'damaged', ' LOST ', 'Check', 'CHECKERED TABLECLOTH', 'LOST AND FOUND SIGN', 'damaged box', '', None]
+    df = spark.createDataFrame([(t,) for t in texts], 'd string')
+    assert [r.j for r in df.select(X.is_junk_description(F.col('d')).alias('j')).collect()] == [True] * 5 + [False] * 5
 
 
 def test_empty_months_count_zero(rows):
