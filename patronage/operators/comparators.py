@@ -9,6 +9,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -20,6 +21,9 @@ from patronage.sources.storage import materialise
 
 STARTS = 10
 AT_ONCE = 8
+RETRIES = 8
+#: What the library's mixture reports when a component's covariance vanishes.
+DEGENERATE = ("NotConvergedException", "no non-zero singular values", "MatrixSingularException")
 METHODS = ["K-means", "GMM"]
 
 
@@ -29,6 +33,17 @@ def _estimator(method: str, k: int, seed: int):
     return GaussianMixture(k=k, weightCol="cnt", seed=seed, featuresCol="features", predictionCol="cluster", probabilityCol="share")
 
 
+def _fit(method: str, k: int, seed: int, vectors: DataFrame):
+    """A fitted model, or None: a mixture whose component shrinks to a point has no covariance and fails; other seeds are tried."""
+    for retry in range(1 if method == "K-means" else RETRIES):
+        try:
+            return _estimator(method, k, seed + 1000 * retry).fit(vectors)
+        except Py4JJavaError as error:
+            if not any(sign in str(error.java_exception) for sign in DEGENERATE):
+                raise
+    return None
+
+
 def _loss(method: str, model) -> float:
     return model.summary.trainingCost if method == "K-means" else -model.summary.logLikelihood
 
@@ -36,19 +51,24 @@ def _loss(method: str, model) -> float:
 def compare_methods(cells: DataFrame, variables: list[str], k_values: list[int], methods: list[str] | None = None,
                     seed: int = SEED, starts: int = STARTS) -> DataFrame:
     """Cell labels of each comparator and k, in the layout of the max-k-cut labels: K-means by the best of
-    ``starts`` fits (the first on ties), the mixture by one fit. Only models come to the driver, not cells."""
+    ``starts`` fits (the first on ties), the mixture by one fit. A k for which every mixture degenerates has no rows. Only
+    models come to the driver; the cells, a lattice of bounded size, are read in one order, so fits can be repeated."""
     columns = score_columns(variables)
     stored = materialise(cells.select("cell_id", "cnt", *columns), "comparator-cells")
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(stored)
+    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(stored.coalesce(1).sortWithinPartitions("cell_id"))
     wanted = [(m, k, s) for m in methods or METHODS for k in k_values for s in range(starts if m == "K-means" else 1)]
     with ThreadPoolExecutor(AT_ONCE) as pool:
-        models = list(pool.map(lambda w: _estimator(w[0], w[1], seed + w[2]).fit(vectors), wanted))
+        models = list(pool.map(lambda w: _fit(w[0], w[1], seed + w[2], vectors), wanted))
     best: dict[tuple[str, int], tuple[float, int]] = {}
     for place, ((method, k, _), model) in enumerate(zip(wanted, models)):
+        if model is None:
+            continue
         best[method, k] = min(best.get((method, k), (float("inf"), -1)), (_loss(method, model), place))
     labelled = [
         models[place].transform(vectors).select("cell_id", "cnt", *columns, "cluster").withColumns(
             {"method": F.lit(method), "k": F.lit(k), "variables": F.lit("".join(variables))})
         for (method, k), (_, place) in best.items()
     ]
+    if not labelled:
+        return stored.limit(0).selectExpr("*", "0 AS cluster", "'' AS method", "0 AS k", "'' AS variables")
     return reduce(DataFrame.unionByName, labelled)

@@ -64,10 +64,10 @@ dim_product AS (
     FROM clean GROUP BY StockCode, Description) GROUP BY stock_code
 ),
 sold AS (SELECT invoice_id, customer_id, invoice_date, stock_code, quantity * price AS amount FROM fact_line JOIN dim_invoice USING (invoice_id)),
-visits AS (SELECT customer_id, invoice_id, min(invoice_date) AS at, sum(amount) AS spent FROM sold GROUP BY customer_id, invoice_id),
+visits AS (SELECT customer_id, invoice_id, min(invoice_date) AS seen_on, sum(amount) AS spent FROM sold GROUP BY customer_id, invoice_id),
 habits AS (
-  SELECT customer_id, count(*) AS frequency, round(sum(spent), 2) AS monetary, min(at) AS first_date, max(at) AS last_date,
-    max(max(at)) OVER () AS closing
+  SELECT customer_id, count(*) AS frequency, round(sum(spent), 2) AS monetary, min(seen_on) AS first_date, max(seen_on) AS last_date,
+    max(max(seen_on)) OVER () AS closing
   FROM visits GROUP BY customer_id
 ),
 buyers AS (
