@@ -79,7 +79,7 @@ def loyalty_segments(labelled: DataFrame, variables: list[str] = LRFM) -> DataFr
     names = " ".join(f"WHEN rank = {rank} THEN '{name}'" for rank, name in LOYALTY.items())
     ranks = loyalty_ranking(labelled, variables).selectExpr(
         "cluster", f"CASE {names} ELSE concat('rank ', rank) END AS segment")
-    return labelled.join(F.broadcast(ranks), "cluster")
+    return labelled.join(ranks, "cluster")
 
 
 def exact_quantiles(df: DataFrame, by: str, value: str, shares: dict[str, float], accuracy: int = 1000) -> DataFrame:

@@ -373,6 +373,14 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT 'fact_line', 'stock_code', 'not null', count(*) FROM tx WHERE StockCode IS NULL
         UNION ALL SELECT 'fact_line', 'quantity', 'not null', count(*) FROM tx WHERE Quantity IS NULL
         UNION ALL SELECT 'fact_line', 'price', 'not null', count(*) FROM tx WHERE Price IS NULL""")
+    repeated = "(SELECT count(*) FROM (SELECT {0} AS key, count(*) AS n FROM ({1}) GROUP BY {0}) WHERE n > 1 OR key IS NULL)"
+    pairs = {
+        "dim_customer": ("customer_id", "CustomerID", "SELECT DISTINCT CustomerID, Country FROM tx"), "dim_product": ("stock_code", "StockCode", "SELECT DISTINCT StockCode, Description FROM tx"),
+        "dim_invoice": ("invoice_id", "Invoice", "SELECT DISTINCT Invoice, CustomerID, InvoiceDate FROM tx"), "fact_line": ("line_id", "line_id", "SELECT Invoice || ' ' || StockCode AS line_id FROM tx")}
+    unfolded = [f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS rule, {repeated.format(k, rows)} AS n_violations" for t, (c, k, rows) in pairs.items()]
+    unfolded += [f"SELECT 'dim_invoice', '{c}', 'not null', count(*) FROM ({pairs['dim_invoice'][2]}) WHERE {k} IS NULL" for c, k in (("customer_id", "CustomerID"), ("invoice_date", "InvoiceDate"))]
+    unfolded += [f"SELECT 'fact_line', '{c}', 'not null', count(*) FROM tx WHERE {k} IS NULL" for c, k in (("invoice_id", "Invoice"), ("stock_code", "StockCode"), ("quantity", "Quantity"), ("price", "Price"))]
+    q["j5_key_checks_unfolded"] = _with(" UNION ALL ".join(unfolded))
     q["j6_lift_labels"] = _with("SELECT customer_id, cluster FROM levels")
     q["j7_cell_pairs"] = _with(_pairs("rfm", "r_score f_score m_score", "euclidean"))
     q["j8_tuple_lookup"] = _with(
