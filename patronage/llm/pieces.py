@@ -3,7 +3,8 @@
 The model's protobuf is read field by field. The normaliser (dummy prefix, space marker), the unigram scores or the
 merges that BPE scores imply, and byte fallback become a tokenizer of the library. Where no piece holds the space
 marker after another character, pieces never cross from one word into the next, so a task encodes each
-distinct word once, in multithreaded batches.
+distinct word once, in multithreaded batches. Ids are those of the rebuilt tokenizer; the sentencepiece library
+encodes the same words beside it, and each row says for how many of its words the two differ.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from patronage.llm.wordarrays import ranges, slices
 MARK = "▁"
 THREADS = 2
 JOINER = "\x01"
+#: Set in the first id of a remembered word for which the two libraries differ.
+DIFFERS = np.uint32(1 << 31)
 CHUNK = 2 << 20
 # Field numbers and enums of the model's protobuf.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -61,7 +64,7 @@ def fields(data: bytes):
 
 
 class PieceModel:
-    """A parsed model with its tokenizer; ``verify`` compares it with the sentencepiece library."""
+    """A parsed model with its tokenizer, and the sentencepiece library's own as ``reference``."""
 
     def __init__(self, raw: bytes):
         self.raw = raw
@@ -88,16 +91,21 @@ class PieceModel:
         self.by_word = not self.charsmap and not self.squeeze and self.prefix and not any(MARK in p.lstrip(MARK) for p in self.pieces)
         self._tokenizer = None
         self._reference = None
-        self.differing = 0
 
     def merges(self) -> list[tuple[str, str]]:
-        """Pairs of pieces in the order in which BPE joins them: by the score of what they make, best first."""
+        """Pairs of pieces in the order in which BPE joins them: by the score of what they make, best first.
+
+        Where several pairs have one score, sentencepiece joins the leftmost, while here each pair needs its own rank. Of
+        pieces of one score (runs of spaces) the longer goes first, so that a run grows from the left; of pairs that make
+        one piece, those go first that stand to the left where two of them share a piece (x+y = y+z).
+        """
         normal = {p: s for p, s, k in zip(self.pieces, self.scores, self.kinds) if k == NORMAL}
         made = []
         for piece, score in normal.items():
             for cut in range(1, len(piece)):
                 if piece[:cut] in normal and piece[cut:] in normal:
-                    made.append((-score, -normal[piece[:cut]], -normal[piece[cut:]], piece[:cut], piece[cut:]))
+                    left = not piece.startswith(piece[cut:])
+                    made.append((-score, -len(piece), left, -normal[piece[:cut]], -normal[piece[cut:]], piece[:cut], piece[cut:]))
         return [(a, b) for *_, a, b in sorted(made)]
 
     @property
@@ -135,23 +143,34 @@ class PieceModel:
         return [e.ids if t else [] for e, t in zip(self.tokenizer.encode_batch(texts, add_special_tokens=False), texts)]
 
     def encode_lines(self, lines: list[str]) -> list[list[int]]:
-        """Ids of lines that begin with the space of their prefix, each verified against the sentencepiece library.
-
-        A rebuilt order of joins may differ from the library's where two ways to make one piece overlap; a line for
-        which it does is counted in ``differing`` and takes the library's ids.
-        """
+        """Ids of lines that begin with the space of their prefix."""
         bare = [x[1:] for x in lines]
-        mine = [e.ids if t else self.lone_space for e, t in zip(self.tokenizer.encode_batch_fast(bare, add_special_tokens=False), bare)]
-        theirs = [x or self.lone_space for x in self.reference.encode(bare, num_threads=THREADS)]
-        self.differing += sum(a != b for a, b in zip(mine, theirs))
-        return [a if a == b else b for a, b in zip(mine, theirs)]
+        return [e.ids if t else self.lone_space for e, t in zip(self.tokenizer.encode_batch_fast(bare, add_special_tokens=False), bare)]
+
+    def reference_lines(self, lines: list[str]) -> list[list[int]]:
+        """The same by the sentencepiece library."""
+        return [x or self.lone_space for x in self.reference.encode([x[1:] for x in lines], num_threads=THREADS)]
 
     def encoder(self):
-        """For ``units.Lookup``: words in lines, with a sign between them that is in no longer piece, so nothing joins across."""
+        """For ``units.Lookup``: words in lines, with a sign between them that is in no longer piece, so nothing joins across.
+
+        Ids are the rebuilt tokenizer's; ``DIFFERS`` is set in the first id of a word to which the library gives others.
+        """
         alone = not any(JOINER in p and p != JOINER for p in self.pieces)
         own = JOINER if JOINER in self.pieces else f"<0x{ord(JOINER):02X}>"
         mark = self.pieces.index(own) if alone and own in self.pieces else None
-        return units.joined(self.encode_lines, JOINER, mark, 64)
+        mine, theirs = (units.joined(lines, JOINER, mark, 64) for lines in (self.encode_lines, self.reference_lines))
+
+        def run(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids, sizes = mine(words)
+            other, other_sizes = theirs(words)
+            if not (np.array_equal(sizes, other_sizes) and np.array_equal(ids, other)):
+                begin, other_begin = (np.cumsum(n) - n for n in (sizes, other_sizes))
+                unlike = np.array([not np.array_equal(ids[a:a + n], other[b:b + m]) for a, n, b, m in zip(begin, sizes, other_begin, other_sizes)])
+                ids[begin[unlike]] |= DIFFERS
+            return ids, sizes
+
+        return run
 
     @property
     def lone_space(self) -> list[int]:
@@ -188,16 +207,19 @@ class Codec:
         self.lookup = units.Lookup(self.model.encoder())
         self.bytes, self.begin = self.model.table()
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and where each text's begin (one more at the end)."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, where each text's begin (one more at the end), and for how many words of each text the libraries differ."""
         texts = pc.fill_null(texts, "")
         if not self.model.by_word:
             ids = self.model.encode(texts.to_pylist())
             begin = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-            return np.array([x for each in ids for x in each], np.uint32), begin
+            return np.array([x for each in ids for x in each], np.uint32), begin, np.zeros(len(ids), np.int64)
         empty = pc.equal(pc.binary_length(texts), 0)
         led = pc.if_else(empty, texts, pc.binary_join_element_wise(" ", texts, ""))
-        return self.lookup.ids(units.marked(led))
+        ids, begin = self.lookup.ids(units.marked(led))
+        unlike = np.flatnonzero(ids >= DIFFERS)
+        ids[unlike] -= DIFFERS
+        return ids, begin, np.diff(np.searchsorted(unlike, begin))
 
     def decode(self, ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """UTF-8 bytes of the texts, and where each begins: pieces one after another, without the space of the prefix."""
@@ -225,8 +247,8 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
 
     ``round_trip``: whether decoding the ids gives the text back (a literal space marker in a text decodes as a space, as the
     model has it; the comparison counts it as equal). A null or empty text has no ids. A row gives a row; null ids stay
-    null; an empty table gives no rows. ``n_differing`` is 0 as long as the rebuilt tokenizer met no word on which the
-    sentencepiece library differs in this task.
+    null; an empty table gives no rows. ``n_differing`` is the number of the row's words, repeats counted, to which the
+    sentencepiece library gives other ids.
     """
     with open(model_path, "rb") as file:
         raw = docs.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary file, of a size apart from the corpus
@@ -235,7 +257,7 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
         codec = Codec(raw.value)
         for part in slices(batches, CHUNK):
             texts = pc.fill_null(part.column("text"), "")
-            ids, begin = codec.encode(texts)
+            ids, begin, differing = codec.encode(texts)
             back = _texts(*codec.decode(ids, begin))
             same = pc.equal(back, pc.cast(pc.replace_substring(texts, MARK, " "), pa.large_string()))
             ids = ids.astype(np.int32)
@@ -243,7 +265,7 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array(np.diff(begin)), pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids)),
                 pa.array(crc, pa.int64()), pa.array(pc.binary_length(texts).cast(pa.int64())), same,
-                pa.array(np.full(part.num_rows, codec.model.differing, np.int64))],
+                pa.array(differing.astype(np.int64))],
                 names=["doc_id", "n_tokens", "ids", "ids_crc32", "n_bytes", "round_trip", "n_differing"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(

@@ -6,6 +6,7 @@ import zlib
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF
 
@@ -135,6 +136,26 @@ def test_whole_texts_by_the_rebuilt_tokenizer():
     assert model.tokenizer.decode_batch(ids) == texts[:3]
 
 
+def test_rebuilt_merges_of_one_score_and_of_shared_pieces():
+    model = pieces.PieceModel(open(PIECE_FILE, "rb").read())
+    texts = [a + " " * n + b for n in range(1, 70) for a in ("", "a") for b in ("", "b", "▁")] + ["ondondon", "xendenden", "ensensen", "ennennen"]
+    assert model.encode(texts) == model.reference.encode(texts)
+
+
+def test_ids_are_the_rebuilt_tokenizers_and_parity_is_told_by_row(monkeypatch):
+    right = pieces.PieceModel.merges
+    monkeypatch.setattr(pieces, "_models", {})
+    monkeypatch.setattr(pieces.PieceModel, "merges", lambda self: [m for m in right(self) if "".join(m) != "▁information"])
+    codec = pieces.Codec(open(PIECE_FILE, "rb").read())
+    texts = ["plain words", "information and information", "", "more information", "more words"]
+    library = codec.model.reference.encode(texts)
+    for _ in range(2):  # a word met before is told of again
+        ids, begin, differing = codec.encode(pa.array(texts))
+        assert differing.tolist() == [0, 2, 0, 1, 0]
+        mine = [ids[a:b].tolist() for a, b in zip(begin[:-1], begin[1:])]
+        assert mine == codec.model.encode(texts) and [a != b for a, b in zip(mine, library)] == [False, True, False, True, False]
+
+
 def test_packed_ids(spark, documents, odd, none):
     for docs in (documents, odd.filter("doc_id IS NOT NULL")):
         files = bitpack.write(docs, WORD_FILE, 1, 49408, file_ids=3000)
