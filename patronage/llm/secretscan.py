@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and strings that a character Markov model finds random.
 
 Two first-order Markov models, one of random strings and one of ordinary identifiers, are trained from labelled
-samples. A token of ``TOKEN`` characters or more that the patterns did not catch is a secret when the log-likelihood ratio
+samples. A token of ``TOKEN`` characters or more, or what the patterns leave of one, is a secret when the log-likelihood ratio
 of the two models is at least ``LEAST_RATIO``. Spans are code points, end exclusive.
 """
 
@@ -103,9 +103,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def remainders(start: int, end: int, base: list[tuple[int, int, int]]):
+    """(start, end) of what the base spans leave of a token, where it is ``TOKEN`` characters or more."""
+    for a, _, b in base:
+        if start < b and a < end:
+            if a - start >= TOKEN:
+                yield start, a
+            start = b
+    if end - start >= TOKEN:
+        yield start, end
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], model: np.ndarray, least: float = LEAST_RATIO) -> list[tuple[int, int, int]]:
-    return [(m.start(), 3, m.end()) for m in CANDIDATE.finditer(text)
-            if not any(a < m.end() and m.start() < b for a, _, b in base) and ratio(m[0], model) >= least]
+    return [(a, 3, b) for m in CANDIDATE.finditer(text) for a, b in remainders(m.start(), m.end(), base) if ratio(text[a:b], model) >= least]
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
