@@ -31,8 +31,6 @@ TOKEN = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % TOKEN)
 LEAST_RATIO = 18.0
 MASK = "[SECRET]"
-#: Documents whose words stand for ordinary identifiers, those with the least hash of the id.
-SAMPLE_DOCUMENTS = 2000
 
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 STATE = np.full(128, len(SYMBOLS), np.int64)
@@ -52,21 +50,22 @@ def _states(token: str) -> np.ndarray:
 
 # ---------------------------------------------------------------- the two models
 
-def sample(docs: DataFrame, n_docs: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """Labelled strings (text, random): words of ``n_docs`` documents joined as identifiers are written, and as many
-    strings made of the digests of the same words, in base 64 and hexadecimal."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("chosen")).filter("chosen IS NOT NULL").distinct().orderBy(F.xxhash64("chosen"), "chosen").limit(n_docs)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), F.expr("doc_id = chosen"))
-    words = texts.select(F.explode(F.expr("filter(split(text, '[^A-Za-z]+'), w -> length(w) BETWEEN 3 AND 24)")).alias("w")).distinct()
-    ordinary = words.selectExpr(
-        "explode(array(w, upper(w), concat_ws('_', lower(w), substring(lower(w), 1, 4)), concat(w, initcap(w)), concat_ws('-', lower(w), length(w)), concat_ws('/', lower(w), lower(w)))) AS text",
-        "0 AS random")
-    random = words.selectExpr("explode(array(base64(unhex(sha2(w, 256))), base64(unhex(sha1(w))), sha2(w, 224), upper(conv(substring(sha2(w, 384), 1, 15), 16, 36)))) AS text", "1 AS random")
-    return ordinary.union(random)
+def sample(docs: DataFrame) -> DataFrame:
+    """Labelled strings (text, random, n): words of all documents joined as identifiers are written, ``n`` times as the word
+    occurs, and once each as many strings made of the digests of the same words, in base 64 and hexadecimal.
+
+    Occurrences count, as the distinct words of a growing corpus are more and more fragments of random strings.
+    """
+    words = docs.select(F.explode(F.expr("filter(split(CAST(text AS STRING), '[^A-Za-z]+'), w -> length(w) BETWEEN 3 AND 24)")).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    words = words.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, but much to do for each
+    ordinary = "array(w, upper(w), concat_ws('_', lower(w), substring(lower(w), 1, 4)), concat(w, initcap(w)), concat_ws('-', lower(w), length(w)), concat_ws('/', lower(w), lower(w)))"
+    random = "array(base64(unhex(sha2(w, 256))), base64(unhex(sha1(w))), sha2(w, 224), upper(conv(substring(sha2(w, 384), 1, 15), 16, 36)))"
+    return words.selectExpr(f"inline(concat(transform({ordinary}, t -> struct(t AS text, 0 AS random, n AS n)), transform({random}, t -> struct(t AS text, 1 AS random, 1L AS n))))")
 
 
 def train(samples: DataFrame) -> np.ndarray:
-    """Log-likelihood ratio of each transition, from counts over all ``samples`` (text, random); half a count is added.
+    """Log-likelihood ratio of each transition, from counts over all ``samples`` (text, random, and ``n`` where a text counts
+    more than once); half a count is added.
 
     Null texts and labels other than 0 and 1 count nothing; without samples every ratio is 0.
     """
@@ -74,11 +73,15 @@ def train(samples: DataFrame) -> np.ndarray:
         for pdf in frames:
             for label, part in pdf.groupby("random"):
                 chains = [_states(t) for t in part["text"]]
-                pairs = np.concatenate([c[:-1] * STATES + c[1:] for c in chains]) if chains else np.zeros(0, np.int64)
-                pair, n = np.unique(pairs, return_counts=True)
+                pairs = np.concatenate([c[:-1] * STATES + c[1:] for c in chains])
+                times = np.repeat(part["n"].to_numpy(np.int64), [max(0, len(c) - 1) for c in chains])
+                pair, at = np.unique(pairs, return_inverse=True)
+                n = np.zeros(len(pair), np.int64)
+                np.add.at(n, at, times)
                 yield pd.DataFrame({"random": int(label), "pair": pair, "n": n})
 
-    known = samples.select(F.col("text").cast("string").alias("text"), F.col("random").cast("int").alias("random")).filter("text IS NOT NULL AND random IN (0, 1)")
+    n = F.col("n").cast("long") if "n" in samples.columns else F.lit(1).cast("long")
+    known = samples.select(F.col("text").cast("string").alias("text"), F.col("random").cast("int").alias("random"), n.alias("n")).filter("text IS NOT NULL AND random IN (0, 1) AND n > 0")
     rows = known.mapInPandas(count, "random int, pair long, n long").groupBy("random", "pair").agg(F.sum("n").alias("n")).collect()  # 2 * STATES**2 rows at most
     counts = np.full((2, STATES, STATES), 0.5)
     for r in rows:

@@ -102,6 +102,18 @@ def test_masking(odd, model):
     assert secretscan.masked("a bc def", [(2, 0, 4), (3, 1, 6), (6, 2, 7)]) == "a [SECRET][SECRET]f"
 
 
+def test_identifiers_come_from_all_documents(spark):
+    docs = spark.range(2600).selectExpr("id AS doc_id", "concat('common w', translate(string(id), '0123456789', 'abcdefghij')) AS text")
+    docs = docs.union(spark.createDataFrame([(None, "unseen unseen ab"), (5000, None)], "doc_id long, text string"))
+    found = {r["text"]: r["n"] for r in secretscan.sample(docs).filter("random = 0").collect()}
+    assert found["common"] == 2600 and found["unseen"] == 2 and "ab" not in found
+    words = {f"w{''.join('abcdefghij'[int(c)] for c in str(i))}" for i in range(2600)}
+    assert {w for w in words if len(w) > 2} <= set(found)
+    thrice = spark.createDataFrame([("abab", 0, 3), ("x9x", 1, 1)], "text string, random int, n long")
+    once = thrice.selectExpr("explode(array_repeat(text, int(n))) AS text", "random")
+    assert np.allclose(secretscan.train(thrice), secretscan.train(once)) and secretscan.train(once).any()
+
+
 def test_no_samples_no_secrets_by_model(spark):
     assert not secretscan.train(spark.createDataFrame([(None, 1), ("x", 5)], "text string, random int")).any()
 
