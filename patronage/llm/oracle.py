@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from patronage.llm import chatformat, divergence, jaccard
+from patronage.llm import chatformat, divergence, jaccard, spelling
 
 _GAP = r"[ \t\n\x0B\f\r]"
 _WORD = r"[^ \t\n\x0B\f\r]+"
@@ -87,4 +87,26 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
 FROM numbered JOIN lengths USING (conv_id) GROUP BY conv_id"""
 
 
-ORACLES = {"op1_distribution_divergence": op1(), "op2_ngram_jaccard_join": op2(), "op9_chat_windows": op9()}
+def op13() -> str:
+    letters = r"[a-zA-Z\x{C0}-\x{FF}]"
+    return rf"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+runs AS (SELECT d, run, count(*) AS c FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{letters}{{{spelling.LEAST_LETTERS},}}')) AS run FROM documents) GROUP BY d, run),
+bytes AS (SELECT run, c, flatten(list_transform(regexp_extract_all(d || ':' || run, '.'), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+    ELSE [(unicode(x) >> 6 | 192)::BIGINT, (unicode(x) & 63 | 128)::BIGINT] END)) AS b FROM runs),
+summed AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda r, x: xor(r >> 8, t[(xor(r, x) & 255) + 1])), 4294967295::BIGINT) AS h FROM bytes, crc),
+cutting AS (SELECT CASE WHEN h % {spelling.DROPPED} = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, c FROM summed),
+words AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM cutting WHERE length(word) >= {spelling.LEAST_LETTERS} GROUP BY word HAVING sum(c) >= {spelling.LEAST_SEEN}),
+cuts AS MATERIALIZED (SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS v FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM words)),
+longer AS MATERIALIZED (SELECT DISTINCT cuts.word AS x, words.word AS y FROM cuts JOIN words ON v = words.word),
+near AS (SELECT a.word AS x, b.word AS y FROM cuts a JOIN cuts b ON a.v = b.v AND a.p = b.p AND a.word <> b.word UNION ALL SELECT x, y FROM longer UNION ALL SELECT y, x FROM longer),
+best AS (SELECT x, count(*) AS n_near, max(n) AS most, arg_min(y, (-n, y)) AS other FROM near JOIN words ON y = word GROUP BY x),
+formed AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= {spelling.RATIO} * n THEN other END AS form,
+    CASE WHEN most >= {spelling.RATIO} * n THEN most END AS form_n FROM words LEFT JOIN best ON word = x),
+walk AS (SELECT word AS w, word AS at FROM formed UNION ALL SELECT w, form FROM walk JOIN formed ON at = word WHERE form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, walk.at AS root FROM formed f JOIN walk ON f.word = w JOIN formed l ON l.word = walk.at WHERE l.form IS NULL"""
+
+
+ORACLES = {"op1_distribution_divergence": op1(), "op2_ngram_jaccard_join": op2(), "op9_chat_windows": op9(), "op13_spelling_variants": op13()}

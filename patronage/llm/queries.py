@@ -7,14 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from patronage.llm import bitpack, bpecount, chatformat, divergence, jaccard, packing, passages, pieces, secretscan, tiling
+from patronage.llm import alignment, bitpack, bpecount, chatformat, divergence, jaccard, languages, packing, passages, pieces, secretscan, spelling, tiling
 from patronage.llm.oracle import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORD_VOCABULARY, END_ID = 49_408, 1
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+#: Documents that language identification does not learn from.
+LANGUAGE_HELD_OUT = "pmod(crc32(CAST(doc_id AS STRING)), 4) = 2"
 
 
 def query(function):
@@ -86,3 +89,20 @@ def op9_chat_windows(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.range(1).selectExpr("-1L AS conv_id", f"explode(array(struct(0L AS turn, 'user' AS role, '{said}' AS text), struct(1L AS turn, 'assistant' AS role, '{said}' AS text))) AS t")
     return chatformat.digests(chatformat.windows(rows.union(more.select("conv_id", "t.*"))))
+
+
+@query
+def op11_language_filters(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = languages.predicted(docs, languages.fit(docs, LANGUAGE_HELD_OUT))
+    return found.selectExpr("doc_id", f"coalesce({LANGUAGE_HELD_OUT}, false) AS held_out", "lang_pred", "score")
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL)
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
