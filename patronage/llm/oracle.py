@@ -105,8 +105,8 @@ near AS (SELECT a.word AS x, b.word AS y FROM cuts a JOIN cuts b ON a.v = b.v AN
 best AS (SELECT x, count(*) AS n_near, max(n) AS most, arg_min(y, (-n, y)) AS other FROM near JOIN words ON y = word GROUP BY x),
 formed AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= {spelling.RATIO} * n THEN other END AS form,
     CASE WHEN most >= {spelling.RATIO} * n THEN most END AS form_n FROM words LEFT JOIN best ON word = x),
-walk AS (SELECT word AS w, word AS at FROM formed UNION ALL SELECT w, form FROM walk JOIN formed ON at = word WHERE form IS NOT NULL)
-SELECT f.word, f.n, f.n_near, f.form, f.form_n, walk.at AS root FROM formed f JOIN walk ON f.word = w JOIN formed l ON l.word = walk.at WHERE l.form IS NULL"""
+walk AS (SELECT word AS w, word AS step FROM formed UNION ALL SELECT w, form FROM walk JOIN formed ON step = word WHERE form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, step AS root FROM formed f JOIN walk ON f.word = w JOIN formed l ON l.word = step WHERE l.form IS NULL"""
 
 
 ORACLES = {"op1_distribution_divergence": op1(), "op2_ngram_jaccard_join": op2(), "op9_chat_windows": op9(), "op13_spelling_variants": op13()}
