@@ -29,8 +29,8 @@ from patronage.llm.wordarrays import blob, buffer, ranges, slices, unblob
 from patronage.sources.storage import materialise
 
 #: Bytes of text that are cut into units at once, and of a chunk, whose documents share one list of pairs.
-PART_BYTES = 4 << 20
-CHUNK_BYTES = 32 << 20
+PART_BYTES = 1 << 20
+CHUNK_BYTES = 16 << 20
 #: Tokens that are compared one by one before blocks of arrays are.
 SINGLE = 8
 
