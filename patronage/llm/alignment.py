@@ -13,6 +13,7 @@ pair, the chunks' rows are summed and ranked as a table, and each chunk gets the
 from __future__ import annotations
 
 import hashlib
+import os
 from itertools import count
 
 import numpy as np
@@ -23,16 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm import units
-from patronage.llm.pieces import BYTE, CONTROL, MARK, PieceModel
+from patronage.llm.pieces import BYTE, CONTROL, MARK, THREADS, PieceModel
 from patronage.llm.units import Spans
 from patronage.llm.wordarrays import blob, buffer, ranges, slices, unblob
 from patronage.sources.storage import materialise
 
 #: Bytes of text that are cut into units at once, and of a chunk, whose documents share one list of pairs.
 PART_BYTES = 1 << 20
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Tokens that are compared one by one before blocks of arrays are.
 SINGLE = 8
+#: Distinct units that a task remembers with their groups and links.
+REMEMBERED = 150_000
 
 
 def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +135,8 @@ class Pair(units.Lookup):
     groups, and the flat ids its links, two numbers each.
     """
 
-    def __init__(self, json_content: str, model: bytes, limit: int = units.REMEMBERED):
+    def __init__(self, json_content: str, model: bytes, limit: int = REMEMBERED):
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(json_content)
@@ -157,7 +161,7 @@ class Pair(units.Lookup):
 
     def encoded(self, texts: list[str]):
         """Ids and their number of each unit, on either side."""
-        for ids in ([e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)], self.model.reference_lines(texts)):
+        for ids in ([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.model.reference_lines(texts)):
             yield np.array([x for each in ids for x in each], np.int64), np.array([len(each) for each in ids], np.int64)
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
