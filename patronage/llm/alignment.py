@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from itertools import count
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ CHUNK_BYTES = 8 << 20
 #: Tokens that are compared one by one before blocks of arrays are.
 SINGLE = 8
 #: Distinct units that a task remembers with their groups and links.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 
 
 def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +162,7 @@ class Pair(units.Lookup):
     def encoded(self, texts: list[str]):
         """Ids and their number of each unit, on either side."""
         for ids in ([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.model.reference_lines(texts)):
-            yield np.array([x for each in ids for x in each], np.int64), np.array([len(each) for each in ids], np.int64)
+            yield np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Links of units that were not met before, two numbers each, and how many numbers each unit has."""
@@ -196,11 +196,13 @@ def _same(whole: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndar
 
 def _spelled(ids_a, ids_b, last_a, last_b, ends) -> list[str]:
     """The groups of each unit as text: ids joined by commas, sides by a bar, groups by a semicolon."""
-    a, b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    said, i, j = [], 0, 0
-    for x, y in zip(last_a.tolist(), last_b.tolist()):
-        said.append(f"{a[i]}|{b[j]}" if x == i and y == j else f"{','.join(a[i:x + 1])}|{','.join(b[j:y + 1])}")
-        i, j = x + 1, y + 1
+    first_a, first_b = (np.concatenate([[0], last[:-1] + 1])[:len(last)] for last in (last_a, last_b))
+    said = [f"{x}|{y}" for x, y in zip(ids_a[last_a].tolist(), ids_b[last_b].tolist())]  # right where one meets one
+    several = np.flatnonzero((first_a < last_a) | (first_b < last_b))
+    a, b = ids_a.tolist(), ids_b.tolist()
+    sides = (x[several].tolist() for x in (first_a, last_a + 1, first_b, last_b + 1))
+    for at, i, x, j, y in zip(several.tolist(), *sides):
+        said[at] = f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}"
     at = np.searchsorted(last_a, ends).tolist()
     return [";".join(said[x:y]) for x, y in zip([0, *at], at)]
 
