@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.operators.graph import lift, reduce_cells, score_columns, silhouette, threshold_counts
+from patronage.operators.graph import lift, reduce_cells, score_columns, silhouette
 from patronage.operators.scoring import BINS, LRFM, RFM
 from patronage.sources.storage import materialise
 
@@ -26,8 +26,8 @@ SWEEPS = 2
 MAX_ROUNDS = 100
 SEED = 42
 K_RANGE = list(range(2, 11))
-MAX_CELLS = 4096  # largest lattice solved inside one task; beyond it use relocate_at_scale
-IMPROVEMENT = 1e-9
+MAX_CELLS = 4096  # largest lattice solved inside one task; beyond it use relocation.relocate
+BOUND_STEPS = 30
 SMALLEST_GAIN = 1e-13  # of all weight: what rounding can feign
 
 
@@ -57,21 +57,44 @@ def exact_cut(points: np.ndarray, counts: np.ndarray, labels: np.ndarray, metric
         gaps = np.sqrt(sum(np.subtract.outer(a, a) ** 2 for a in points.T))
         apart = labels[:, None] != labels[None, :]
         return float((np.outer(counts, counts) * gaps)[apart].sum() / 2)
-    cut = 0
     numbers = [int(c) for c in counts]
+    kind = np.int64 if sum(numbers) ** 2 * max(1, int(points.max() - points.min())) * points.shape[1] < 2**62 else object
+    cut = 0
     for axis in points.T:
-        scores = np.unique(axis)
-        for low, high in zip(scores[:-1], scores[1:]):
-            below: dict[int, int] = {}
-            above: dict[int, int] = {}
-            for score, label, n in zip(axis, labels.tolist(), numbers):
-                side = below if score <= low else above
-                side[label] = side.get(label, 0) + n
-            crossing = sum(below.values()) * sum(above.values()) - sum(n * above.get(c, 0) for c, n in below.items())
-            cut += crossing * int(high - low)
+        scores, at = np.unique(axis, return_inverse=True)
+        table = np.zeros((len(scores), int(labels.max()) + 1), kind)
+        np.add.at(table, (at, labels), np.array(numbers, kind))
+        below = table.cumsum(axis=0)
+        above = below[-1:] - below
+        crossing = below.sum(axis=1) * above.sum(axis=1) - (below * above).sum(axis=1)
+        cut += sum(int(x) * int(gap) for x, gap in zip(crossing, np.diff(scores)))
     return cut
 
 
+def largest_cut_bound(weights: np.ndarray, steps: int = BOUND_STEPS) -> float:
+    """``b`` such that no partition into k clusters cuts more than (k - 1) / k * b of the weight of all pairs.
+
+    With the Laplacian L of the weights and any diagonal M for which M - L has no negative eigenvalue, a cut is at most
+    (k - 1) / 2k times the trace of M: the cluster indicators less 1 / k are orthogonal to no more than that. M starts as the
+    degrees, scaled by the largest eigenvalue; vertices on which its eigenvector rests are raised, and the best trace counts.
+    """
+    degree = weights.sum(axis=1)
+    used = degree > 0
+    if not used.any():
+        return 0.0
+    degree = degree[used]
+    laplacian = np.diag(degree) - weights[np.ix_(used, used)]
+    diagonal, best = degree.copy(), np.inf
+    for step in range(steps):
+        root = 1 / np.sqrt(diagonal)
+        values, vectors = np.linalg.eigh(laplacian * np.outer(root, root))
+        best = min(best, diagonal.sum() * values[-1] * (1 + 1e-9))
+        near = values > values[-1] * (1 - 0.3 / (step + 1))
+        rest = (vectors[:, near] ** 2).mean(axis=1)
+        diagonal = diagonal * (1 + (rest * diagonal.sum() / diagonal - 1) / (step + 10)).clip(0.5, 2)
+    return best / weights.sum()
+
+
 def _relocation_pass(w, pull, labels, order, eps):
     """Move each vertex to the cluster it is pulled to least; all restarts at once."""
     rows = np.arange(len(labels))
@@ -222,7 +245,7 @@ def run_restarts(grid: DataFrame, metric: str = "manhattan", sweeps: int = SWEEP
 def best_restarts(runs: DataFrame, keys: list[str]) -> DataFrame:
     """The restart with the largest cut per key, the lowest number on ties."""
     order = F.struct("cut", (-F.col("restart")).alias("minus_restart"))
-    best = F.max_by(F.struct("restart", "cut", "cell_ids", "clusters"), order).alias("b")
+    best = F.max_by(F.struct("restart", "cut", "settled", "cell_ids", "clusters"), order).alias("b")
     return runs.filter("clusters IS NOT NULL").groupBy(*keys).agg(best).select(*keys, "b.*")
 
 
@@ -231,29 +254,53 @@ def cell_labels(best: DataFrame, cells: DataFrame, keys: list[str], cohort: list
 
     The grid is referenced once only, so it runs once.
     """
-    flat = best.select(*keys, "cut", F.explode(F.arrays_zip("cell_ids", "clusters")).alias("z")).select(
-        *keys, "cut", F.col("z.cell_ids").alias("cell_id"), F.col("z.clusters").alias("cluster"))
+    facts = [c for c in ("cut", "settled", "gap") if c in best.columns]
+    flat = best.select(*keys, *facts, F.explode(F.arrays_zip("cell_ids", "clusters")).alias("z")).select(
+        *keys, *facts, F.col("z.cell_ids").alias("cell_id"), F.col("z.clusters").alias("cluster"))
     return flat.join(cells, [*(cohort or []), "cell_id"])
 
 
 def check_lattice(variables: list[str], bins: int) -> None:
     if bins ** len(variables) > MAX_CELLS:
         raise ValueError(
-            f"{bins} bins on {len(variables)} variables exceed {MAX_CELLS} cells; use relocate_at_scale")
+            f"{bins} bins on {len(variables)} variables exceed {MAX_CELLS} cells; use relocation.relocate")
+
+
+def cut_bounds(packed: DataFrame, metric: str = "manhattan", cohort: list[str] | None = None) -> DataFrame:
+    """``total`` (weight of all pairs) and ``share`` (no k clusters cut more than (k - 1) / k of it) for each row of packed cells."""
+    keys = [*(cohort or []), "variables"]
+    types = dict(packed.dtypes)
+    schema = ", ".join([f"`{c}` {types[c]}" for c in keys] + ["total DOUBLE", "share DOUBLE"])
+
+    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                counts = np.asarray(row.counts, float)
+                points = np.asarray(row.points, float).reshape(-1, len(counts)).T
+                total = float(exact_cut(points, row.counts, np.arange(len(counts)), metric))
+                share = largest_cut_bound(edge_weights(points, counts, metric))
+                yield pd.DataFrame([[*[getattr(row, k) for k in keys], total, share]], columns=[*keys, "total", "share"])
+
+    return packed.mapInPandas(bound, schema)
 
 
 def solve(cells: DataFrame, variables: list[str], k_values: list[int], restarts: int = RESTARTS, seed: int = SEED,
           metric: str = "manhattan", bins: int = BINS, cohort: list[str] | None = None) -> DataFrame:
     """Best partition of the cells per k: one row per (cohort, variables, k, cell).
 
-    Columns: the keys, ``objective`` (the cut), ``gap`` (NULL: a heuristic proves none),
-    ``cell_id``, the scores, ``cnt`` and ``cluster``.
+    Columns: the keys, ``objective`` (the cut), ``gap``, ``settled`` (whether the best restart ended because nothing improved any more),
+    ``cell_id``, the scores, ``cnt`` and ``cluster``. The gap is what a proven upper bound of the cut exceeds the objective by, as a share of the objective: 0 proves the
+    partition optimal, a larger one tells how much could be missing at most. It is 0 where there is nothing to cut.
     """
     keys = [*(cohort or []), "variables", "k"]
-    grid = restart_grid(packed_cells(cells, variables, cohort, bins), k_values, restarts, [seed])
-    best = best_restarts(run_restarts(grid, metric, cohort=cohort), keys)
-    return cell_labels(best, cells, keys, cohort).withColumnRenamed("cut", "objective").withColumn(
-        "gap", F.lit(None).cast("double"))
+    packed = packed_cells(cells, variables, cohort, bins)
+    best = best_restarts(run_restarts(restart_grid(packed, k_values, restarts, [seed]), metric, cohort=cohort), keys)
+    known = cut_bounds(packed, metric, cohort)
+    matched = [F.col(f"b.{c}").eqNullSafe(F.col(f"c.{c}")) for c in keys[:-1]]
+    bound = "least(total, total * share * (k - 1) / k)"
+    best = best.alias("b").join(known.alias("c"), matched).select(
+        "b.*", F.expr(f"IF(total > 0, greatest(0D, {bound} / cut - 1), 0D)").alias("gap"))
+    return cell_labels(best, cells, keys, cohort).withColumnRenamed("cut", "objective")
 
 
 def segment_customers(mart: DataFrame, variables: list[str] = LRFM, k: int = 4, **options) -> DataFrame:
@@ -265,7 +312,7 @@ def segment_customers(mart: DataFrame, variables: list[str] = LRFM, k: int = 4,
 
 def sweep(mart: DataFrame, variable_sets: list[list[str]] | None = None, k_values: list[int] | None = None,
           restarts: int = RESTARTS, seed: int = SEED) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Objective and silhouette per (variables, k), and the stored cell labels per set."""
+    """Objective, gap, whether the search settled, and silhouette per (variables, k), and the stored cell labels per set."""
     curves, labels = [], {}
     for variables in variable_sets or [RFM, LRFM]:
         name = "".join(variables)
@@ -274,7 +321,7 @@ def sweep(mart: DataFrame, variable_sets: list[list[str]] | None = None, k_value
         keys = ["variables", "k"]
         quality = silhouette(labels[name], keys, variables)
         facts = labels[name].groupBy(*keys).agg(
-            F.first("objective").alias("objective"),
+            F.first("objective").alias("objective"), F.first("gap").alias("gap"), F.first("settled").alias("settled"),
             F.count("*").alias("n_cells"), F.countDistinct("cluster").alias("n_clusters"))
         curves.append(facts.join(quality, keys))
     return reduce(DataFrame.unionByName, curves), labels
@@ -282,7 +329,7 @@ def sweep(mart: DataFrame, variable_sets: list[list[str]] | None = None, k_value
 
 def robustness(cells: DataFrame, variables: list[str], k: int = 4, budgets: tuple[int, ...] = (1, 10, 50, 200),
                seeds: int = 10, reference_restarts: int = 500, reference_seed: int = 999) -> DataFrame:
-    """Best and worst cut over seeds per restart budget, and the share that hits the reference.
+    """Best and worst cut over seeds per restart budget, the share that hits the reference, and whether every restart settled.
 
     A run with fewer restarts is a prefix of a longer one, so each seed runs once.
     """
@@ -290,83 +337,10 @@ def robustness(cells: DataFrame, variables: list[str], k: int = 4, budgets: tupl
     runs = run_restarts(restart_grid(packed, [k], max(budgets), list(range(seeds))))
     heavy = run_restarts(restart_grid(packed, [k], reference_restarts, [reference_seed]))
     reference = heavy.agg(F.max("cut")).scalar()
-    by_seed = runs.groupBy("seed").agg(*[
+    by_seed = runs.groupBy("seed").agg(F.count_if(~F.col("settled")).alias("unsettled"), *[
         F.max(F.expr(f"IF(restart < {b}, cut, NULL)")).alias(f"b{b}") for b in budgets])
     pairs = ", ".join(f"{b}, b{b}" for b in budgets)
-    return by_seed.selectExpr(f"stack({len(budgets)}, {pairs}) AS (budget, cut)").withColumn(
+    return by_seed.selectExpr("unsettled", f"stack({len(budgets)}, {pairs}) AS (budget, cut)").withColumn(
         "reference", reference).groupBy("budget").agg(
         F.max("cut").alias("best_cut"), F.min("cut").alias("worst_cut"),
-        F.expr("100D * avg(IF(cut = reference, 1D, 0D))").alias("hit_pct"))
-
-
-# ---------------------------------------------------------------- lattices beyond one task
-
-def _counts(state: DataFrame, variables: list[str], bins: int, k: int) -> np.ndarray:
-    """Customers per variable, score and cluster: q x bins x k numbers, whatever the data."""
-    table = np.zeros((len(variables), bins, k), dtype=object)
-    for r in threshold_counts(state, [], variables).collect():
-        table[variables.index(r.dimension), r.score - 1, r.cluster] += int(r.h)
-    return table
-
-
-def _cut(counts: np.ndarray) -> int:
-    """Crossing weight from those counts, in whole numbers of any size."""
-    def spread(h: np.ndarray) -> int:
-        below = h.cumsum(axis=1)
-        return int((below * (below[:, -1:] - below)).sum())
-
-    return spread(counts.sum(axis=2, keepdims=True)) - spread(counts)
-
-
-def _move_costs(counts: np.ndarray) -> np.ndarray:
-    """Distance sum from each score into each cluster, per variable."""
-    bins = counts.shape[1]
-    gaps = np.abs(np.arange(bins)[:, None] - np.arange(bins)[None, :])
-    return np.stack([gaps @ counts[v].astype(float) for v in range(len(counts))])
-
-
-def relocate_at_scale(cells: DataFrame, variables: list[str], k: int, bins: int = BINS, rounds: int = 60,
-                      seed: int = SEED) -> tuple[DataFrame, list[int], bool]:
-    """Relocation for a lattice of any size (Manhattan weights), as rounds of DataFrame jobs.
-
-    Weights separate by variable, so q x bins x k counts describe all clusters: each round
-    collects them in one aggregation and sends the distance sums back as literals. A
-    hash-chosen part of the cells that would gain moves; moving all at once can swing back
-    and forth. A round is kept only if the cut grows, otherwise the part is halved. Kept
-    states are written to the shared folder. Once the part is small, the single best cell moves. Returns the labelled
-    cells, the cuts kept, and whether it settled, that is no cell would gain; after ``rounds`` it stops as it stands.
-    """
-    columns = score_columns(variables)
-    base = ["cell_id", "cnt", *columns]
-    start = cells.selectExpr(*base, f"CAST(pmod(xxhash64(cell_id, {seed}L), {k}L) AS INT) AS cluster")
-    state = materialise(start, "relocation")
-    counts = _counts(state, variables, bins, k)
-    cuts = [_cut(counts)]
-    part = 0.5
-    for number in range(rounds):
-        tables = [
-            "array(" + ", ".join("array(" + ", ".join(f"{x!r}D" for x in row.tolist()) + ")" for row in table) + ")"
-            for table in _move_costs(counts)
-        ]
-        terms = " + ".join(f"{table}[{c} - 1][l]" for table, c in zip(tables, columns))
-        priced = state.selectExpr("*", f"transform(sequence(0, {k - 1}), l -> {terms}) AS cost").selectExpr(
-            "*", f"cost[cluster] - array_min(cost) > {IMPROVEMENT}D * greatest(1D, cost[cluster]) AS gains")
-        if part >= 1 / 64:
-            chosen = f"pmod(xxhash64(cell_id, {seed}L, {number}L), 1000000L) < {int(part * 1_000_000)}L"
-        else:
-            gain = F.expr("struct((cost[cluster] - array_min(cost)) * cnt, -cell_id)")
-            best = priced.filter("gains").agg(F.max_by("cell_id", gain)).first()[0]
-            if best is None:
-                return state, cuts, True
-            chosen = f"cell_id = {best}L"
-        target = "CAST(array_position(cost, array_min(cost)) - 1 AS INT)"
-        moved = priced.selectExpr(*base, f"IF({chosen} AND gains, {target}, cluster) AS cluster")
-        after = _counts(moved, variables, bins, k)
-        if _cut(after) > cuts[-1]:
-            state, counts = materialise(moved, "relocation"), after
-            cuts.append(_cut(after))
-        elif part < 1 / 64:
-            return state, cuts, True
-        else:
-            part /= 2
-    return state, cuts, False
+        F.expr("100D * avg(IF(cut = reference, 1D, 0D))").alias("hit_pct"), (F.sum("unsettled") == 0).alias("settled"))

@@ -20,6 +20,7 @@ from patronage.operators import comparators as M
 from patronage.operators import evaluate as E
 from patronage.operators import graph as G
 from patronage.operators import profile as P
+from patronage.operators import relocation as L
 from patronage.operators import scoring as S
 from patronage.operators import segment as K
 from patronage.operators import tenure as N
@@ -895,8 +896,7 @@ def k4_local_search(spark, d):
 
 @query
 def k4_relocation_at_scale(spark, d):
-    state, cuts, settled = K.relocate_at_scale(G.reduce_cells(mart(spark, d), S.LRFM), S.LRFM, 4)
-    return state.withColumn("cut", F.lit(float(cuts[-1])))
+    return L.relocate(G.reduce_cells(mart(spark, d), S.LRFM), S.LRFM, 4)[0]
 
 
 def _small_lattice(spark, d):
@@ -912,6 +912,36 @@ def k4_local_search_optimum(spark, d):
     return labels.groupBy("k").agg(F.first("objective").alias("best_cut"))
 
 
+@query
+def k4_relocation_optimum(spark, d):
+    """Relocation for large lattices, without its exchanges, on the small one; its SQL check enumerates every partition."""
+    return _best_relocation(_small_lattice(spark, d), exchanges=False)
+
+
+@query
+def k5_exchange_at_scale_optimum(spark, d):
+    """The same with its exchanges."""
+    return _best_relocation(_small_lattice(spark, d), exchanges=True)
+
+
+def _best_relocation(cells, exchanges):
+    found = [L.relocate(cells, ["R", "F"], k, 3, starts=12, exchanges=exchanges)[0].groupBy().agg(
+        F.first("objective").alias("best_cut"), F.every("settled").alias("settled")).withColumn("k", F.lit(k)) for k in (2, 3, 4)]
+    return reduce(DataFrame.union, found).select("k", "best_cut", "settled")
+
+
+@query
+def k7_gap(spark, d):
+    """The bound on the small lattice: never below the optimum that its SQL check enumerates, nor above all weight."""
+    cells = _small_lattice(spark, d)
+    labels = K.solve(cells, ["R", "F"], [2, 3, 4], bins=3)
+    found = labels.groupBy("k").agg(F.first("objective").alias("best_cut"), F.first("gap").alias("gap"), F.every("settled").alias("settled"))
+    whole = cells.selectExpr("*", "cell_id AS cluster", "1 AS one")
+    total = G.cut_manhattan(whole, ["one"], ["R", "F"]).select("total")
+    return found.crossJoin(F.broadcast(total)).selectExpr(  # a single row
+        "k", "best_cut", "settled", "gap >= 0 AND best_cut * (1 + gap) <= total * (1 + 1e-9) AS bounded")
+
+
 @query
 def k6_multi_start_optimum(spark, d):
     """Two clusters on sixteen cells: 32,768 partitions for the SQL check to try."""
@@ -1020,7 +1050,7 @@ def k6_multi_start(spark, d):
     packed = K.packed_cells(materialise(G.reduce_cells(mart(spark, d), S.LRFM), "cells"), S.LRFM)
     runs = K.run_restarts(K.restart_grid(packed, [10], K.RESTARTS, [K.SEED]))
     return K.best_restarts(runs, ["variables", "k"]).selectExpr(
-        "variables", "k", "restart", "cut", "size(cell_ids) AS n_cells", "size(array_distinct(clusters)) AS n_clusters")
+        "variables", "k", "restart", "cut", "settled", "size(cell_ids) AS n_cells", "size(array_distinct(clusters)) AS n_clusters")
 
 
 @query

@@ -549,6 +549,10 @@ def oracle_sql() -> dict[str, str]:
     q["k10_exhaustive_cut"] = _with(" UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4)), _EXHAUSTIVE)
     q["k4_local_search_optimum"] = q["k10_exhaustive_cut"]
     q["k5_exchange_optimum"] = q["k10_exhaustive_cut"]
+    best = " UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4))
+    for name in ("k4_relocation_optimum", "k5_exchange_at_scale_optimum"):
+        q[name] = _with(f"SELECT k, best_cut, true AS settled FROM ({best})", _EXHAUSTIVE)
+    q["k7_gap"] = _with(f"SELECT k, best_cut, true AS settled, true AS bounded FROM ({best})", _EXHAUSTIVE)
     q["k15_kmeans_inertia"] = _with(" UNION ALL ".join(_least_squares(k) for k in (2, 3)), _EXHAUSTIVE)
     sets = "(VALUES ('RFM'), ('LRFM')) AS v(variables), generate_series(2, 10) AS g(k)"
     q["k4_convergence"] = f"SELECT variables, CAST(k AS BIGINT) AS k, CAST(200 AS BIGINT) AS restarts, CAST(200 AS BIGINT) AS settled FROM {sets}"
