@@ -167,22 +167,65 @@ def cut_by_pairs(labelled: DataFrame, keys: list[str], variables: list[str], met
     ).selectExpr(*keys, "total", "intra", "total - intra AS cut")
 
 
+#: Silhouette of a cell from its own cluster's size and the mean distances to its own and to the nearest other cluster.
+SILHOUETTE = """CASE WHEN b IS NULL THEN double('NaN') WHEN own_n = 1 THEN 0D
+                     WHEN greatest(a, b) = 0 THEN 0D ELSE (b - a) / greatest(a, b) END"""
+
+
+def score_reach(labelled: DataFrame, keys: list[str], variables: list[str], bins: int = BINS) -> DataFrame:
+    """One row per labelling: ``clusters``, their customers ``n``, and ``reach[variable][score - 1][cluster]``, the sum of the Manhattan gaps on
+    that axis from the score to all customers of the cluster.
+
+    Running counts and running sums of scores give each sum, so the work is linear in clusters x variables x scores.
+    """
+    counts = threshold_counts(labelled, keys, variables)
+    axes = ", ".join(f"'{v}'" for v in variables)
+    empty = labelled.select(*keys, "cluster").distinct().selectExpr(*keys, "cluster", f"explode(array({axes})) AS dimension").selectExpr(
+        "*", f"explode(sequence(1, {bins})) AS score", "0L AS h")
+    dense = counts.unionByName(empty).groupBy(*keys, "cluster", "dimension", "score").agg(F.sum("h").cast("double").alias("h"))
+    upto = Window.partitionBy(*keys, "cluster", "dimension").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*keys, "cluster", "dimension")
+    running = dense.select(
+        *keys, "cluster", "dimension", "score", F.sum("h").over(upto).alias("c"), F.sum(F.expr("h * score")).over(upto).alias("s"),
+        F.sum("h").over(whole).alias("n"), F.sum(F.expr("h * score")).over(whole).alias("total"))
+    sums = running.selectExpr(*keys, "cluster", "dimension", "score", "n", "score * c - s + (total - s) - score * (n - c) AS gap")
+    per_axis = sums.groupBy(*keys, "cluster", "dimension").agg(F.max("n").alias("n"), F.expr("transform(array_sort(collect_list(struct(score, gap))), x -> x.gap)").alias("gaps"))
+    per_cluster = per_axis.groupBy(*keys, "cluster").agg(
+        F.max("n").alias("n"), *[F.max(F.when(F.col("dimension") == v, F.col("gaps"))).alias(f"of_{v}") for v in variables])
+    fields = ["cluster", "n", *[f"of_{v}" for v in variables]]
+    packed = per_cluster.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("p"))
+    of_score = ", ".join(f"transform(sequence(0, {bins - 1}), i -> transform(p, x -> x.of_{v}[i]))" for v in variables)
+    return packed.selectExpr(*keys, "transform(p, x -> x.cluster) AS clusters", "transform(p, x -> x.n) AS n", f"array({of_score}) AS reach")
+
+
+def _manhattan_means(labelled: DataFrame, keys: list[str], variables: list[str], bins: int) -> DataFrame:
+    """``own_n``, ``a`` and ``b`` of each cell, looked up by its scores."""
+    tables = score_reach(labelled, keys, variables, bins).withColumnsRenamed({k: f"of_{k}" for k in keys})
+    same = F.expr(" AND ".join(f"`{k}` <=> `of_{k}`" for k in keys))
+    joined = labelled.select(*keys, "cell_id", "cluster", "cnt", *score_columns(variables)).join(tables, same)
+    mass = " + ".join(f"reach[{v}][{c} - 1][i]" for v, c in enumerate(score_columns(variables)))
+    found = joined.selectExpr(*keys, "cell_id", "cnt", "n", "CAST(array_position(clusters, cluster) - 1 AS INT) AS own", f"transform(n, (x, i) -> {mass}) AS mass")
+    return found.selectExpr(
+        *keys, "cell_id", "cnt", "n[own] AS own_n", "mass[own] / nullif(n[own] - 1, 0) AS a",
+        "array_min(transform(filter(sequence(0, size(n) - 1), i -> i <> own), i -> mass[i] / n[i])) AS b")
+
+
 def silhouette(labelled: DataFrame, keys: list[str], variables: list[str], metric: str = "euclidean",
                bins: int = BINS) -> DataFrame:
     """Mean silhouette over all customers of each labelling, exact.
 
-    Customers of a cell share their value, so cells weighted by their count suffice. A
-    customer alone in its cluster counts 0; with fewer than two clusters the value is NaN.
+    Customers of a cell share their value, so cells weighted by their count suffice. The Manhattan metric needs no pairs: distance sums
+    are looked up by score; any other meets every pair of cells. A customer alone in its cluster counts 0; with fewer than two clusters the value is NaN.
     """
-    mass = cluster_mass(labelled, keys, variables, metric, bins)
-    per_cell = mass.groupBy(*keys, "cell_id", "cnt").agg(
-        F.expr("max(IF(other = cluster, n, NULL))").alias("own_n"),
-        F.expr("max(IF(other = cluster, mass / nullif(n - 1, 0), NULL))").alias("a"),
-        F.expr("min(IF(other <> cluster, mass / n, NULL))").alias("b"),
-    )
-    value = """CASE WHEN b IS NULL THEN double('NaN') WHEN own_n = 1 THEN 0D
-                    WHEN greatest(a, b) = 0 THEN 0D ELSE (b - a) / greatest(a, b) END"""
-    return per_cell.withColumn("s", F.expr(value)).groupBy(*keys).agg(
+    if metric == "manhattan":
+        per_cell = _manhattan_means(labelled, keys, variables, bins)
+    else:
+        per_cell = cluster_mass(labelled, keys, variables, metric, bins).groupBy(*keys, "cell_id", "cnt").agg(
+            F.expr("max(IF(other = cluster, n, NULL))").alias("own_n"),
+            F.expr("max(IF(other = cluster, mass / nullif(n - 1, 0), NULL))").alias("a"),
+            F.expr("min(IF(other <> cluster, mass / n, NULL))").alias("b"),
+        )
+    return per_cell.withColumn("s", F.expr(SILHOUETTE)).groupBy(*keys).agg(
         F.expr("sum(s * cnt) / sum(cnt)").alias("silhouette"))
 
 

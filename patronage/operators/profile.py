@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from patronage.operators.scoring import ORDINAL
 from patronage.sources.storage import materialise
 
 PARTIAL_KEY = ["Invoice", "StockCode", "Quantity", "Price"]
+SCATTER_POINTS = 500
+SKETCH_SIZE = 12  # of 2 ** 12 slots: a standard error of about 1.6 %
 COUNTED = ["Invoice", "StockCode", "Description", "CustomerID", "Country"]
 BROADCAST_VALUES = 100_000
 
@@ -30,9 +34,14 @@ def missing_shares(log: DataFrame) -> DataFrame:
 
 
 def distinct_counts(log: DataFrame, columns: list[str] = COUNTED, approximate: bool = False) -> DataFrame:
-    """Distinct non-null values per column; sketches instead of exact sets if wanted."""
-    count = F.approx_count_distinct if approximate else F.countDistinct
-    counts = log.agg(*[count(c).alias(c) for c in columns])
+    """Distinct non-null values per column; sketches instead of exact sets if wanted.
+
+    Exact counts fold each column on its own: a scan of that column, and a shuffle of its distinct values per task.
+    """
+    if not approximate:
+        return reduce(DataFrame.unionByName, [
+            log.select(c).distinct().agg(F.count(c).alias("n_distinct")).select(F.lit(c).alias("column_name"), "n_distinct") for c in columns])
+    counts = log.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
     pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
     return counts.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, n_distinct)")
 
@@ -387,3 +396,61 @@ def match_cancellations(log: DataFrame) -> DataFrame:
     cancelled = moments.withColumn("same_day_sale", F.max(sold_at).over(within)).filter("n_cancelled > 0")
     return cancelled.join(before_day, [*key, "day"], "left").select(
         *key, "InvoiceDate", "n_cancelled", F.coalesce("same_day_sale", "earlier_sale").alias("sale_date"))
+
+
+def match_quantities(log: DataFrame) -> DataFrame:
+    """How many pieces each cancelled moment takes back, first in first out: ``CustomerID``, ``StockCode``, ``cancelled_at``, ``sold_at``, ``quantity``.
+
+    Sales and cancellations of a customer's product fold to moments. Pieces are numbered in the order in which they were sold. A cancellation
+    takes the next pieces that were sold by its moment and not yet taken back; what goes beyond them stays unmatched, in a row without ``sold_at``.
+    So no sale covers more than it sold. How many pieces are taken back by a moment is a running minimum, and the pieces of sales and cancellations are
+    intervals of one number line: cut at all their ends, each segment belongs to one sale and one cancellation. No pair
+    of moments is formed. Rows without a customer, and lines without pieces, take no part.
+    """
+    key, moment = ["CustomerID", "StockCode"], log.schema["InvoiceDate"].dataType.simpleString()
+    lines = log.filter("CustomerID IS NOT NULL AND (startswith(Invoice, 'C') AND Quantity <> 0 OR Quantity > 0)")
+    moments = lines.groupBy(*key, "InvoiceDate").agg(
+        F.expr("CAST(sum(IF(startswith(Invoice, 'C'), 0, Quantity)) AS BIGINT)").alias("sold"),
+        F.expr("CAST(sum(IF(startswith(Invoice, 'C'), abs(Quantity), 0)) AS BIGINT)").alias("cancelled"))
+    taking = moments.groupBy(*key).agg(F.sum("cancelled").alias("c")).filter("c > 0").drop("c")
+    moments = moments.join(taking, key, "left_semi")
+    upto = Window.partitionBy(*key).orderBy("InvoiceDate").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = moments.withColumns({"s": F.sum("sold").over(upto), "q": F.sum("cancelled").over(upto)})
+    taken = summed.withColumn("taken", F.col("q") + F.least(F.lit(0), F.min(F.col("s") - F.col("q")).over(upto)))
+    before = F.coalesce(F.lag("taken").over(Window.partitionBy(*key).orderBy("InvoiceDate")), F.lit(0))
+    numbered = materialise(taken.withColumn("before", before), "pieces")
+    ends = numbered.filter("sold > 0").selectExpr(*key, "s AS piece", "InvoiceDate AS sold_at", f"CAST(NULL AS {moment}) AS cancelled_at").unionByName(
+        numbered.filter("taken > before").selectExpr(*key, "taken AS piece", f"CAST(NULL AS {moment}) AS sold_at", "InvoiceDate AS cancelled_at"))
+    places = ends.groupBy(*key, "piece").agg(F.max("sold_at").alias("sold_at"), F.max("cancelled_at").alias("cancelled_at"))
+    along = Window.partitionBy(*key).orderBy("piece")
+    ahead = along.rowsBetween(Window.currentRow, Window.unboundedFollowing)  # a segment belongs to the moments that end at it or after
+    segments = places.select(
+        *key, F.first("cancelled_at", ignorenulls=True).over(ahead).alias("cancelled_at"), F.first("sold_at", ignorenulls=True).over(ahead).alias("sold_at"),
+        (F.col("piece") - F.coalesce(F.lag("piece").over(along), F.lit(0))).alias("quantity"))
+    matched = segments.filter("cancelled_at IS NOT NULL")
+    rest = numbered.filter("cancelled > taken - before").selectExpr(
+        *key, "InvoiceDate AS cancelled_at", f"CAST(NULL AS {moment}) AS sold_at", "cancelled - (taken - before) AS quantity")
+    return matched.unionByName(rest)
+
+
+def bounded_scatter(mart: DataFrame, x: str, y: str, by: str, points: int = SCATTER_POINTS, seed: int = 42) -> DataFrame:
+    """At most ``points`` customers of each group: those of least hash of their id, the same for any partitioning.
+
+    The rank limit is one that Spark applies in each task before the shuffle (up to 1,000 points, unless the session's
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` allows more), so a group sends ``points`` rows of each task, however large it is.
+    """
+    order = Window.partitionBy(by).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("customer_id").cast("string"))), "customer_id")
+    return mart.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= points).select(
+        by, "customer_id", F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+
+
+def distinct_sketches(log: DataFrame, keys: list[str], columns: list[str] = COUNTED, log_size: int = SKETCH_SIZE) -> DataFrame:
+    """One row per group of ``keys`` with a mergeable sketch of the distinct non-null values of each column, to be stored."""
+    return log.groupBy(*keys).agg(*[F.expr(f"hll_sketch_agg(CAST(`{c}` AS STRING), {log_size})").alias(c) for c in columns])
+
+
+def sketched_counts(sketches: DataFrame, keys: list[str], columns: list[str] = COUNTED) -> DataFrame:
+    """Estimated distinct values per column and group of ``keys`` (none: over all), from stored sketches alone."""
+    merged = sketches.groupBy(*keys).agg(*[F.expr(f"hll_sketch_estimate(hll_union_agg(`{c}`))").alias(c) for c in columns])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
+    return merged.selectExpr(*keys, f"stack({len(columns)}, {pairs}) AS (column_name, n_distinct)")

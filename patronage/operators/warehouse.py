@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.functions.skew import lookup
-from patronage.sources.storage import save_table
+from patronage.sources.storage import save_bucketed, save_table
 
 # clean column -> warehouse column
 RENAMES = {
@@ -28,6 +28,8 @@ PRIMARY_KEYS = {
     "dim_invoice": "invoice_id",
     "fact_line": "line_id",
 }
+#: Buckets of stored tables; their number bounds the size of a bucket.
+BUCKETS = 32
 FOREIGN_KEYS = [
     ("dim_invoice", "customer_id", "dim_customer"),
     ("fact_line", "invoice_id", "dim_invoice"),
@@ -103,6 +105,24 @@ def write_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFra
     return scans
 
 
+def write_bucketed(tables: dict[str, DataFrame], folder: str, prefix: str, buckets: int = BUCKETS) -> dict[str, DataFrame]:
+    """Store lines and invoices in buckets of the invoice, the other tables plainly, and return scans of them.
+
+    The tables of the two are registered as ``<prefix>_fact_line`` and ``<prefix>_dim_invoice``. An invoice that holds a large part of all
+    lines would fill one bucket; such a log is served by ``lines_with_invoice`` on plain tables.
+    """
+    sorted_by = {name: tables[name] for name in ("fact_line", "dim_invoice")}
+    scans = write_tables({name: df for name, df in tables.items() if name not in sorted_by}, folder)
+    for name, df in sorted_by.items():
+        scans[name] = save_bucketed(df, f"{prefix}_{name}", f"{folder}/{name}", "invoice_id", buckets)
+    return scans
+
+
+def bucketed_lines_with_invoice(fact: DataFrame, invoice: DataFrame) -> DataFrame:
+    """Inner join at line grain of bucketed tables: buckets meet as they lie."""
+    return fact.join(invoice.hint("merge"), "invoice_id").selectExpr("customer_id", "invoice_id", "invoice_date", "stock_code", "quantity * price AS amount")
+
+
 def invoice_totals(fact: DataFrame, invoice: DataFrame) -> DataFrame:
     """The invoice view: customer, date and rounded total.
 

@@ -26,6 +26,7 @@ from patronage.operators import segment as K
 from patronage.operators import tenure as N
 from patronage.operators import warehouse as W
 from patronage.plans import reports as R
+from patronage.plans import views as V
 from patronage.sources import ingest as I
 from patronage.sources.retail_log import transaction_log
 from patronage.sources.storage import cached_table, materialise, save_table, shared_folder
@@ -122,6 +123,11 @@ def a2_part_tag(spark, d):
     return I.rows_per_part(I.read_parts(spark, part_folders(spark, d)))
 
 
+@query
+def a2_part_tag_in_one_scan(spark, d):
+    return I.rows_per_part(I.read_parts_at_once(spark, part_folders(spark, d)))
+
+
 @query
 def a3_shared_invoices(spark, d):
     return I.shared_invoices(transaction_log(spark, d), *SHEETS)
@@ -151,6 +157,16 @@ def a6_cached_raw(spark, d):
     return I.rows_per_part(cached_table(spark, path, lambda: transaction_log(spark, d)))
 
 
+@query
+def a6_cache_after_a_change(spark, d):
+    """The cached log after one part's rows arrived a second time: rows and whether the part was built again, per part."""
+    folders, cache = part_folders(spark, d), f"{shared_folder(spark)}/fresh-{uuid.uuid4().hex}"
+    I.fresh_log(spark, cache, folders)
+    materialise(spark.read.parquet(folders[SHEETS[1]]), "again").write.mode("append").parquet(folders[SHEETS[1]])
+    log, built = I.fresh_log(spark, cache, folders)
+    return I.rows_per_part(log).withColumn("rebuilt", F.col("SourceSheet").isin(built))
+
+
 @query
 def a7_clean_sink_scan(spark, d):
     scan = W.renamed(materialise(cleaned(spark, d), "clean"))
@@ -165,24 +181,70 @@ def a8_table_sink(spark, d):
     return W.table_sizes(W.write_tables(W.build_tables(stored), folder))
 
 
+def bucketed(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The four tables stored under a name of this call, lines and invoices in buckets."""
+    name = f"t{uuid.uuid4().hex}"
+    return W.write_bucketed(W.build_tables(materialise(cleaned(spark, d), "clean")), f"{shared_folder(spark)}/{name}", name)
+
+
+@query
+def a8_bucketed_sink(spark, d):
+    return W.table_sizes(bucketed(spark, d))
+
+
+@query
+def j1_lines_with_invoice_bucketed(spark, d):
+    t = bucketed(spark, d)
+    return W.bucketed_lines_with_invoice(t["fact_line"], t["dim_invoice"]).groupBy("customer_id", "stock_code").agg(
+        F.count("*").alias("n_lines"), F.sum("amount").alias("amount"), F.max("invoice_date").alias("last_date"))
+
+
+@query
+def j2_invoice_totals_bucketed(spark, d):
+    t = bucketed(spark, d)
+    return W.invoice_totals(t["fact_line"], t["dim_invoice"].hint("merge"))
+
+
 @query
 def a9_mart_scan(spark, d):
     return materialise(mart(spark, d), "mart")
 
 
-@query
-def a10_named_reports(spark, d):
+def _entries(reports: dict[str, DataFrame]) -> DataFrame:
+    """The customers of each entry of the five reports."""
     keys = {
         "score_balance": "concat(axis, ' ', score)", "segment_values": "segment", "churn_by_recency": "churn_band",
         "response_proxy": "segment", "revenue_concentration": "CAST(m_quintile AS STRING)",
     }
     frames = [
         frame.selectExpr(f"'{name}' AS report", f"{keys[name]} AS entry", "customers")
-        for name, frame in R.run_reports(mart(spark, d)).items()
+        for name, frame in reports.items()
     ]
     return reduce(DataFrame.unionByName, frames)
 
 
+@query
+def a10_named_reports(spark, d):
+    return _entries(R.run_reports(mart(spark, d)))
+
+
+def _sql_reports(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    log = materialise(cleaned(spark, d), "clean")
+    V.register(W.build_tables(log), materialise(S.customer_rfml(W.renamed(log)), "mart"))
+    return V.run_sql(spark, V.REPORT_TEXTS, V.PARAMETERS)
+
+
+@query
+def a10_sql_reports(spark, d):
+    """The reports as SQL text over the views."""
+    return _entries(_sql_reports(spark, d))
+
+
+@query
+def g10_response_proxy_sql(spark, d):
+    return _sql_reports(spark, d)["response_proxy"]
+
+
 @query
 def a11_structure(spark, d):
     return I.structure(transaction_log(spark, d))
@@ -463,6 +525,31 @@ def g13_distinct_counts(spark, d):
     return P.distinct_counts(transaction_log(spark, d))
 
 
+def _stored_sketches(spark, d):
+    log = transaction_log(spark, d).withColumn("month", F.date_format("InvoiceDate", "yyyy-MM"))
+    return materialise(P.distinct_sketches(log, ["SourceSheet", "month"]), "sketches")
+
+
+@query
+def g13_distinct_sketches(spark, d):
+    """Whether distinct counts from stored sketches of parts and months lie within three standard errors of the exact ones."""
+    estimated = P.sketched_counts(_stored_sketches(spark, d), []).withColumnRenamed("n_distinct", "estimate")
+    error = 3 * 1.04 / 2 ** (P.SKETCH_SIZE / 2)
+    return P.distinct_counts(transaction_log(spark, d)).join(estimated, "column_name").selectExpr(
+        "column_name", "n_distinct", f"abs(estimate - n_distinct) <= {error}D * n_distinct + 1 AS within")
+
+
+@query
+def g13_distinct_sketches_by_part(spark, d):
+    """The same per part, from the same stored sketches."""
+    estimated = P.sketched_counts(_stored_sketches(spark, d), ["SourceSheet"]).withColumnRenamed("n_distinct", "estimate")
+    log = transaction_log(spark, d)
+    exact = reduce(DataFrame.unionByName, [P.distinct_counts(log.filter(F.col("SourceSheet") == s)).withColumn("SourceSheet", F.lit(s)) for s in SHEETS])
+    error = 3 * 1.04 / 2 ** (P.SKETCH_SIZE / 2)
+    return exact.join(estimated, ["SourceSheet", "column_name"]).selectExpr(
+        "SourceSheet", "column_name", "n_distinct", f"abs(estimate - n_distinct) <= {error}D * n_distinct + 1 AS within")
+
+
 @query
 def g14_country_shares(spark, d):
     return P.country_shares(transaction_log(spark, d))
@@ -833,6 +920,11 @@ def s6_scatter(spark, d):
     return P.scatter(levels(spark, d), "recency", "monetary", ["cluster"])
 
 
+@query
+def s6_bounded_scatter(spark, d):
+    return P.bounded_scatter(levels(spark, d), "recency", "monetary", "cluster", 100)
+
+
 # ---------------------------------------------------------------- tenure
 
 @query
@@ -1155,6 +1247,11 @@ def x3_matched_cancellations(spark, d):
     return P.match_cancellations(transaction_log(spark, d))
 
 
+@query
+def x3_matched_quantities(spark, d):
+    return P.match_quantities(transaction_log(spark, d))
+
+
 @query
 def x4_missing_customer_months(spark, d):
     return P.missing_customer_months(transaction_log(spark, d))

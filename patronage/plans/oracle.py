@@ -6,8 +6,16 @@ joins and all-pairs sums, which are fine at the size of a check.
 
 from __future__ import annotations
 
-from patronage.functions import expressions as X
-
+# Fixed values, written out apart from the table under test: the segments of a recency score by combined score 1..5, and the last day of each churn band.
+GRID = {
+    5: ["New / Promising", "New / Promising", "Loyal Customers", "Champions", "Champions"],
+    4: ["New / Promising", "New / Promising", "Loyal Customers", "Champions", "Champions"],
+    3: ["Potential Loyalist", "Potential Loyalist", "Loyal Customers", "Loyal Customers", "Loyal Customers"],
+    2: ["Hibernating / Lost", "Hibernating / Lost", "At Risk", "At Risk", "At Risk"],
+    1: ["Hibernating / Lost", "Hibernating / Lost", "At Risk", "Cannot Lose Them", "Cannot Lose Them"],
+}
+OTHER = "Others"
+BANDS = [(90, "1 Active (<=90d)"), (180, "2 Cooling (91-180d)"), (365, "3 At Risk (181-365d)"), (2**31 - 1, "4 Churned (>365d)")]
 
 
 def _fifth(place: str) -> str:
@@ -83,10 +91,8 @@ mart AS (SELECT * EXCLUDE (n, r_place, f_place, m_place, l_place), @SCORES@ FROM
 grid AS (SELECT * FROM (VALUES @GRID@) AS g(r_score, fm, segment)),
 spend AS (SELECT *, CAST((f_score + m_score + 1) // 2 AS BIGINT) AS fm FROM mart),
 seg AS (SELECT spend.*, coalesce(grid.segment, '@OTHER@') AS segment FROM spend LEFT JOIN grid USING (r_score, fm)),
-band AS (
-  SELECT *, CASE WHEN recency <= 90 THEN '1 Active (<=90d)' WHEN recency <= 180 THEN '2 Cooling (91-180d)'
-                 WHEN recency <= 365 THEN '3 At Risk (181-365d)' ELSE '4 Churned (>365d)' END AS churn_band FROM mart
-),
+bands AS (SELECT * FROM (VALUES @BANDS@) AS t(upto, churn_band)),
+band AS (SELECT mart.*, churn_band FROM mart ASOF JOIN bands ON mart.recency <= bands.upto),
 levels AS (SELECT *, CAST(floor((r_score + f_score + m_score + l_score) / 4.0) AS BIGINT) - 1 AS cluster FROM mart),
 rfm AS (
   SELECT r_score, f_score, m_score, count(*) AS cnt, ((r_score - 1) * 5 + f_score - 1) * 5 + m_score - 1 AS cell_id
@@ -107,8 +113,8 @@ gaps AS (
   FROM stripes a JOIN stripes b ON a.k = b.k
 )
 """.replace("@SCORES@", ", ".join(f"{_fifth(v + '_place')} AS {v}_score" for v in "rfml")).replace(
-    "@GRID@", ", ".join(f"({r}, {fm}, '{name}')" for r, row in X.SEGMENT_GRID.items() for fm, name in enumerate(row, 1))).replace(
-    "@OTHER@", X.OTHER_SEGMENT)
+    "@GRID@", ", ".join(f"({r}, {fm}, '{name}')" for r, row in GRID.items() for fm, name in enumerate(row, 1))).replace(
+    "@OTHER@", OTHER).replace("@BANDS@", ", ".join(f"({upto}, '{name}')" for upto, name in BANDS))
 
 
 def _silhouette(metric: str) -> str:
@@ -297,6 +303,8 @@ def oracle_sql() -> dict[str, str]:
 
     q["a1_multi_part_load"] = _with(PER_COUNTRY.format("tx"))
     q["a2_part_tag"] = _with(per_part)
+    q["a2_part_tag_in_one_scan"] = q["a2_part_tag"]
+    q["a6_cache_after_a_change"] = _with("SELECT SourceSheet, CASE SourceSheet WHEN 'sheet2' THEN 2 ELSE 1 END * count(*) AS n_rows, SourceSheet = 'sheet2' AS rebuilt FROM tx GROUP BY SourceSheet")
     q["a3_shared_invoices"] = _with(shared)
     q["a4_header_normalisation"] = _with(
         f"SELECT StockCode, count(CustomerID) AS n_customers, {DATE.format('max(InvoiceDate)')} AS last_date FROM tx GROUP BY StockCode")
@@ -581,9 +589,29 @@ def oracle_sql() -> dict[str, str]:
         LEFT JOIN (SELECT CustomerID, StockCode, InvoiceDate FROM tx WHERE Invoice NOT LIKE 'C%' AND Quantity > 0) s
           ON c.CustomerID = s.CustomerID AND c.StockCode = s.StockCode AND s.InvoiceDate <= c.InvoiceDate
         GROUP BY c.CustomerID, c.StockCode, c.InvoiceDate, c.n_cancelled""")
+    q["x3_matched_quantities"] = _with(
+        f"""SELECT CustomerID, StockCode, {DATE.format('cancelled_at')} AS cancelled_at, {DATE.format('sold_at')} AS sold_at, CAST(quantity AS BIGINT) AS quantity FROM (
+          SELECT c.CustomerID, c.StockCode, c.moment AS cancelled_at, s.moment AS sold_at, least(s.s, c.taken) - greatest(s.s - s.sold, c.before) AS quantity
+          FROM moved c JOIN moved s ON c.CustomerID = s.CustomerID AND c.StockCode = s.StockCode AND s.s - s.sold < c.taken AND s.s > c.before
+          WHERE c.taken > c.before AND s.sold > 0
+          UNION ALL SELECT CustomerID, StockCode, moment, NULL, gone - (taken - before) FROM moved WHERE gone > taken - before)""", """
+moments AS (SELECT CustomerID, StockCode, InvoiceDate AS moment, sum(CASE WHEN Invoice LIKE 'C%' THEN 0 ELSE Quantity END) AS sold, sum(CASE WHEN Invoice LIKE 'C%' THEN abs(Quantity) ELSE 0 END) AS gone
+  FROM tx WHERE CustomerID IS NOT NULL AND ((Invoice LIKE 'C%' AND Quantity <> 0) OR Quantity > 0) GROUP BY ALL),
+running AS (SELECT *, sum(sold) OVER w AS s, sum(gone) OVER w AS q FROM moments WINDOW w AS (PARTITION BY CustomerID, StockCode ORDER BY moment)),
+stocked AS (SELECT *, q + least(0, min(s - q) OVER (PARTITION BY CustomerID, StockCode ORDER BY moment)) AS taken FROM running),
+moved AS (SELECT *, coalesce(lag(taken) OVER (PARTITION BY CustomerID, StockCode ORDER BY moment), 0) AS before FROM stocked)
+""")
     q["x4_missing_customer_months"] = _with("SELECT strftime(InvoiceDate, '%Y-%m') AS month, count(*) AS n_rows, count(*) FILTER (CustomerID IS NULL) AS n_missing FROM tx GROUP BY 1")
     q["x5_silhouette_manhattan"] = _with("SELECT CAST(k AS BIGINT) AS k, round(silhouette, 6) AS silhouette FROM curve", _silhouette("manhattan"))
     q["x6_length_since_first"] = _with("SELECT customer_id, date_diff('day', CAST(first_date AS DATE), CAST((SELECT max(closing) FROM habits) AS DATE)) AS length FROM buyers")
     q["x7_lowest_bin_scores"] = _with(_lowest_bin())
+    q["s6_bounded_scatter"] = _with(
+        "SELECT cluster, customer_id, CAST(recency AS DOUBLE) AS x, CAST(monetary AS DOUBLE) AS y FROM levels QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY md5('42:' || CAST(customer_id AS VARCHAR)), customer_id) <= 100")
+    counted = ("Invoice", "StockCode", "Description", "CustomerID", "Country")
+    q["g13_distinct_sketches"] = _with(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS within FROM tx" for c in counted))
+    q["g13_distinct_sketches_by_part"] = _with(" UNION ALL ".join(f"SELECT SourceSheet, '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS within FROM tx GROUP BY SourceSheet" for c in counted))
+    for name, same in (("a8_bucketed_sink", "a8_table_sink"), ("j1_lines_with_invoice_bucketed", "j1_lines_with_invoice"), ("j2_invoice_totals_bucketed", "j2_invoice_totals"),
+                       ("a10_sql_reports", "a10_named_reports"), ("g10_response_proxy_sql", "g10_response_proxy")):
+        q[name] = q[same]
     q["x8_scatter_length_recency"] = _with("SELECT customer_id, CAST(length AS DOUBLE) AS x, CAST(recency AS DOUBLE) AS y FROM mart")
     return q

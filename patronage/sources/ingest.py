@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.sources.storage import cached_table
+from patronage.sources.storage import cached_parts, cached_table
 
 RAW_SCHEMA = T.StructType([
     T.StructField("Invoice", T.StringType()),
@@ -76,6 +76,27 @@ def raw_log(spark: SparkSession, cache_path: str, paths: dict[str, str], fmt: st
     return cached_table(spark, cache_path, lambda: read_parts(spark, paths, fmt), force)
 
 
+def read_parts_at_once(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> DataFrame:
+    """All parts in a single scan, tagged by the path that a row's file lies under (the longest, if one part lies in another).
+
+    For parts of one layout; parts whose headers differ go through ``read_parts``.
+    """
+    reader = spark.read.format(fmt).option("recursiveFileLookup", True)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    # a path may come without its scheme, and a file's path comes with it
+    under = {name: path.split("://")[-1].rstrip("/") for name, path in paths.items()}
+    tag = F.lit(None).cast("string")
+    for name, path in sorted(under.items(), key=lambda p: len(p[1])):
+        tag = F.when(F.contains(F.col("_metadata.file_path"), F.lit(path + "/")) | F.endswith(F.col("_metadata.file_path"), F.lit(path)), name).otherwise(tag)
+    return normalise_types(normalise_headers(reader.load(list(paths.values())).withColumn("SourceSheet", tag)))
+
+
+def fresh_log(spark: SparkSession, cache_path: str, paths: dict[str, str], fmt: str = "parquet") -> tuple[DataFrame, list[str]]:
+    """The stacked raw log from its parquet cache, and the parts that were built for it: those that are new or whose files changed."""
+    return cached_parts(spark, cache_path, paths, lambda name, path: read_parts(spark, {name: path}, fmt, tag=False))
+
+
 def split_parts(log: DataFrame, names: list[str]) -> dict[str, DataFrame]:
     """Undo the stacking: one untagged frame per part."""
     return {

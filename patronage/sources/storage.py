@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,3 +56,43 @@ def cached_table(spark: SparkSession, path: str, build, force: bool = False) ->
             pass  # not there, or without a file that tells its schema
     save_table(build(), path)
     return spark.read.parquet(path)
+
+
+def source_digest(spark: SparkSession, path: str) -> str:
+    """What tells one state of a file or folder from another: its files' names, sizes and times, folded to one value."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+    n, size, names = files.agg(F.count("*"), F.sum("length"), F.expr("bit_xor(xxhash64(path, length, modificationTime))")).first()
+    return f"{n}-{size}-{names}"
+
+
+def cached_parts(spark: SparkSession, folder: str, sources: dict[str, str], build, tag: str = "SourceSheet") -> tuple[DataFrame, list[str]]:
+    """The stored table of all parts, and the names of those that had to be built.
+
+    Each part is kept below ``folder`` beside a manifest of the source files it came from. A part whose source
+    has changed, or that is new, is built again by ``build(name, path)``; the others are read as they are. A part that is no longer
+    among the sources is not read. The manifest is written after the part, so a build that was cut off is repeated.
+    """
+    built = []
+    for name, path in sources.items():
+        digest = source_digest(spark, path)
+        part, manifest = (f"{folder}/{kind}/{tag}={quote(name, safe='')}" for kind in ("data", "manifest"))
+        try:
+            known = spark.read.schema("digest string").parquet(manifest).first()
+        except AnalysisException:
+            known = None  # not built yet
+        if known is None or known["digest"] != digest:
+            built.append(name)
+            build(name, path).write.mode("overwrite").parquet(part)
+            spark.createDataFrame([(digest,)], "digest string").coalesce(1).write.mode("overwrite").parquet(manifest)
+    paths = [f"{folder}/data/{tag}={quote(name, safe='')}" for name in sources]
+    return spark.read.option("basePath", f"{folder}/data").parquet(*paths), built
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Store ``df`` as table ``name`` at ``path`` in buckets of ``key``, sorted inside, and return its scan.
+
+    Tables in equally many buckets of a key are joined and grouped on it without an exchange. One task writes one bucket.
+    """
+    writer = df.repartition(buckets, key).sortWithinPartitions(key).write.mode("overwrite").format("parquet")
+    writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)

@@ -187,6 +187,26 @@ def test_more_chunks_change_nothing(cells, monkeypatch):
     assert sorted(map(tuple, G.edges(cells, RFM).collect())) == pairs
 
 
+def test_manhattan_silhouette_without_pairs(spark, cells):
+    labelled = materialise(cells.withColumn("k", F.explode(F.array(F.lit(2), F.lit(5)))).withColumn("cluster", F.expr("(r_score + f_score) % k + 3")), "striped")
+    looked_up = G.silhouette(labelled, ["k"], RFM, "manhattan")
+    assert "members" not in looked_up._jdf.queryExecution().optimizedPlan().toString()
+    mass = G.cluster_mass(labelled, ["k"], RFM, "manhattan")  # by pairs of cells
+    per_cell = mass.groupBy("k", "cell_id", "cnt").agg(
+        F.expr("max(IF(other = cluster, n, NULL))").alias("own_n"), F.expr("max(IF(other = cluster, mass / nullif(n - 1, 0), NULL))").alias("a"),
+        F.expr("min(IF(other <> cluster, mass / n, NULL))").alias("b"))
+    by_pairs = {r.k: r.s for r in per_cell.groupBy("k").agg(F.expr(f"sum(({G.SILHOUETTE}) * cnt) / sum(cnt)").alias("s")).collect()}
+    assert {r.k: pytest.approx(r.silhouette) for r in looked_up.collect()} == by_pairs
+    single = labelled.withColumn("cluster", F.lit(0))
+    assert all(np.isnan(r.silhouette) for r in G.silhouette(single, ["k"], RFM, "manhattan").collect())
+
+
+def test_manhattan_silhouette_of_a_large_lattice(spark):
+    large = lattice(spark, 20, LRFM, 1.0).withColumn("cluster", F.expr("(l_score + m_score) % 4")).withColumn("run", F.lit(1))
+    value = G.silhouette(materialise(large, "160k"), ["run"], LRFM, "manhattan", 20).first().silhouette
+    assert -1 < value < 1
+
+
 def test_silhouette_of_customers_and_conventions(stored_mart, cells):
     labelled = cells.withColumn("cluster", F.expr("r_score % 2")).withColumn("run", F.expr("cell_id * 0"))
     got = G.silhouette(labelled, ["run"], RFM).first().silhouette

@@ -152,3 +152,93 @@ def test_shared_folder_is_required_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_folder(Session())
+
+
+def test_cache_builds_only_what_changed(spark, tmp_path):
+    for name, n in (("a b", 3), ("c=d", 5)):
+        spark.range(n).write.parquet(f"{tmp_path}/{name}")
+    built = []
+
+    def build(name, path):
+        built.append(name)
+        return spark.read.parquet(path)
+
+    def rows(sources):
+        table, now = storage.cached_parts(spark, f"{tmp_path}/cache", sources, build)
+        return {r["SourceSheet"]: r["n"] for r in table.groupBy("SourceSheet").agg(F.count("*").alias("n")).collect()}, now
+
+    sources = {name: f"{tmp_path}/{name}" for name in ("a b", "c=d")}
+    assert rows(sources) == ({"a b": 3, "c=d": 5}, ["a b", "c=d"])
+    assert rows(sources) == ({"a b": 3, "c=d": 5}, [])
+    spark.range(10).write.mode("append").parquet(f"{tmp_path}/c=d")
+    assert rows(sources) == ({"a b": 3, "c=d": 15}, ["c=d"])
+    spark.range(2).write.parquet(f"{tmp_path}/new")
+    assert rows({**sources, "new": f"{tmp_path}/new"}) == ({"a b": 3, "c=d": 15, "new": 2}, ["new"])
+    assert rows({"new": f"{tmp_path}/new"}) == ({"new": 2}, [])
+    assert built == ["a b", "c=d", "c=d", "new"]
+
+
+def test_parts_in_one_scan(spark, stored_log, tmp_path):
+    for name in ("sheet1", "sheet2"):
+        stored_log.filter(F.col("SourceSheet") == name).drop("SourceSheet").write.parquet(f"{tmp_path}/{name}")
+    paths = {"one": f"{tmp_path}/sheet1", "two": f"file://{tmp_path}/sheet2/"}
+    at_once, apart = I.read_parts_at_once(spark, paths), I.read_parts(spark, paths)
+    assert sorted(map(tuple, I.rows_per_part(at_once).collect())) == sorted(map(tuple, I.rows_per_part(apart).collect()))
+    assert at_once._jdf.queryExecution().executedPlan().toString().count("Scan parquet") == 1
+
+
+def test_bucketed_tables_join_without_exchange(spark, stored_log, tmp_path):
+    tables = W.build_tables(C.clean(stored_log))
+    stored = W.write_bucketed(tables, str(tmp_path), "bucket_test", 4)
+    joined = W.bucketed_lines_with_invoice(stored["fact_line"], stored["dim_invoice"])
+    totals = W.invoice_totals(stored["fact_line"], stored["dim_invoice"].hint("merge"))
+    for df in (joined, totals):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == tables["fact_line"].count()
+    want = W.invoice_totals(tables["fact_line"], tables["dim_invoice"])
+    assert sorted(map(str, totals.collect())) == sorted(map(str, want.collect()))
+    for name in ("fact_line", "dim_invoice"):
+        spark.sql(f"DROP TABLE bucket_test_{name}")
+
+
+def test_pieces_are_taken_back_first_in_first_out(spark):
+    import collections
+    import datetime
+    import random
+    r = random.Random(4)
+    rows = []
+    for customer, product in ((1, "a"), (1, "b"), (2, "a"), (None, "a")):
+        for day in r.sample(range(60), 40):
+            back = r.random() < 0.45
+            at = datetime.datetime(2020, 1, 1) + datetime.timedelta(days=day // 2)
+            rows.append((f"{'C' if back else ''}{day}", product, -r.randint(1, 9) if back else r.choice([0, 1, 2, 8]), at, customer))
+    log = spark.createDataFrame(rows, "Invoice string, StockCode string, Quantity int, InvoiceDate timestamp_ntz, CustomerID long")
+    want = collections.Counter()
+    for key in {(x[4], x[1]) for x in rows if x[4] is not None}:
+        stock = collections.deque()
+        for at in sorted({x[3] for x in rows}):
+            here = [x for x in rows if (x[4], x[1], x[3]) == (*key, at)]
+            sold = sum(x[2] for x in here if not x[0].startswith("C"))
+            if sold:
+                stock.append([at, sold])
+            gone = sum(-x[2] for x in here if x[0].startswith("C"))
+            while gone and stock:
+                n = min(gone, stock[0][1])
+                want[*key, at, stock[0][0]] += n
+                gone -= n
+                stock[0][1] -= n
+                if not stock[0][1]:
+                    stock.popleft()
+            if gone:
+                want[*key, at, None] += gone
+    found = P.match_quantities(log).collect()
+    assert {(x.CustomerID, x.StockCode, x.cancelled_at, x.sold_at): x.quantity for x in found} == dict(want)
+    assert len(found) == len(want)
+
+
+def test_scatter_is_bounded_and_the_same_for_any_partitioning(spark):
+    table = spark.range(5000).selectExpr("id AS customer_id", "IF(id % 10 < 8, 'big', concat('g', id % 3)) AS cluster", "id AS x", "id * 2 AS y")
+    points = [sorted(map(tuple, P.bounded_scatter(table.repartition(n), "x", "y", "cluster", 50).collect())) for n in (1, 7)]
+    assert points[0] == points[1] and len(points[0]) == 200
+    plan = P.bounded_scatter(table.repartition(3), "x", "y", "cluster", 50)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
