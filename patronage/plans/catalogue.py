@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1207,6 +1208,11 @@ def k15_kmeans_inertia(spark, d):
     return centred.groupBy("k").agg(F.sum(F.expr("r_score + f_score")).alias("inertia"))
 
 
+@query
+def k16_ward(spark, d):
+    return _comparator(spark, d, "Ward")
+
+
 @query
 def k17_gaussian_mixture(spark, d):
     return _comparator(spark, d, "GMM")
@@ -1214,14 +1220,17 @@ def k17_gaussian_mixture(spark, d):
 
 @query
 def k18_method_silhouettes(spark, d):
-    m = mart(spark, d)
-    curves = []
-    for v in (S.RFM, S.LRFM):
+    m = materialise(mart(spark, d), "mart")
+
+    def curve(v):
         cells = materialise(G.reduce_cells(m, v), "cells")
         wanted = ["variables", "k", "method", "cell_id", "cnt", *G.score_columns(v), "cluster"]
         cut = K.solve(cells, v, K.K_RANGE).withColumn("method", F.lit("max-k-cut"))
         labels = materialise(cut.select(*wanted).unionByName(M.compare_methods(cells, v, K.K_RANGE).select(*wanted)), "methods")
-        curves.append(G.silhouette(labels, ["variables", "k", "method"], v))
+        return G.silhouette(labels, ["variables", "k", "method"], v)
+
+    with ThreadPoolExecutor(2) as pool:  # the two variable sets are independent jobs
+        curves = list(pool.map(curve, (S.RFM, S.LRFM)))
     return E.method_table(curves[0].unionByName(curves[1]), ["max-k-cut", *M.METHODS])
 
 

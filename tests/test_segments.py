@@ -11,6 +11,7 @@ from patronage.operators import evaluate as E
 from patronage.operators import graph as G
 from patronage.operators import relocation as L
 from patronage.operators import segment as K
+from patronage.operators import ward as W
 from patronage.operators.scoring import LRFM, RFM
 from patronage.sources.storage import materialise
 
@@ -236,7 +237,7 @@ def test_comparators_label_every_cell(cells):
     labels = M.compare_methods(cells, RFM, [2, 4], starts=3).groupBy("method", "k").agg(
         F.sum("cnt").alias("n"), F.countDistinct("cluster").alias("c")).collect()
     n = cells.agg(F.sum("cnt")).first()[0]
-    assert len(labels) == 4
+    assert len(labels) == 6
     assert all(r.n == n and 1 <= r.c <= r.k for r in labels)
 
 
@@ -288,3 +289,50 @@ def test_boxes_of_many_groups(spark):
     table = spark.range(30_000).selectExpr("id % 10000 AS cluster", "CAST(id DIV 10000 AS DOUBLE) AS monetary")
     rows = E.box_statistics(table).collect()
     assert len(rows) == 10_000 and {(r.q1, r.median, r.q3) for r in rows} == {(0.5, 1.0, 1.5)}
+
+
+def plain_ward(points, counts):
+    """(heights, labels by k): the nearest pair is merged, one after another."""
+    clusters = [(float(n), n * p, [i]) for i, (p, n) in enumerate(zip(points, counts))]
+    heights, labels = [], {}
+    while True:
+        labels[len(clusters)] = {frozenset(c[2]) for c in clusters}
+        if len(clusters) == 1:
+            return heights, labels
+        h, i, j = min((a[0] * b[0] / (a[0] + b[0]) * ((a[1] / a[0] - b[1] / b[0]) ** 2).sum(), i, j)
+                      for i, a in enumerate(clusters) for j, b in enumerate(clusters) if i < j)
+        heights.append(h)
+        a, b = clusters[i], clusters[j]
+        clusters = [c for x, c in enumerate(clusters) if x not in (i, j)] + [(a[0] + b[0], a[1] + b[1], a[2] + b[2])]
+
+
+@pytest.mark.parametrize("bins,share", [(3, 1.0), (5, 0.6)])
+def test_ward_by_mutual_neighbours_is_the_plain_tree(spark, bins, share, monkeypatch):
+    monkeypatch.setattr(W, "CHUNK", 20)
+    df = lattice(spark, bins, ["R", "F"] if bins == 3 else RFM, share)
+    rng = np.random.default_rng(5)
+    rows = [(r[0], int(rng.integers(10**4, 10**6)), *r[2:]) for r in df.orderBy("cell_id").collect()]  # counts without ties
+    cells = spark.createDataFrame(rows, df.schema)
+    variables = ["R", "F"] if bins == 3 else RFM
+    heights, labels = plain_ward(np.array([r[2:] for r in rows], float), [r[1] for r in rows])
+    tree, rounds = W.merge_tree(cells, variables)
+    assert np.allclose(sorted(r.height for r in tree.collect()), heights) and rounds < len(rows) - 1
+    found = W.ward(cells, variables, [1, 2, 3, 7]).collect()
+    for k in (1, 2, 3, 7):
+        groups = {}
+        for r in found:
+            if r.k == k:
+                groups.setdefault(r.cluster, set()).add([x[0] for x in rows].index(r.cell_id))
+        assert {frozenset(g) for g in groups.values()} == labels[k] and set(groups) == set(range(k))
+
+
+def test_ward_of_few_cells(spark, cells):
+    few = cells.orderBy("cell_id").limit(3)
+    assert sorted(r.cluster for r in W.ward(materialise(few, "few"), RFM, [5]).collect()) == [0, 1, 2]
+    assert W.ward(cells.limit(0), RFM, [2]).collect() == []
+
+
+def test_a_mixture_that_never_fits_is_told(cells, monkeypatch):
+    monkeypatch.setattr(M, "_fit", lambda *_: None)
+    rows = M.compare_methods(cells, RFM, [3], ["GMM"]).collect()
+    assert len(rows) == cells.count() and all(r.cluster is None and r.k == 3 for r in rows)
