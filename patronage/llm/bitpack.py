@@ -2,8 +2,9 @@
 
 A file holds a range of documents in ascending doc_id order::
 
-    magic 'IDB1', width in bits (u8), 3 zero bytes, number of documents (u64), number of ids (u64), ids in a block (u32), number of blocks (u32)
-    doc_id of each document (i64), end of each document in ids (u64)
+    magic 'IDB2', width in bits (u8), 3 zero bytes, number of documents (u64), number of ids (u64), ids in a block (u32), number of blocks (u32),
+    number of documents without doc_id (u64), which come first
+    doc_id of each document (i64; 0 where there is none), end of each document in ids (u64)
     byte offset of each block in the payload (u64)
     payload: blocks of ids, each id in ``width`` bits, lowest bit first; a block begins on a byte
 
@@ -27,13 +28,15 @@ from patronage.llm import units
 from patronage.llm.wordarrays import blob, ranges, slices, unblob
 from patronage.sources.storage import materialise
 
-MAGIC = b"IDB1"
-HEAD = "<4sB3xQQII"
+MAGIC = b"IDB2"
+HEAD = "<4sB3xQQIIQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK = 4096
 CHUNK = 2 << 20
 #: A sign that stands between words that are encoded in one line.
 JOINER = "\x01"
+#: Bytes of text in a part, which one task arranges; a part of one very long document may hold more.
+PART_BYTES = 32 << 20
 #: Ids in a file, about; a file of one very long document may hold more.
 FILE_IDS = 4_000_000
 
@@ -58,21 +61,21 @@ def unpack(data: bytes, n: int, width: int) -> np.ndarray:
     return (bits.astype(np.uint32) << np.arange(width, dtype=np.uint32)).sum(1, dtype=np.uint32)
 
 
-def to_file(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, width: int, block: int = BLOCK) -> bytes:
-    """A whole file; ids that do not fit the width are refused."""
+def to_file(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, width: int, block: int = BLOCK, unnamed: int = 0) -> bytes:
+    """A whole file, the first ``unnamed`` documents of which have no doc_id; ids that do not fit the width are refused."""
     if len(ids) and int(ids.max()) >> width:
         raise ValueError(f"an id needs more than {width} bits")
     blocks = [pack(ids[a:a + block], width) for a in range(0, len(ids), block)]
     offsets = np.concatenate([[0], np.cumsum([len(b) for b in blocks])])[:len(blocks)]
-    return b"".join([struct.pack(HEAD, MAGIC, width, len(doc_ids), len(ids), block, len(blocks)), blob(doc_ids, "<i8"), blob(np.cumsum(sizes), "<u8"),
+    return b"".join([struct.pack(HEAD, MAGIC, width, len(doc_ids), len(ids), block, len(blocks), unnamed), blob(doc_ids, "<i8"), blob(np.cumsum(sizes), "<u8"),
                      blob(offsets, "<u8"), *blocks])
 
 
 class IdFile:
-    """Reads a file: ``doc_ids``, ``ends``, and ids of any range or document."""
+    """Reads a file: ``doc_ids`` (the first ``unnamed`` stand for none), ``ends``, and ids of any range or document."""
 
     def __init__(self, content: bytes):
-        magic, self.width, docs, self.n_ids, self.block, blocks = struct.unpack_from(HEAD, content)
+        magic, self.width, docs, self.n_ids, self.block, blocks, self.unnamed = struct.unpack_from(HEAD, content)
         if magic != MAGIC:
             raise ValueError("not a file of packed ids")
         at = HEAD_BYTES
@@ -90,6 +93,11 @@ class IdFile:
         parts = [unpack(self.payload[int(self.offsets[b]):], min(self.block, self.n_ids - b * self.block), self.width) for b in range(first, last + 1)]
         return np.concatenate(parts)[start - first * self.block:end - first * self.block]
 
+    @property
+    def named(self) -> pa.Array:
+        """The doc_ids, null where there is none."""
+        return pa.array(self.doc_ids, mask=np.arange(len(self.doc_ids)) < self.unnamed)
+
     def document(self, place: int) -> np.ndarray:
         return self.ids(int(self.ends[place - 1]) if place else 0, int(self.ends[place]))
 
@@ -97,19 +105,23 @@ class IdFile:
 FILES = "part int, file int, content binary"
 
 
-def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, file_ids: int = FILE_IDS) -> DataFrame:
+def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, file_ids: int = FILE_IDS, part_bytes: int = PART_BYTES) -> DataFrame:
     """Files with the ids of each text and ``end_id`` after it, in ascending doc_id order over (part, file).
 
-    Ranges of doc_id are cut at exact-enough quantiles of the ids alone; tasks encode, and only packed ids are shuffled, to the
-    part of their range, which sorts them and cuts files of about ``file_ids`` ids. A null text is empty. Rows that
-    repeat a doc_id are all written, ordered by their ids. A null doc_id raises an error: a file has no place for it.
+    The texts' bytes are counted, and ranges of doc_id with about ``part_bytes`` each are cut at quantiles of the ids, so that a part does not grow with
+    the data; tasks encode, and only packed ids are shuffled, to the part of their range, which sorts them and cuts files of about ``file_ids`` ids.
+    A null text is empty. Rows that repeat a doc_id are all written, ordered by their ids. Rows without doc_id come first: they are spread over parts
+    of their own by a checksum of their ids, and ordered by their ids inside. An empty table gives no files.
     Rows of (part, file, content) are written by Spark to the shared folder, so any store that Spark writes will do;
     ``content`` is a file as ``IdFile`` reads it.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = texts.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], 100 * parts)).first()[0] or []
+    length = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
+    named, unnamed = texts.agg(F.sum(F.when(F.col("doc_id").isNotNull(), length)), F.sum(F.when(F.col("doc_id").isNull(), length))).first()
+    parts, slots = (-(-(n or 0) // part_bytes) for n in (named, unnamed))
+    shares = [k / parts for k in range(1, parts)] or [0.5]
+    bounds = texts.agg(F.percentile_approx("doc_id", shares, max(10_000, 4 * parts))).first()[0] or []
     bounds = np.unique(np.array(bounds, np.int64))
     width = width_of(vocabulary)
     with open(tokenizer_path, encoding="utf-8") as file:
@@ -124,15 +136,16 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
         mark = ids_of([JOINER])[0]
         lookup = units.Lookup(units.joined(ids_of, f" {JOINER} ", mark[0] if len(mark) == 1 else None))
         for rows in slices(batches, CHUNK):
-            if rows.column("doc_id").null_count:
-                raise ValueError("a document without doc_id has no place in the order")
             ids, begin = lookup.ids(units.words(rows.column("text")))
-            doc = rows.column("doc_id").to_numpy()
-            part = np.searchsorted(bounds, doc, "left")
+            bare = pc.is_null(rows.column("doc_id")).to_numpy(zero_copy_only=False)
+            doc = pc.fill_null(rows.column("doc_id"), 0).to_numpy()
             sizes = np.diff(begin) + 1
             whole = np.full(len(ids) + len(doc), end_id, np.uint32)
             whole[ranges(begin[:-1] + np.arange(len(doc)), sizes - 1)] = ids
             starts = np.concatenate([[0], np.cumsum(sizes)])
+            part = slots + np.searchsorted(bounds, doc, "left")
+            for i in np.flatnonzero(bare):
+                part[i] = zlib.crc32(whole[starts[i]:starts[i + 1]].tobytes()) % slots
             order = np.lexsort((doc, part))
             cut = np.concatenate([[0], np.flatnonzero(np.diff(part[order])) + 1, [len(order)]])
             out = []
@@ -143,23 +156,23 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([c for _, c in out], pa.binary())], names=["part", "content"])
 
     def arrange(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
         files = [IdFile(c) for c in table.column("content").to_pylist()]
         doc = np.concatenate([f.doc_ids for f in files])
         sizes = np.concatenate([np.diff(np.concatenate([[0], f.ends])) for f in files])
         ids = np.concatenate([f.ids() for f in files])
         starts = np.cumsum(sizes) - sizes
         order = np.argsort(doc, kind="stable")
-        for same in np.split(order, np.flatnonzero(np.diff(doc[order])) + 1):
-            if len(same) > 1:  # rows that repeat a doc_id: by their ids
-                keyed = sorted(same.tolist(), key=lambda i: ids[starts[i]:starts[i] + sizes[i]].tolist())
-                order[np.flatnonzero(doc[order] == doc[same[0]])] = keyed
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(doc[order])) + 1, [len(order)]])
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            if b - a > 1:  # rows that repeat a doc_id, or have none: by their ids
+                order[a:b] = sorted(order[a:b].tolist(), key=lambda i: ids[starts[i]:starts[i] + sizes[i]].astype(">u4").tobytes())
         ends = np.cumsum(sizes[order])
         cut = [0]
         while cut[-1] < len(order):
             before = ends[cut[-1] - 1] if cut[-1] else 0
             cut.append(max(cut[-1] + 1, int(np.searchsorted(ends, before + file_ids, "right"))))
-        part = table.column("part")[0].as_py()
-        out = [to_file(doc[order[a:b]], sizes[order[a:b]], ids[ranges(starts[order[a:b]], sizes[order[a:b]])], width) for a, b in zip(cut[:-1], cut[1:])]
+        out = [to_file(doc[order[a:b]], sizes[order[a:b]], ids[ranges(starts[order[a:b]], sizes[order[a:b]])], width, unnamed=(b - a) * (part < slots)) for a, b in zip(cut[:-1], cut[1:])]
         return pa.Table.from_arrays([pa.array([part] * len(out), pa.int32()), pa.array(range(len(out)), pa.int32()), pa.array(out, pa.binary())], names=["part", "file", "content"])
 
     return materialise(texts.mapInArrow(encode, "part int, content binary").groupBy("part").applyInArrow(arrange, FILES), "packed-ids")
@@ -168,7 +181,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
 def read(files: DataFrame) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids_crc32`` of every document, from the files alone.
 
-    The driver sees one row of two numbers for each file; an empty table gives no rows.
+    The driver sees one row of three numbers for each file; an empty table gives no rows, and documents without doc_id give null.
     """
     def sizes(batches):
         for batch in batches:
@@ -189,7 +202,7 @@ def read(files: DataFrame) -> DataFrame:
                 ids = f.ids().astype("<u4")
                 starts = np.concatenate([[0], f.ends[:-1]]).astype(np.int64)[:len(f.ends)]
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, f.ends)]
-                yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids), pa.array(starts + base.value[part, number]), pa.array(f.ends - starts), pa.array(crc, pa.int64())],
+                yield pa.RecordBatch.from_arrays([f.named, pa.array(starts + base.value[part, number]), pa.array(f.ends - starts), pa.array(crc, pa.int64())],
                                                  names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -177,9 +177,10 @@ def test_ids_are_the_rebuilt_tokenizers_and_parity_is_told_by_row(monkeypatch):
         assert mine == codec.model.encode(texts) and [a != b for a, b in zip(mine, library)] == [False, True, False, True, False]
 
 
-def test_packed_ids(spark, documents, odd, none):
+@pytest.mark.parametrize("part_bytes", [20_000, 1 << 25])
+def test_packed_ids(spark, documents, odd, none, part_bytes):
     for docs in (documents, odd.filter("doc_id IS NOT NULL")):
-        files = bitpack.write(docs, WORD_FILE, 1, 49408, file_ids=3000)
+        files = bitpack.write(docs, WORD_FILE, 1, 49408, file_ids=3000, part_bytes=part_bytes)
         assert files.count() > 1
         rows = pairs(docs)
         whole = sorted((d, ids + [1]) for (d, _), ids in zip(rows, library_ids([t for _, t in rows])))
@@ -189,8 +190,19 @@ def test_packed_ids(spark, documents, odd, none):
             at += len(ids)
         assert sorted(map(tuple, bitpack.read(files).collect())) == want
     assert bitpack.read(bitpack.write(none, WORD_FILE, 1, 49408)).collect() == []
-    with pytest.raises(Exception, match="no place in the order"):
-        bitpack.write(odd, WORD_FILE, 1, 49408)
+
+
+@pytest.mark.parametrize("part_bytes", [2000, 1 << 25])
+def test_packed_ids_of_rows_without_id(spark, odd, part_bytes):
+    bare = odd.selectExpr("IF(n_words % 3 = 0, CAST(NULL AS BIGINT), doc_id) AS doc_id", "text")
+    rows = pairs(bare)
+    ids = library_ids([t for _, t in rows])
+    want = sorted(((d, len(x) + 1, zlib.crc32(np.array(x + [1], "<u4").tobytes())) for (d, _), x in zip(rows, ids)), key=str)
+    found = bitpack.read(bitpack.write(bare, WORD_FILE, 1, 49408, part_bytes=part_bytes)).orderBy("start").collect()
+    assert sorted(((r[0], r[2], r[3]) for r in found), key=str) == want
+    assert [r["start"] for r in found] == np.cumsum([0] + [r["n_tokens"] for r in found])[:-1].tolist()
+    named = [r["doc_id"] for r in found if r["doc_id"] is not None]
+    assert [r["doc_id"] for r in found][:len(found) - len(named)] == [None] * (len(found) - len(named)) and named == sorted(named)
 
 
 @pytest.mark.parametrize("width", [1, 3, 13, 16, 17, 31])
