@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from itertools import chain, count
 
 import numpy as np
@@ -34,6 +35,9 @@ PART_BYTES = 1 << 20
 CHUNK_BYTES = 8 << 20
 #: Tokens that are compared one by one before blocks of arrays are.
 SINGLE = 8
+#: Units that are encoded as one line, and the end of a unit that another one can follow.
+PER_LINE = 256
+PLAIN_END = re.compile(r"[!-~]\Z")
 #: Distinct units that a task remembers with their groups and links.
 REMEMBERED = 250_000
 
@@ -153,6 +157,7 @@ class Pair(units.Lookup):
         self.bytes_b = _Table([
             bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(MARK, " ").encode()
             for p, kind in zip(self.model.pieces, self.model.kinds)])
+        self.said_a, self.said_b = [f"{i}|" for i in range(len(parts))], [str(i) for i in range(len(self.model.pieces))]
         super().__init__(self.align, limit)
 
     def forget(self) -> None:
@@ -160,9 +165,30 @@ class Pair(units.Lookup):
         self.facts, self.groups = np.zeros((0, 4), np.int64), []
 
     def encoded(self, texts: list[str]):
-        """Ids and their number of each unit, on either side."""
-        for ids in ([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.model.reference_lines(texts)):
-            yield np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+        """Ids and their number of each unit, on either side; units go through the libraries in lines, as they would stand in a text."""
+        ends = np.array([-1, *(i for i, t in enumerate(texts) if i % PER_LINE == PER_LINE - 1 or not PLAIN_END.search(t) or MARK in t), len(texts) - 1])
+        cuts = np.unique(ends) + 1
+        alone = np.array([MARK in t for t in texts], bool)
+        cuts = np.union1d(cuts, np.flatnonzero(alone))  # such a unit is a line of its own
+        lines = ["".join(texts[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        sizes = np.array([len(t.encode()) for t in texts], np.int64)
+        whole = lambda lines: [e.ids for e in self.a.encode_batch_fast(lines, add_special_tokens=False)]
+        for encode, table in ((whole, self.bytes_a), (self.model.reference_lines, self.bytes_b)):
+            found = encode(lines)
+            ids = np.fromiter(chain.from_iterable(found), np.int64)
+            per_line = np.fromiter(map(len, found), np.int64, len(found))
+            at, of_line = np.cumsum(table.size[ids]), np.concatenate([[0], np.cumsum(per_line)])
+            begun = np.concatenate([[0], at])[of_line[:-1]]  # bytes before each line's tokens
+            number = np.repeat(np.arange(len(lines)), np.diff(cuts))
+            stood = np.cumsum(sizes) - (np.cumsum(sizes) - sizes)[cuts[:-1]][number]  # where a unit ends in its line
+            last = np.searchsorted(at, begun[number] + stood)
+            last = np.where(np.append(np.diff(number) > 0, True), of_line[1:][number] - 1, last)
+            ended = np.append(at, -1)[last] == begun[number] + stood
+            if (~ended & ~alone).any():  # a unit that no token ends with: all go alone
+                found = encode(texts)
+                yield np.fromiter(chain.from_iterable(found), np.int64), np.fromiter(map(len, found), np.int64, len(texts))
+            else:
+                yield ids, np.diff(np.concatenate([[-1], last]))
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Links of units that were not met before, two numbers each, and how many numbers each unit has."""
@@ -176,7 +202,7 @@ class Pair(units.Lookup):
         n_a, n_b = np.where(good, n_a, 0), np.where(good, n_b, 0)
         ends_a, ends_b = np.cumsum(self.bytes_a.size[ids_a]), np.cumsum(self.bytes_b.size[ids_b])
         last_a, last_b = common_ends(ends_a, ends_b)
-        self.groups += _spelled(ids_a, ids_b, last_a, last_b, np.cumsum(n_a))
+        self.groups += _spelled(ids_a, ids_b, last_a, last_b, np.cumsum(n_a), self.said_a, self.said_b)
         n_groups = np.diff(np.searchsorted(last_a, np.concatenate([[0], np.cumsum(n_a)])))
         self.facts = np.concatenate([self.facts, np.stack([good, n_a, n_b, n_groups], 1)])
         left, right = overlaps(ends_a, ends_b)
@@ -194,10 +220,10 @@ def _same(whole: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndar
     return good
 
 
-def _spelled(ids_a, ids_b, last_a, last_b, ends) -> list[str]:
+def _spelled(ids_a, ids_b, last_a, last_b, ends, said_a, said_b) -> list[str]:
     """The groups of each unit as text: ids joined by commas, sides by a bar, groups by a semicolon."""
     first_a, first_b = (np.concatenate([[0], last[:-1] + 1])[:len(last)] for last in (last_a, last_b))
-    said = [f"{x}|{y}" for x, y in zip(ids_a[last_a].tolist(), ids_b[last_b].tolist())]  # right where one meets one
+    said = [said_a[x] + said_b[y] for x, y in zip(ids_a[last_a].tolist(), ids_b[last_b].tolist())]  # right where one meets one
     several = np.flatnonzero((first_a < last_a) | (first_b < last_b))
     a, b = ids_a.tolist(), ids_b.tolist()
     sides = (x[several].tolist() for x in (first_a, last_a + 1, first_b, last_b + 1))
