@@ -36,7 +36,9 @@ CHUNK = 2 << 20
 #: A sign that stands between words that are encoded in one line.
 JOINER = "\x01"
 #: Bytes of text in a part, which one task arranges; a part of one very long document may hold more.
-PART_BYTES = 32 << 20
+PART_BYTES = 8 << 20
+#: Ranges of doc_id that are cut at quantiles; beyond them each range is divided evenly by value.
+RANGES = 16_384
 #: Ids in a file, about; a file of one very long document may hold more.
 FILE_IDS = 4_000_000
 
@@ -102,14 +104,22 @@ class IdFile:
         return self.ids(int(self.ends[place - 1]) if place else 0, int(self.ends[place]))
 
 
+def _part_of(doc: np.ndarray, edges: np.ndarray, fine: int) -> np.ndarray:
+    """The part of each doc_id: its range between ``edges``, and which of ``fine`` even pieces of the range; parts ascend with ids."""
+    at = np.clip(np.searchsorted(edges, doc, "right") - 1, 0, max(0, len(edges) - 2))
+    low, high = edges[at].astype(float), edges[np.minimum(at + 1, len(edges) - 1)].astype(float)
+    piece = np.clip((doc - low) / np.maximum(high - low, 1) * fine, 0, fine - 1).astype(np.int64)
+    return at * fine + piece
+
+
 FILES = "part int, file int, content binary"
 
 
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, file_ids: int = FILE_IDS, part_bytes: int = PART_BYTES) -> DataFrame:
     """Files with the ids of each text and ``end_id`` after it, in ascending doc_id order over (part, file).
 
-    The texts' bytes are counted, and ranges of doc_id with about ``part_bytes`` each are cut at quantiles of the ids, so that a part does not grow with
-    the data; tasks encode, and only packed ids are shuffled, to the part of their range, which sorts them and cuts files of about ``file_ids`` ids.
+    The texts' bytes are counted, and ranges of doc_id with about ``part_bytes`` each are cut at quantiles of the ids (beyond ``RANGES``, at even steps between
+    quantiles), so that a part does not grow with the data; tasks encode, and only packed ids are shuffled, to the part of their range, which sorts them and cuts files of about ``file_ids`` ids.
     A null text is empty. Rows that repeat a doc_id are all written, ordered by their ids. Rows without doc_id come first: they are spread over parts
     of their own by a checksum of their ids, and ordered by their ids inside. An empty table gives no files.
     Rows of (part, file, content) are written by Spark to the shared folder, so any store that Spark writes will do;
@@ -120,9 +130,11 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
     length = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
     named, unnamed = texts.agg(F.sum(F.when(F.col("doc_id").isNotNull(), length)), F.sum(F.when(F.col("doc_id").isNull(), length))).first()
     parts, slots = (-(-(n or 0) // part_bytes) for n in (named, unnamed))
-    shares = [k / parts for k in range(1, parts)] or [0.5]
-    bounds = texts.agg(F.percentile_approx("doc_id", shares, max(10_000, 4 * parts))).first()[0] or []
-    bounds = np.unique(np.array(bounds, np.int64))
+    coarse = min(parts, RANGES)
+    fine = -(-parts // max(coarse, 1))
+    shares = [k / coarse for k in range(coarse + 1)] if coarse else [0.5]
+    edges = texts.agg(F.percentile_approx("doc_id", shares, 10 * RANGES)).first()[0] or [0]
+    edges = np.unique(np.array(edges, np.int64))
     width = width_of(vocabulary)
     with open(tokenizer_path, encoding="utf-8") as file:
         content = spark.sparkContext.broadcast(file.read())  # a vocabulary file, of a size apart from the corpus
@@ -143,7 +155,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
             whole = np.full(len(ids) + len(doc), end_id, np.uint32)
             whole[ranges(begin[:-1] + np.arange(len(doc)), sizes - 1)] = ids
             starts = np.concatenate([[0], np.cumsum(sizes)])
-            part = slots + np.searchsorted(bounds, doc, "left")
+            part = slots + _part_of(doc, edges, fine)
             for i in np.flatnonzero(bare):
                 part[i] = zlib.crc32(whole[starts[i]:starts[i + 1]].tobytes()) % slots
             order = np.lexsort((doc, part))

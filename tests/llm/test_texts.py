@@ -205,6 +205,15 @@ def test_packed_ids_of_rows_without_id(spark, odd, part_bytes):
     assert [r["doc_id"] for r in found][:len(found) - len(named)] == [None] * (len(found) - len(named)) and named == sorted(named)
 
 
+def test_parts_ascend_with_ids():
+    r = np.random.default_rng(7)
+    doc = np.sort(r.integers(-2**62, 2**62, 5000))
+    for edges in (np.quantile(doc, np.linspace(0, 1, 9)).astype(np.int64), np.array([0]), doc[[0, -1]]):
+        for fine in (1, 5):
+            part = bitpack._part_of(doc, np.unique(edges), fine)
+            assert (np.diff(part) >= 0).all() and part.min() >= 0 and part.max() < max(1, len(edges) - 1) * fine
+
+
 @pytest.mark.parametrize("width", [1, 3, 13, 16, 17, 31])
 def test_packing_any_width(width):
     r = np.random.default_rng(width)
