@@ -4,11 +4,14 @@ A turn is written ``<|im_start|>role\ntext<|im_end|>\n``. Inside roles and texts
 ``<\\|``, and so on), so control strings stand only where the template puts them, and the way back is exact; in a role ``%`` and line
 ends are written %25 and %0A.
 
-Prefix sums of turn tokens cut a conversation into turn-aligned spans: turns that lie within one slot of the budget are a span, a
-turn that crosses into the next slot is a span of its own. A window is the system turn (the first turn, if it is
-one), the last turns of the span before as far as the history budget goes, and the span. Only assistant texts of the span are
-targets, so each is a target once; what is repeated is masked. Built-in expressions only. Prefix sums are taken in blocks
-of turns and windows are bounded by the budget, so no step but the caller's own digest holds a whole conversation.
+Prefix sums of turn tokens cut a conversation into turn-aligned spans: a span takes turns as long as they fit beside the system
+turn and the history. A window is the system turn (the first turn, if it is one), the last turns of the span before as far as the
+history budget and the window's own go, and the span. Only assistant texts of the span are targets, so each is a target once; what is
+repeated is masked. Built-in expressions only. Prefix sums are taken in blocks of turns and spans in chunks of CHUNK_SPANS budgets (a span
+ends with its chunk), so no step but the caller's own digest holds a whole conversation.
+
+Tokens are counted by the caller, in a column, or bounded from above: a token of a tokenizer on bytes holds a byte or more, and
+NFC and lower-casing make a character that is not ASCII at most three times as long.
 """
 
 from __future__ import annotations
@@ -17,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUDGET, HISTORY = 1024, 128
-#: Tokens of the template around a turn.
-FRAME = 4
 BLOCK = 256
+#: Budgets of tokens that are cut into spans together.
+CHUNK_SPANS = 16
 
 # Control strings of the template.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -41,38 +44,54 @@ def _role_in(role: str) -> str:
     return f"replace(replace({unescaped(role)}, '%0A', '\\n'), '%25', '%')"
 
 
-def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def token_bound(role: str = "role", text: str = "text") -> str:
+    """At least the tokens of a turn as it is written, for any tokenizer on UTF-8 bytes that normalises by NFC and lower case at most."""
+    said = f"concat('{OPEN}', {_role_out(role)}, '\\n', {escaped(text)}, '{CLOSE}\\n')"
+    return f"CAST(octet_length({said}) + 2 * octet_length(regexp_replace({said}, '[\\\\x00-\\\\x7F]+', '')) AS BIGINT)"
+
+
+def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: str | None = None) -> DataFrame:
     """``conv_id``, ``start``, ``formatted``, ``fresh_from``, ``targets`` of each window of ``rows`` (conv_id, turn, role, text).
 
     ``start``: tokens of the conversation before the window's span, which orders the windows. ``fresh_from``: code points before the
     span, that is the length of what is repeated. ``targets``: (from, to) in code points of the texts under the loss mask, end exclusive.
-    Tokens of a turn are its words and FRAME. Turns are ordered by turn, then role, then text; null turns come first; repeated rows are
-    turns. Null roles and texts are empty. Null conv_ids are one conversation. A turn beyond the budget is a window of its own. An
-    empty table gives no rows; other columns are ignored.
+    ``tokens`` names a column with the tokens of each turn as it is written (null or less than 1: 1); without it, ``token_bound`` is taken.
+    No window exceeds the budget unless the system turn and a single turn do. Turns are ordered by turn, then role, then text, then
+    tokens; null turns come first; repeated rows are turns. Null roles and texts are empty. Null conv_ids are one conversation.
+    An empty table gives no rows; other columns are ignored.
     """
-    turns = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-                        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    turns = turns.selectExpr(
-        "coalesce(CAST(conv_id AS STRING), 'null') AS key", "conv_id", "turn", "role", "text", f"coalesce(turn div {BLOCK}, {-(1 << 60)}) AS block",
-        rf"CAST(regexp_count(text, '[^ \\t\\n\\x0B\\f\\r]+') + {FRAME} AS BIGINT) AS tokens")
-    order = "ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    count = "CAST(NULL AS BIGINT)" if tokens is None else f"coalesce(greatest(CAST(`{tokens}` AS BIGINT), 1L), 1L)"
+    turns = rows.selectExpr("CAST(conv_id AS BIGINT) AS conv_id", "CAST(turn AS BIGINT) AS turn", "coalesce(CAST(role AS STRING), '') AS role",
+                            "coalesce(CAST(text AS STRING), '') AS text", f"{count} AS tokens")
+    if tokens is None:
+        turns = turns.withColumn("tokens", F.expr(token_bound()))
+    turns = turns.selectExpr("coalesce(CAST(conv_id AS STRING), 'null') AS key", "conv_id", "turn", "role", "text", f"coalesce(turn div {BLOCK}, {-(1 << 60)}) AS block", "tokens")
+    order = "ORDER BY turn NULLS FIRST, role, text, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     inside = turns.selectExpr("*", f"sum(tokens) OVER (PARTITION BY key, block {order}) AS until")
     blocks = turns.groupBy("key", "block").agg(F.sum("tokens").alias("all")).selectExpr("key", "block", "sum(all) OVER (PARTITION BY key ORDER BY block) - all AS before")
     placed = inside.join(blocks, ["key", "block"]).selectExpr("key", "conv_id", "role", "text", "tokens", "before + until - tokens AS a", "before + until AS b")
     system = placed.filter("a = 0 AND role = 'system'").selectExpr("key", "role AS system_role", "text AS system_text", "tokens AS system_tokens")
-    placed = placed.join(system, "key", "left").withColumn("system_tokens", F.expr("coalesce(system_tokens, 0L)"))
-    placed = placed.withColumn("room", F.expr(f"greatest({budget}L - system_tokens - {history}L, {max(1, budget // 4)}L)"))
-    # numbered from the end of the system turn, which is a span of its own if nothing else fits in slot 0
-    slot = "(({} - system_tokens) div room)".format
-    placed = placed.withColumn("span", F.expr(f"CASE WHEN a < system_tokens THEN 0L ELSE 2 * {slot('a')} + IF({slot('a')} = {slot('(b - 1)')}, 0L, 1L) END"))
-    placed = placed.selectExpr("*", "min(a) OVER (PARTITION BY key, span) AS start", "max(b) OVER (PARTITION BY key, span) AS stop")
+    placed = placed.join(system, "key", "left").withColumn("head", F.expr("coalesce(system_tokens, 0L)"))
+    placed = placed.withColumn("room", F.expr(f"CASE WHEN {budget}L - head - {history}L >= {max(1, budget // 4)}L THEN {budget}L - head - {history}L ELSE greatest({budget}L - head, 1L) END"))
+    # places from the end of the system turn, which belongs to the first span and takes no room there
+    placed = placed.selectExpr("*", "greatest(a, head) AS p", "greatest(b, head) AS q").withColumn("chunk", F.expr(f"(p - head) div ({CHUNK_SPANS} * room)"))
+    ends = placed.groupBy("key", "chunk", "head", "room").agg(F.array_sort(F.collect_list(F.struct("p", "q"))).alias("ends"))
+    cuts = ends.selectExpr(
+        "key", "chunk", "head", "array_max(transform(ends, x -> x.q)) AS last",
+        "aggregate(ends, array(ends[0].p), (s, x) -> IF(x.q - element_at(s, -1) > room AND x.p > element_at(s, -1), array_append(s, x.p), s)) AS starts")
+    cuts = cuts.selectExpr("key", "chunk", "head", "transform(starts, (s, i) -> struct(s AS first, coalesce(get(starts, i + 1), last) AS stop)) AS spans")
+    placed = placed.join(cuts.drop("head"), ["key", "chunk"]).withColumn("span", F.expr("array_max(filter(spans, s -> s.first <= p))"))
+    placed = placed.selectExpr("key", "conv_id", "role", "text", "a", "p", "head", "system_role", "system_text", "span.first AS first", "span.stop AS stop",
+                               "IF(span.first = head, 0L, span.first) AS start")
+    spans = cuts.selectExpr("key", "head", "inline(spans)")
+    following = spans.selectExpr("key", "first AS stop", f"least({history}L, greatest({budget}L - head - (stop - first), 0L)) AS left")
     part = "struct(a, {} AS again, role, text) AS part".format
     fresh = placed.selectExpr("key", "conv_id", "start", part("false"))
-    kept = placed.filter(f"a >= system_tokens AND a >= stop - {history}").selectExpr("key", "conv_id", "stop AS start", part("true"))
-    heads = placed.filter("a = start AND start > 0 AND system_text IS NOT NULL").selectExpr(
+    kept = placed.filter(f"a >= head AND p >= stop - {history}").join(following, ["key", "stop"]).filter("p >= stop - left")
+    kept = kept.selectExpr("key", "conv_id", "stop AS start", part("true"))
+    heads = placed.filter("p = first AND start > 0 AND system_text IS NOT NULL").selectExpr(
         "key", "conv_id", "start", "struct(0L AS a, true AS again, system_role AS role, system_text AS text) AS part")
     grouped = fresh.union(kept).union(heads).groupBy("key", "conv_id", "start").agg(F.array_sort(F.collect_list("part")).alias("parts"))
-    grouped = grouped.filter("exists(parts, p -> NOT p.again)")  # the last span of a conversation has no next one
     written = grouped.selectExpr("conv_id", "start", f"transform(parts, p -> struct(p.again AS again, p.role = 'assistant' AS said, {_role_out('p.role')} AS role, {escaped('p.text')} AS text)) AS p")
     around = len(OPEN) + 1 + len(CLOSE) + 1
     sized = written.selectExpr(
@@ -85,7 +104,8 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> Da
 
 def turns(formatted: DataFrame) -> DataFrame:
     """``conv_id``, ``start``, ``turns`` (role and text of the span's turns), ``losses`` (texts under the mask), both unescaped, and the
-    length of each window, from the windows' text and offsets alone."""
+    length of each window, from the windows' text and offsets alone. A window gives a row, also if it is repeated; null conv_ids
+    stay null; an empty table gives no rows; other columns are ignored."""
     fresh = formatted.selectExpr("*", f"split(substring(formatted, fresh_from + 1), '<\\\\|im_end\\\\|>\\n') AS pieces")
     parted = fresh.selectExpr("*", f"transform(slice(pieces, 1, size(pieces) - 1), x -> substring(x, {len(OPEN) + 1})) AS said")
     return parted.selectExpr(
@@ -95,7 +115,8 @@ def turns(formatted: DataFrame) -> DataFrame:
 
 def digests(formatted: DataFrame) -> DataFrame:
     """One row for each conversation, read back from its windows: ``conv_id``, ``n_turns``, ``turns_sha256``, ``loss_chars``,
-    ``loss_sha256``, ``formatted_chars``. A digest is of one string, so a conversation's texts meet in one row here."""
+    ``loss_sha256``, ``formatted_chars``. A digest is of one string, so a conversation's texts meet in one row here. Windows with
+    a null conv_id are one conversation; repeated windows count as often as they occur; an empty table gives no rows."""
     read = turns(formatted).selectExpr(
         "conv_id", "start", "CAST(size(turns) AS BIGINT) AS n", "concat_ws('', transform(turns, t -> concat(t.role, '\\n', t.text, '\\n'))) AS said",
         "concat_ws('', losses) AS loss", "chars")

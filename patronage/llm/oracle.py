@@ -65,22 +65,31 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT x AS doc_id, m
 
 def op9() -> str:
     said = f"{chatformat.CLOSE}{chatformat.OPEN}assistant ok"
-    budget, history, frame = chatformat.BUDGET, chatformat.HISTORY, chatformat.FRAME
+    budget, history, chunk = chatformat.BUDGET, chatformat.HISTORY, chatformat.CHUNK_SPANS
     fixed = len(chatformat.OPEN) + len(chatformat.CLOSE) + 2
-    length = rf"""length(text) + len(regexp_extract_all(text, '<\\*\|')) + length(role) + len(regexp_extract_all(role, '<\\*\|')) + 2 * len(regexp_extract_all(role, '[%\n]')) + {fixed}"""
+    marks = r"""len(regexp_extract_all(text, '<\\*\|')) + len(regexp_extract_all(role, '<\\*\|')) + 2 * len(regexp_extract_all(role, '[%\n]'))"""
+    wide = r"strlen(regexp_replace(role || text, '[\x00-\x7F]+', '', 'g'))"
     return rf"""
-WITH rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+WITH RECURSIVE rows AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '{said}'), (-1, 1, 'assistant', '{said}')),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-    len(regexp_extract_all(text, '{_WORD}')) + {frame} AS tokens, {length} AS chars FROM rows),
+    strlen(role) + strlen(text) + {marks} + {fixed} + 2 * {wide} AS tokens, length(role) + length(text) + {marks} + {fixed} AS chars FROM rows),
 summed AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY i) AS b,
     max(CASE WHEN i = 1 AND role = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS st,
     max(CASE WHEN i = 1 AND role = 'system' THEN chars ELSE 0 END) OVER (PARTITION BY conv_id) AS sc FROM numbered),
-roomed AS (SELECT *, b - tokens AS a, greatest({budget} - st - {history}, {max(1, budget // 4)}) AS room FROM summed),
-spanned AS (SELECT *, CASE WHEN a < st THEN 0 ELSE 2 * ((a - st) // room) + CASE WHEN (a - st) // room = (b - 1 - st) // room THEN 0 ELSE 1 END END AS span FROM roomed),
-ends AS (SELECT *, min(a) OVER (PARTITION BY conv_id, span) AS start, max(b) OVER (PARTITION BY conv_id, span) AS stop, max(b) OVER (PARTITION BY conv_id) AS whole FROM spanned),
-lengths AS (SELECT conv_id, sum(chars) + sum(CASE WHEN a >= st AND a >= stop - {history} AND stop < whole THEN chars ELSE 0 END)
-    + sum(CASE WHEN a = start AND start > 0 THEN sc ELSE 0 END) AS formatted_chars FROM ends GROUP BY conv_id)
+roomed AS (SELECT conv_id, i, chars, st, sc, b - tokens AS a, greatest(b - tokens, st) AS p, greatest(b, st) AS q,
+    CASE WHEN {budget} - st - {history} >= {max(1, budget // 4)} THEN {budget} - st - {history} ELSE greatest({budget} - st, 1) END AS room FROM summed),
+chunked AS MATERIALIZED (SELECT *, (p - st) // ({chunk} * room) AS chunk FROM roomed),
+walk AS (SELECT conv_id, i, chunk, p AS f FROM chunked WHERE i = 1
+  UNION ALL SELECT n.conv_id, n.i, n.chunk, CASE WHEN n.chunk <> w.chunk OR (n.q - w.f > n.room AND n.p > w.f) THEN n.p ELSE w.f END
+  FROM walk w JOIN chunked n ON n.conv_id = w.conv_id AND n.i = w.i + 1),
+spanned AS (SELECT c.*, w.f FROM chunked c JOIN walk w USING (conv_id, i)),
+spans AS (SELECT conv_id, f, max(q) AS stop, max(st) AS st, max(sc) AS sc FROM spanned GROUP BY conv_id, f),
+following AS (SELECT s.conv_id, s.f, s.stop, least({history}, greatest({budget} - s.st - (n.stop - n.f), 0)) AS room FROM spans s JOIN spans n ON s.conv_id = n.conv_id AND s.stop = n.f),
+again AS (SELECT c.conv_id, sum(chars) AS n FROM spanned c JOIN following g ON c.conv_id = g.conv_id AND c.f = g.f WHERE a >= st AND p >= stop - g.room GROUP BY c.conv_id),
+heads AS (SELECT conv_id, sum(CASE WHEN f > st THEN sc ELSE 0 END) AS n FROM spans GROUP BY conv_id),
+lengths AS (SELECT conv_id, sum(chars) + any_value(heads.n) + coalesce(any_value(again.n), 0) AS formatted_chars
+  FROM numbered JOIN heads USING (conv_id) LEFT JOIN again USING (conv_id) GROUP BY conv_id)
 SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
   sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256, any_value(formatted_chars)::BIGINT AS formatted_chars
