@@ -3,8 +3,8 @@
 The model's protobuf is read field by field. The normaliser (dummy prefix, space marker), the unigram scores or the
 merges that BPE scores imply, and byte fallback become a tokenizer of the library. Where no piece holds the space
 marker after another character, pieces never cross from one word into the next, so a task encodes each
-distinct word once, in multithreaded batches. Ids are those of the rebuilt tokenizer; the sentencepiece library
-encodes the same words beside it, and each row says for how many of its words the two differ.
+distinct word once, in multithreaded batches; texts of other models are encoded whole. Ids are those of the rebuilt tokenizer;
+the sentencepiece library encodes the same words or texts beside it, and each row says for how many of them the two differ.
 """
 
 from __future__ import annotations
@@ -208,12 +208,14 @@ class Codec:
         self.bytes, self.begin = self.model.table()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids, where each text's begin (one more at the end), and for how many words of each text the libraries differ."""
+        """All ids, where each text's begin (one more at the end), and for how many words of each text the libraries differ
+        (of a model that is not ``by_word``: 1 for a text whose ids differ)."""
         texts = pc.fill_null(texts, "")
         if not self.model.by_word:
-            ids = self.model.encode(texts.to_pylist())
+            whole = texts.to_pylist()
+            ids, theirs = self.model.encode(whole), self.model.reference.encode(whole, num_threads=THREADS)
             begin = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-            return np.array([x for each in ids for x in each], np.uint32), begin, np.zeros(len(ids), np.int64)
+            return np.array([x for each in ids for x in each], np.uint32), begin, np.array([x != y for x, y in zip(ids, theirs)], np.int64)
         empty = pc.equal(pc.binary_length(texts), 0)
         led = pc.if_else(empty, texts, pc.binary_join_element_wise(" ", texts, ""))
         ids, begin = self.lookup.ids(units.marked(led))
@@ -248,7 +250,7 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
     ``round_trip``: whether decoding the ids gives the text back (a literal space marker in a text decodes as a space, as the
     model has it; the comparison counts it as equal). A null or empty text has no ids. A row gives a row; null ids stay
     null; an empty table gives no rows. ``n_differing`` is the number of the row's words, repeats counted, to which the
-    sentencepiece library gives other ids.
+    sentencepiece library gives other ids; for models whose words cannot be encoded one by one it is 1 if the text's ids differ, else 0.
     """
     with open(model_path, "rb") as file:
         raw = docs.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary file, of a size apart from the corpus
