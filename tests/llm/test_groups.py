@@ -1,13 +1,17 @@
 """Operators on pairs, groups and conversations; queries against their SQL; the pipeline."""
 
 import random
+import re
+import time
 
 import brute
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from compare import connect, difference
 from conftest import SF
+from tokenizers import Tokenizer
 
 from patronage.llm import chatformat, components, jaccard, packing, passages, queries, tiling
 
@@ -84,6 +88,7 @@ def test_tiles():
         for _ in range(2):
             a = r.randrange(len(item))
             doc[(k := r.randrange(len(doc) + 1)):k] = item[a:a + r.randrange(3, 20)]
+        assert tiling.tile(np.array(item, np.uint64), np.zeros(0, np.uint64)) == []
         mine = tiling.tile(np.array(item, np.uint64) * np.uint64(77777777777), np.array(doc, np.uint64) * np.uint64(77777777777), 5)
         plain = brute.tiles(item, doc, 5)
         assert [n for *_, n in mine][:1] == [n for *_, n in plain][:1]
@@ -92,6 +97,36 @@ def test_tiles():
             assert item[i:i + n] == doc[j:j + n] and n >= min(5, len(item))
 
 
+@pytest.mark.parametrize("kinds", [1, 2, 3])
+def test_tiles_of_repetitive_texts(kinds):
+    r = random.Random(kinds)
+    for _ in range(40):
+        item, doc = ([r.randrange(kinds) for _ in range(r.randrange(1, n))] for n in (30, 50))
+        mine = tiling.tile(np.array(item, np.uint64) + np.uint64(5), np.array(doc, np.uint64) + np.uint64(5))
+        plain = brute.tiles(item, doc)
+        assert [n for *_, n in mine][:1] == [n for *_, n in plain][:1]
+        assert all(item[i:i + n] == doc[j:j + n] for i, j, n in mine)
+        assert len({k for i, _, n in mine for k in range(i, i + n)}) == len({k for _, j, n in mine for k in range(j, j + n)}) == sum(n for *_, n in mine)
+        if kinds == 1:
+            assert sorted(n for *_, n in mine) == sorted(n for *_, n in plain)
+
+
+def test_tiles_of_equal_words_take_no_time_per_pair():
+    word = np.uint64(0x9E3779B97F4A7C15)
+    begun = time.time()
+    assert tiling.tile(np.full(200, word), np.full(1_000_000, word)) == [(0, 0, 200)]
+    assert tiling.tile(np.full(10_000, word), np.full(1_000_000, word)) == [(0, 0, 10_000)]
+    assert time.time() - begun < 30  # 10,000,000,000 pairs of places
+
+
+def test_short_items_inside_longer_documents(spark):
+    bench = spark.createDataFrame([(1, "the cat sat"), (2, "Sat"), (3, "one two three four"), (4, "a b c d e")], "item_id long, text string")
+    docs = [(1, "where the cat sat on a mat"), (2, "the cat, sat"), (3, "the cat lay"), (4, "zero one two three four five"), (5, "one two three"), (6, "sat"), (7, "a b c d"), (8, "x a b c d e"), (9, "")]
+    found = tiling.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(1, 1), (1, 2), (2, 1), (2, 2), (4, 3), (6, 2), (8, 4)}
+    assert all(r["coverage"] == 1 for r in found) and {r["tiles"] for r in found if r["doc_id"] == 1} == {"0:1:3", "0:3:1"}
+
+
 def test_contamination(spark, odd, none):
     r = random.Random(4)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
@@ -103,11 +138,13 @@ def test_contamination(spark, odd, none):
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     for slice_words in (2_000_000, 50):
         found = {(x["doc_id"], x["item_id"]): x for x in tiling.contamination(docs, bench, slice_words=slice_words).collect()}
-        assert set(found) == {(1, 10), (3, 10), (5, 10), (None, 10), (7, 13)}
+        assert set(found) == {(1, 10), (3, 10), (5, 10), (None, 10), (7, 13), (8, 13)}
         assert found[3, 10]["coverage"] == 1 and found[3, 10]["n_tiles"] == 2 and found[1, 10]["tiles"] == "0:50:40"
-        assert sortable(tiling.decontaminated(docs, bench, slice_words=slice_words).select("doc_id").collect()) == [(2,), (4,), (6,), (8,)]
+        assert sortable(tiling.decontaminated(docs, bench, slice_words=slice_words).select("doc_id").collect()) == [(2,), (4,), (6,)]
     assert tiling.contamination(none, bench).collect() == [] and tiling.contamination(docs, bench.limit(0)).collect() == []
-    assert tiling.decontaminated(odd, bench).count() == odd.count() and tiling.decontaminated(odd, bench).columns == odd.columns
+    clean = [r for r in odd.collect() if not re.search(r"\balpha\W+beta\b", (r["text"] or "").lower())]
+    kept = tiling.decontaminated(odd, bench)
+    assert sortable(kept.collect()) == sortable(clean) and kept.columns == odd.columns
 
 
 def test_contamination_against_all_pairs(spark, documents):
@@ -169,17 +206,46 @@ def test_windows_read_back(spark):
 
 def test_windows_keep_system_history_and_budget(spark):
     rows = spark.createDataFrame([t for t in ODD_TURNS if t[0] == 3], "conv_id long, turn long, role string, text string")
-    made = chatformat.windows(rows, budget=200, history=30).orderBy("start").collect()
+    made = chatformat.windows(rows, budget=1000, history=150).orderBy("start").collect()
     assert len(made) > 50
+    repeated = 0
     for k, r in enumerate(made):
         turns = r["formatted"].split("<|im_end|>\n")[:-1]
         assert turns[0] == "<|im_start|>system\nbe good"
-        assert sum(len(t.split("\n", 1)[1].split()) + chatformat.FRAME for t in turns) <= 200
+        assert len(r["formatted"].encode()) <= 1000
         for a, b in r["targets"]:
             assert a >= r["fresh_from"] and r["formatted"][:a].endswith("<|im_start|>assistant\n") and r["formatted"][b:].startswith("<|im_end|>\n")
         if k:
             history = r["formatted"][len(turns[0]) + len("<|im_end|>\n"):r["fresh_from"]]
-            assert made[k - 1]["formatted"].endswith(history)
+            assert made[k - 1]["formatted"].endswith(history) and len(history) <= 150
+            repeated += len(history) > 0
+    assert repeated > 20
+
+
+@pytest.mark.parametrize("table", ["conversations", "wide"])
+def test_no_window_exceeds_the_budget_in_tokens(spark, table):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    if table == "wide":  # characters that normalisation makes longer, in turns of all sizes
+        said = "\U0001D160\U0001D15E\u0958\u0130\u00e9"
+        rows = spark.createDataFrame([(1, i, ("user", "assistant")[i % 2], said * (i % 17)) for i in range(200)], "conv_id long, turn long, role string, text string")
+    else:
+        rows = spark.read.parquet(f"{SF}/conversations.parquet")
+    made = chatformat.windows(rows).collect()
+    assert len(made) > rows.select("conv_id").distinct().count()
+    for r in made:
+        if len(tokenizer.encode(r["formatted"], add_special_tokens=False).ids) > chatformat.BUDGET:
+            turns = r["formatted"].split("<|im_end|>\n")[:-1]
+            assert len(turns) == 1 + (turns[0].startswith("<|im_start|>system") and len(turns) > 1)
+
+
+def test_windows_by_counted_tokens(spark):
+    rows = spark.createDataFrame([(1, i, ("user", "assistant")[i % 2], f"t{i}", n) for i, n in enumerate([40, 40, 40, 10, 150, 10, None, 0, 90])],
+                                 "conv_id long, turn long, role string, text string, n long")
+    made = chatformat.windows(rows, budget=110, history=10, tokens="n").orderBy("start").collect()
+    fresh = [re.findall(r"t\d", r["formatted"][r["fresh_from"]:]) for r in made]
+    kept = [re.findall(r"t\d", r["formatted"][:r["fresh_from"]]) for r in made]
+    assert fresh == [["t0", "t1"], ["t2", "t3"], ["t4"], ["t5", "t6", "t7"], ["t8"]]
+    assert kept == [[], [], [], [], ["t6", "t7"]]
 
 
 # ---------------------------------------------------------------- queries and pipeline
