@@ -10,7 +10,7 @@ Steps, all on distinct shingle sets (equal texts are one set, known by its signa
 3. In a block, a signature tree (nodes hold OR-combined token bitmaps and size ranges) is walked against itself;
    a pair of nodes goes on only if its largest possible overlap reaches the threshold and its sets are not all
    connected yet. Pairs of sets are verified exactly.
-4. Blocks over ``block_tokens`` are first thinned by pivots: what links to the pivot is one component, and by the
+4. Blocks over ``block_tokens`` (a set counts SET_TOKENS beside its shingles) are first thinned by pivots: what links to the pivot is one component, and by the
    triangle inequality only sets in the ring of similarity >= 2t - 1 can still link into it. What remains large is cut
    into leaves of bounded size, of which only the pairs that pass the node test are compared.
 
@@ -39,6 +39,11 @@ LEAF = 8
 FAN = 8
 BLOCK_TOKENS = 4_000_000
 PIVOT_ROUNDS = 4
+#: What a set costs in a block beside its shingles, in shingles: its bitmap, and as much for the objects around it.
+SET_TOKENS = 2 * BITS // 64
+#: Bytes of text whose shingles a shard answers for; a task holds one shard at a time.
+SHARD_BYTES = 16 << 20
+SLICE_SETS = 4096
 FLUSH = 2_000_000
 
 
@@ -173,13 +178,14 @@ class Tree:
     def __init__(self, sizes: np.ndarray, tokens: list[np.ndarray]):
         self.sizes, self.tokens = np.asarray(sizes, np.int64), tokens
         n = len(tokens)
-        bits = np.zeros((n, BITS), bool)
-        for i, t in enumerate(tokens):
-            bits[i, (t % np.uint64(BITS)).astype(np.int64)] = True
+        self.bits = np.zeros((n, BITS // 64), np.uint64)
+        for a in range(0, n, SLICE_SETS):
+            bits = np.zeros((min(SLICE_SETS, n - a), BITS), bool)
+            for i, t in enumerate(tokens[a:a + SLICE_SETS]):
+                bits[i, (t % np.uint64(BITS)).astype(np.int64)] = True
+            self.bits[a:a + SLICE_SETS] = np.packbits(bits, axis=1).view(np.uint64)
         self.held = np.array([len(t) for t in tokens], np.int64)
-        self.lost = self.held - bits.sum(1)
-        self.bits = np.packbits(bits, axis=1).view(np.uint64)
-        del bits
+        self.lost = self.held - popcount(self.bits)
         self.order = np.lexsort((np.array([int(t[0]) if len(t) else 0 for t in tokens], np.uint64), self.sizes))
         self.levels = []
         cuts = np.append(np.arange(0, n, LEAF), n) if n else np.array([0])
@@ -311,9 +317,9 @@ def _pivot_overlap(column_a, column_b):
 
 
 def _leaves(sets: DataFrame, leaf_tokens: int) -> DataFrame:
-    """Cut each block into leaves of neighbouring sizes and about ``leaf_tokens`` tokens."""
+    """Cut each block into leaves of neighbouring sizes and about ``leaf_tokens`` tokens, SET_TOKENS a set included."""
     band = F.floor(F.log(F.col("n")) * 8)
-    weight = sets.withColumn("band", band).groupBy("block", "band").agg(F.ceil(F.sum("n") / leaf_tokens).alias("cuts"))
+    weight = sets.withColumn("band", band).groupBy("block", "band").agg(F.ceil(F.sum(F.expr(f"octet_length(token) div 8 + {SET_TOKENS}")) / leaf_tokens).alias("cuts"))
     return (sets.withColumn("band", band).join(weight, ["block", "band"])
             .withColumn("leaf", F.xxhash64("block", "band", F.expr("pmod(xxhash64(set, 7), cuts)"), "side")))
 
@@ -393,7 +399,7 @@ def _large_blocks(sets: DataFrame, t: Fraction, block_tokens: int, rounds: int)
         ring = near.filter("ring AND NOT ball").select(*columns)
         if ring.head(1):
             found.append(_leaf_pairs(ring, ball, t, block_tokens // 16))
-        weights = rest.groupBy("block").agg(F.sum("n").alias("w"))
+        weights = rest.groupBy("block").agg(F.sum(F.expr(f"octet_length(token) div 8 + {SET_TOKENS}")).alias("w"))
         sets = rest.join(weights, "block").select(*columns, "w")
         small = sets.filter(F.col("w") <= block_tokens).select(*columns)
         found.append(small.groupBy(F.expr("block")).applyInPandas(_solve_blocks(t), "a long, b long"))
@@ -416,9 +422,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: Fraction = THRESHOLD
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards, homes = 2 * partitions, partitions // 2 + 1  # every shard answers every home, in packed rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    counted = -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES)
+    shards = max(2 * partitions, counted)
+    homes = max(partitions // 2 + 1, -(-counted // 4))  # every shard answers every home, in packed rows
     packed = "to int, key binary, count binary, token binary, doc binary"
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_deal(shards, k), packed)
+    dealt = texts.mapInArrow(_deal(shards, k), packed)
     back = materialise(dealt.groupBy("to").applyInArrow(_shared(homes), packed), "shared")
 
     def infos(batches):
@@ -452,7 +461,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: Fraction = THRESHOLD
     leaders = rare.groupBy("shingle").agg(F.min("set").alias("leader"), F.max("set").alias("last")).filter("leader < last")
     candidate = components(rare.join(leaders, "shingle").filter("set <> leader").selectExpr("set AS a", "leader AS b").distinct())
     blocks = live.select("set", "n", "token").join(candidate.selectExpr("node AS set", "root AS block"), "set")
-    weights = blocks.groupBy("block").agg(F.sum("n").alias("w"))
+    weights = blocks.groupBy("block").agg(F.sum(F.expr(f"octet_length(token) div 8 + {SET_TOKENS}")).alias("w"))
     blocks = materialise(blocks.join(weights, "block").select("set", "n", "token", "block", "w"), "blocks")
     small = blocks.filter(F.col("w") <= block_tokens).drop("w")
     links = small.groupBy(F.expr(f"pmod(xxhash64(block), {shards}L)")).applyInPandas(_solve_blocks(threshold), "a long, b long")
