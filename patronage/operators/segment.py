@@ -9,6 +9,7 @@ on the seed and its own number.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -303,37 +304,46 @@ def solve(cells: DataFrame, variables: list[str], k_values: list[int], restarts:
     return cell_labels(best, cells, keys, cohort).withColumnRenamed("cut", "objective")
 
 
-def segment_customers(mart: DataFrame, variables: list[str] = LRFM, k: int = 4, **options) -> DataFrame:
+def segment_customers(mart: DataFrame, variables: list[str] = LRFM, k: int = 4, bins: int = BINS, **options) -> DataFrame:
     """Customers with the cluster of their cell."""
-    cells = materialise(reduce_cells(mart, variables), "cells")
-    labels = solve(cells, variables, [k], **options)
-    return lift(mart, labels, variables)
+    cells = materialise(reduce_cells(mart, variables, bins), "cells")
+    labels = solve(cells, variables, [k], bins=bins, **options)
+    return lift(mart, labels, variables, bins)
 
 
 def sweep(mart: DataFrame, variable_sets: list[list[str]] | None = None, k_values: list[int] | None = None,
-          restarts: int = RESTARTS, seed: int = SEED) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Objective, gap, whether the search settled, and silhouette per (variables, k), and the stored cell labels per set."""
-    curves, labels = [], {}
-    for variables in variable_sets or [RFM, LRFM]:
+          restarts: int = RESTARTS, seed: int = SEED, bins: int = BINS) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Objective, gap, whether the search settled, and silhouette per (variables, k), and the stored cell labels per set.
+
+    The sets are independent jobs and are submitted side by side.
+    """
+    keys = ["variables", "k"]
+
+    def solved(variables: list[str]) -> DataFrame:
         name = "".join(variables)
-        cells = materialise(reduce_cells(mart, variables), f"cells-{name}")
-        labels[name] = materialise(solve(cells, variables, k_values or K_RANGE, restarts, seed), f"labels-{name}")
-        keys = ["variables", "k"]
-        quality = silhouette(labels[name], keys, variables)
-        facts = labels[name].groupBy(*keys).agg(
+        cells = materialise(reduce_cells(mart, variables, bins), f"cells-{name}")
+        return materialise(solve(cells, variables, k_values or K_RANGE, restarts, seed, bins=bins), f"labels-{name}")
+
+    def curve(variables: list[str], labels: DataFrame) -> DataFrame:
+        facts = labels.groupBy(*keys).agg(
             F.first("objective").alias("objective"), F.first("gap").alias("gap"), F.first("settled").alias("settled"),
             F.count("*").alias("n_cells"), F.countDistinct("cluster").alias("n_clusters"))
-        curves.append(facts.join(quality, keys))
-    return reduce(DataFrame.unionByName, curves), labels
+        return facts.join(silhouette(labels, keys, variables, bins=bins), keys)
+
+    sets = variable_sets or [RFM, LRFM]
+    with ThreadPoolExecutor(len(sets)) as pool:
+        labels = list(pool.map(solved, sets))
+    curves = reduce(DataFrame.unionByName, map(curve, sets, labels))
+    return curves, {"".join(v): found for v, found in zip(sets, labels)}
 
 
 def robustness(cells: DataFrame, variables: list[str], k: int = 4, budgets: tuple[int, ...] = (1, 10, 50, 200),
-               seeds: int = 10, reference_restarts: int = 500, reference_seed: int = 999) -> DataFrame:
+               seeds: int = 10, reference_restarts: int = 500, reference_seed: int = 999, bins: int = BINS) -> DataFrame:
     """Best and worst cut over seeds per restart budget, the share that hits the reference, and whether every restart settled.
 
     A run with fewer restarts is a prefix of a longer one, so each seed runs once.
     """
-    packed = packed_cells(cells, variables)
+    packed = packed_cells(cells, variables, bins=bins)
     runs = run_restarts(restart_grid(packed, [k], max(budgets), list(range(seeds))))
     heavy = run_restarts(restart_grid(packed, [k], reference_restarts, [reference_seed]))
     reference = heavy.agg(F.max("cut")).scalar()

@@ -992,12 +992,23 @@ def k4_relocation_at_scale(spark, d):
     return L.relocate(G.reduce_cells(mart(spark, d), S.LRFM), S.LRFM, 4)[0]
 
 
+def _in_three(spark, d):
+    """Customers with R, F and M in three bins: nine cells at most of two variables."""
+    return S.add_scores(S.raw_values(S.customers_of(lines(spark, d))), S.RFM, bins=3)
+
+
 def _small_lattice(spark, d):
     """Cells of R and F in three bins: nine at most, so the optimum can be enumerated."""
     scored = S.add_scores(S.raw_values(S.customers_of(lines(spark, d))), ["R", "F"], bins=3)
     return materialise(G.reduce_cells(scored, ["R", "F"], 3), "small-cells")
 
 
+def _by_least_cell(labels, keys):
+    """Clusters named by their least cell, whatever number the method gave them."""
+    least = labels.groupBy(*keys, "cluster").agg(F.min("cell_id").alias("named"))
+    return labels.join(F.broadcast(least), [*keys, "cluster"]).drop("cluster").withColumnRenamed("named", "cluster")
+
+
 @query
 def k4_local_search_optimum(spark, d):
     """The local search on the small lattice; its SQL check enumerates every partition."""
@@ -1138,6 +1149,69 @@ def k19_deviation_of_solution(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+def _best_three(spark, d):
+    """Customers in the three clusters that the solver finds on the nine cells, each named by its least cell; stored."""
+    m = materialise(_in_three(spark, d), "mart-in-three")
+    labelled = K.segment_customers(m, ["R", "F"], 3, bins=3)
+    placed = labelled.withColumn("cell_id", F.expr(G.cell_number(["R", "F"], 3)))
+    return materialise(_by_least_cell(placed, []), "best-three")
+
+
+@query
+def k7_segment_customers_optimum(spark, d):
+    """Customers by the solver's partition of nine cells; the SQL checks of this and the next four enumerate every partition."""
+    return _best_three(spark, d).select("customer_id", "cluster")
+
+
+@query
+def g25_profile_of_optimum(spark, d):
+    return E.profile_clusters(_best_three(spark, d))
+
+
+@query
+def g27_volume_value_of_optimum(spark, d):
+    return E.volume_value(_best_three(spark, d))
+
+
+@query
+def k13_loyalty_of_optimum(spark, d):
+    return E.loyalty_ranking(_best_three(spark, d), ["R", "F"])
+
+
+@query
+def s5_boxes_of_optimum(spark, d):
+    return E.box_statistics(_best_three(spark, d))
+
+
+@query
+def k8_sweep_optimum(spark, d):
+    """The sweep on nine cells; the gap has a check of its own."""
+    return K.sweep(_in_three(spark, d), [["R", "F"]], [2, 3, 4], bins=3)[0].drop("gap")
+
+
+@query
+def k9_side_by_side_optimum(spark, d):
+    """Objectives of two sets of two variables side by side, nine cells each.
+
+    Partitions of equal cut can differ in their silhouette (F and M do at sf0.001), so the silhouette is left to ``k8_sweep_optimum``.
+    """
+    m = materialise(_in_three(spark, d), "mart-in-three")
+    curve, _ = K.sweep(m, [["R", "F"], ["F", "M"]], [2, 3, 4], bins=3)
+    return curve.groupBy("k").pivot("variables", ["RF", "FM"]).agg(F.first("objective"))
+
+
+@query
+def k11_robustness_optimum(spark, d):
+    """On nine cells every seed finds the enumerated optimum within fifty restarts."""
+    return K.robustness(_small_lattice(spark, d), ["R", "F"], 3, budgets=(50, 200), bins=3)
+
+
+@query
+def k19_deviation_of_optimum(spark, d):
+    """The swept curve of the nine cells beside the published one, for the k that both have."""
+    return E.deviation(K.sweep(_in_three(spark, d), [["R", "F"]], [2, 3, 4], bins=3)[0])
+
+
 @query
 def k6_multi_start(spark, d):
     packed = K.packed_cells(materialise(G.reduce_cells(mart(spark, d), S.LRFM), "cells"), S.LRFM)
@@ -1213,6 +1287,23 @@ def k16_ward(spark, d):
     return _comparator(spark, d, "Ward")
 
 
+@query
+def k16_ward_labels(spark, d):
+    """Ward's clusters of the nine cells for each k; the SQL check merges the nearest pair, one at a time."""
+    labels = M.compare_methods(_small_lattice(spark, d), ["R", "F"], list(range(2, 9)), ["Ward"], bins=3)
+    return _by_least_cell(labels, ["k"]).select("k", "cell_id", "cnt", "cluster")
+
+
+@query
+def k18_method_silhouettes_optimum(spark, d):
+    """Silhouettes on the nine cells of the largest cut, the least squares and Ward's tree, each of which SQL can find."""
+    cells, wanted = _small_lattice(spark, d), ["variables", "k", "method", "cell_id", "cnt", "r_score", "f_score", "cluster"]
+    cut = K.solve(cells, ["R", "F"], [2, 3], bins=3).withColumn("method", F.lit("max-k-cut"))
+    others = M.compare_methods(cells, ["R", "F"], [2, 3], ["K-means", "Ward"], bins=3)
+    labels = materialise(cut.select(*wanted).unionByName(others.select(*wanted)), "small-methods")
+    return E.method_table(G.silhouette(labels, ["variables", "k", "method"], ["R", "F"], bins=3), ["max-k-cut", "K-means", "Ward"])
+
+
 @query
 def k17_gaussian_mixture(spark, d):
     return _comparator(spark, d, "GMM")

@@ -6,6 +6,8 @@ joins and all-pairs sums, which are fine at the size of a check.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 # Fixed values, written out apart from the table under test: the segments of a recency score by combined score 1..5, and the last day of each churn band.
 GRID = {
     5: ["New / Promising", "New / Promising", "Loyal Customers", "Champions", "Champions"],
@@ -117,18 +119,18 @@ gaps AS (
     "@OTHER@", OTHER).replace("@BANDS@", ", ".join(f"({upto}, '{name}')" for upto, name in BANDS))
 
 
-def _silhouette(metric: str) -> str:
+def _silhouette(metric: str, gaps: str = "gaps", by: str = "k") -> str:
     return f"""
-reach AS (SELECT k, i, ci, ni, cj, sum(nj) AS n, sum(nj * CAST({metric} AS DOUBLE)) AS mass FROM gaps GROUP BY k, i, ci, ni, cj),
+reach AS (SELECT {by}, i, ci, ni, cj, sum(nj) AS n, sum(nj * CAST({metric} AS DOUBLE)) AS mass FROM {gaps} GROUP BY {by}, i, ci, ni, cj),
 value AS (
-  SELECT k, i, ni, max(CASE WHEN ci = cj THEN n END) AS own_n,
+  SELECT {by}, i, ni, max(CASE WHEN ci = cj THEN n END) AS own_n,
     max(CASE WHEN ci = cj AND n > 1 THEN mass / (n - 1) END) AS a, min(CASE WHEN ci <> cj THEN mass / n END) AS b
-  FROM reach GROUP BY k, i, ni
+  FROM reach GROUP BY {by}, i, ni
 ),
 curve AS (
-  SELECT k, sum(ni * CASE WHEN b IS NULL THEN CAST('NaN' AS DOUBLE) WHEN own_n = 1 THEN 0 WHEN greatest(a, b) = 0 THEN 0
+  SELECT {by}, sum(ni * CASE WHEN b IS NULL THEN CAST('NaN' AS DOUBLE) WHEN own_n = 1 THEN 0 WHEN greatest(a, b) = 0 THEN 0
                           ELSE (b - a) / greatest(a, b) END) / sum(ni) AS silhouette
-  FROM value GROUP BY k
+  FROM value GROUP BY {by}
 )
 """
 
@@ -238,11 +240,24 @@ _ELAPSED = """elapsed AS (SELECT customer_id, CAST(floor(date_diff('second', las
   frequency, monetary, CAST(floor(date_diff('second', first_date, last_date) / 86400) AS BIGINT) AS length FROM buyers)"""
 
 
-def _profile() -> str:
+def _profile(table: str = "levels") -> str:
     parts = ", ".join(
         f"CAST(min({c}) AS DOUBLE) AS {c}_min, round(CAST(sum({c}) AS DOUBLE) / count(*), 6) AS {c}_mean, CAST(max({c}) AS DOUBLE) AS {c}_max"
         for c in ["recency", "frequency", "monetary", "length"])
-    return f"SELECT cluster, {parts}, count(*) AS customers FROM levels GROUP BY cluster"
+    return f"SELECT cluster, {parts}, count(*) AS customers FROM {table} GROUP BY cluster"
+
+
+def _volume(table: str = "levels") -> str:
+    return ("SELECT cluster, count(*) AS customers, CAST(sum(monetary) AS DOUBLE) AS revenue, round(100.0 * count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS pct_customers, "
+            f"round(100.0 * CAST(sum(monetary) AS DOUBLE) / CAST(sum(sum(monetary)) OVER () AS DOUBLE), 6) AS pct_revenue FROM {table} GROUP BY cluster")
+
+
+def _boxes(table: str = "levels") -> str:
+    return f"""SELECT cluster, round(max(q1), 6) AS q1, round(max(q2), 6) AS median, round(max(q3), 6) AS q3,
+        min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) THEN v END) AS whisker_low, max(CASE WHEN v <= q3 + 1.5 * (q3 - q1) THEN v END) AS whisker_high
+        FROM (SELECT cluster, CAST(monetary AS DOUBLE) AS v FROM {table}) JOIN
+        (SELECT cluster, quantile_cont(CAST(monetary AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(monetary AS DOUBLE), 0.5) AS q2,
+                quantile_cont(CAST(monetary AS DOUBLE), 0.75) AS q3 FROM {table} GROUP BY cluster) USING (cluster) GROUP BY cluster"""
 
 
 _MEAN_SCORES = "SELECT cluster, " + ", ".join(
@@ -266,30 +281,73 @@ def _histogram(value: str) -> str:
       SELECT x, min(x) OVER () AS lo, max(x) OVER () AS hi FROM (SELECT {value} AS x FROM mart))) GROUP BY bin"""
 
 
-def _lattice(bins: int) -> str:
+def _lattice(bins: int, second: str = "frequency", first: str = "recency DESC", tag: str = "") -> str:
+    """Customers scored on two variables, their cells (number ``v``) and the weights between cells."""
     return f"""
-scored AS (SELECT ntile({bins}) OVER (ORDER BY recency DESC, customer_id) AS r, ntile({bins}) OVER (ORDER BY frequency, customer_id) AS f FROM buyers),
-small AS (SELECT r, f, count(*) AS cnt, (r - 1) * {bins} + f - 1 AS v FROM scored GROUP BY r, f),
-link AS (SELECT a.v AS i, b.v AS j, a.cnt * b.cnt * (abs(a.r - b.r) + abs(a.f - b.f)) AS w FROM small a JOIN small b ON a.v < b.v)
+scored{tag} AS (SELECT *, ntile({bins}) OVER (ORDER BY {first}, customer_id) AS r, ntile({bins}) OVER (ORDER BY {second}, customer_id) AS f FROM buyers),
+small{tag} AS (SELECT r, f, count(*) AS cnt, (r - 1) * {bins} + f - 1 AS v FROM scored{tag} GROUP BY r, f),
+link{tag} AS (SELECT a.v AS i, b.v AS j, a.cnt * b.cnt * (abs(a.r - b.r) + abs(a.f - b.f)) AS w FROM small{tag} a JOIN small{tag} b ON a.v < b.v)
 """
 
 
 _EXHAUSTIVE = _lattice(3)
 
 
-def _exhaustive(k: int, vertices: int = 9) -> str:
-    return f"""SELECT CAST({k} AS BIGINT) AS k, CAST(max(cut) AS DOUBLE) AS best_cut FROM (
-      SELECT id, sum(CASE WHEN (CASE WHEN i = 0 THEN 0 ELSE (id // CAST(power({k}, i - 1) AS BIGINT)) % {k} END)
-                             <> (id // CAST(power({k}, j - 1) AS BIGINT)) % {k} THEN w ELSE 0 END) AS cut
-      FROM generate_series(0, {k ** (vertices - 1) - 1}) AS g(id), link GROUP BY id)"""
+def _own(k: int, vertex: str) -> str:
+    """The cluster of a vertex in the partition with number ``id``; vertex 0 stays in cluster 0."""
+    return f"CASE WHEN {vertex} = 0 THEN 0 ELSE (id // CAST(power({k}, {vertex} - 1) AS BIGINT)) % {k} END"
 
 
-def _least_squares(k: int, vertices: int = 9) -> str:
+def _cuts(k: int, vertices: int = 9, tag: str = "") -> str:
+    return f"""SELECT id, sum(CASE WHEN ({_own(k, "i")}) <> ({_own(k, "j")}) THEN w ELSE 0 END) AS cut
+      FROM generate_series(0, {k ** (vertices - 1) - 1}) AS g(id), link{tag} GROUP BY id"""
+
+
+def _exhaustive(k: int, vertices: int = 9, tag: str = "") -> str:
+    return f"SELECT CAST({k} AS BIGINT) AS k, CAST(max(cut) AS DOUBLE) AS best_cut FROM ({_cuts(k, vertices, tag)})"
+
+
+def _inertias(k: int, vertices: int = 9) -> str:
     """Every labelling of the small lattice: sum of squares less squared sums over weights, per cluster and axis."""
-    own = f"CASE WHEN v = 0 THEN 0 ELSE (id // CAST(power({k}, v - 1) AS BIGINT)) % {k} END"
     terms = " + ".join(f"sum(CAST(cnt * {a} * {a} AS DOUBLE)) - pow(sum(CAST(cnt * {a} AS DOUBLE)), 2) / sum(cnt)" for a in ("r", "f"))
-    return f"""SELECT CAST({k} AS BIGINT) AS k, round(min(inertia), 6) AS inertia FROM (SELECT id, sum(part) AS inertia FROM (
-      SELECT id, {own} AS cluster, {terms} AS part FROM generate_series(0, {k ** (vertices - 1) - 1}) AS g(id), small GROUP BY ALL) GROUP BY id)"""
+    return f"""SELECT id, sum(part) AS inertia FROM (
+      SELECT id, {_own(k, "v")} AS cluster, {terms} AS part FROM generate_series(0, {k ** (vertices - 1) - 1}) AS g(id), small GROUP BY ALL) GROUP BY id"""
+
+
+def _least_squares(k: int) -> str:
+    return f"SELECT CAST({k} AS BIGINT) AS k, round(min(inertia), 6) AS inertia FROM ({_inertias(k)})"
+
+
+def _partitions(name: str, k_values: tuple[int, ...], best: str, numbered: Callable[[int], str], tag: str = "") -> str:
+    """Stage ``name`` (k, v, r, f, cnt, cluster): per k the partition of nine cells that ``best`` takes of the ``numbered`` ones, clusters named by their least cell."""
+    stages = [f"{name}{k} AS MATERIALIZED (SELECT {best} AS id FROM ({numbered(k)}))" for k in k_values]
+    rows = " UNION ALL ".join(
+        f"SELECT CAST({k} AS BIGINT) AS k, v, r, f, cnt, min(v) OVER (PARTITION BY {_own(k, 'v')}) AS cluster FROM small{tag}, {name}{k}" for k in k_values)
+    return ", ".join([*stages, f"{name} AS ({rows})"])
+
+
+def _largest_cuts(name: str, k_values: tuple[int, ...], tag: str = "") -> str:
+    return _partitions(name, k_values, "arg_max(id, cut)", lambda k: _cuts(k, tag=tag), tag)
+
+
+def _small_gaps(name: str, labels: str, by: str = "k") -> str:
+    """Stage ``name``: pairs of cells of each labelling, in the layout of ``gaps``."""
+    same = " AND ".join(f"a.{c} = b.{c}" for c in by.split(", "))
+    return f"""{name} AS (SELECT {", ".join(f"a.{c}" for c in by.split(", "))}, a.v AS i, b.v AS j, a.cluster AS ci, b.cluster AS cj, a.cnt AS ni, b.cnt AS nj,
+      sqrt(CAST((a.r - b.r) * (a.r - b.r) + (a.f - b.f) * (a.f - b.f) AS DOUBLE)) AS euclidean FROM {labels} a JOIN {labels} b ON {same})"""
+
+
+def _tree(cells: int = 9) -> str:
+    """Stage ``tree`` (k, v, r, f, cnt, cluster): the nearest two clusters merge, step by step; a cluster goes by its least cell."""
+    stages = ["step0 AS MATERIALIZED (SELECT *, v AS cluster FROM small)"]
+    for i in range(cells - 2):
+        centre = f"(SELECT cluster, sum(cnt) AS n, CAST(sum(cnt * r) AS DOUBLE) / sum(cnt) AS r, CAST(sum(cnt * f) AS DOUBLE) / sum(cnt) AS f FROM step{i} GROUP BY cluster)"
+        stages.append(
+            f"pair{i} AS MATERIALIZED (SELECT a.cluster AS kept, b.cluster AS gone FROM {centre} a JOIN {centre} b ON a.cluster < b.cluster "
+            "ORDER BY round(a.n * b.n / (a.n + b.n) * (pow(a.r - b.r, 2) + pow(a.f - b.f, 2)), 9), kept, gone LIMIT 1)")
+        stages.append(f"step{i + 1} AS MATERIALIZED (SELECT v, r, f, cnt, CASE WHEN cluster = gone THEN kept ELSE cluster END AS cluster FROM step{i} LEFT JOIN pair{i} ON true)")
+    steps = " UNION ALL ".join(f"SELECT (SELECT count(DISTINCT cluster) FROM step{i}) AS k, v, r, f, cnt, cluster FROM step{i}" for i in range(cells - 1))
+    return ", ".join([*stages, f"tree AS ({steps})"])
 
 
 def _with(select: str, *stages: str) -> str:
@@ -472,9 +530,7 @@ def oracle_sql() -> dict[str, str]:
     q["g26_mean_scores"] = _with(_MEAN_SCORES)
     q["g26_mean_scores_long"] = _with(" UNION ALL ".join(
         f"SELECT cluster, '{v}' AS metric, {v.lower()}_score AS score FROM ({_MEAN_SCORES})" for v in "LRFM"))
-    q["g27_volume_value"] = _with(
-        "SELECT cluster, count(*) AS customers, CAST(sum(monetary) AS DOUBLE) AS revenue, round(100.0 * count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS pct_customers, "
-        "round(100.0 * CAST(sum(monetary) AS DOUBLE) / CAST(sum(sum(monetary)) OVER () AS DOUBLE), 6) AS pct_revenue FROM levels GROUP BY cluster")
+    q["g27_volume_value"] = _with(_volume())
 
     q["w1_ntile_scores"] = _with(f"SELECT {RAW}, {SCORES} FROM mart")
     q["w2_rank_cut_scores"] = _with(_rank_cut(), _ELAPSED)
@@ -525,12 +581,7 @@ def oracle_sql() -> dict[str, str]:
     q["s3_spearman_scores"] = _with(_SPEAR_SCORES[1], _SPEAR_SCORES[0])
     q["s4_histogram"] = _with(_histogram("CAST(recency AS DOUBLE)"))
     q["s4_histogram_log"] = _with(_histogram("ln(1 + CAST(monetary AS DOUBLE))"))
-    q["s5_box_statistics"] = _with(
-        """SELECT cluster, round(max(q1), 6) AS q1, round(max(q2), 6) AS median, round(max(q3), 6) AS q3,
-        min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) THEN v END) AS whisker_low, max(CASE WHEN v <= q3 + 1.5 * (q3 - q1) THEN v END) AS whisker_high
-        FROM (SELECT cluster, CAST(monetary AS DOUBLE) AS v FROM levels) JOIN
-        (SELECT cluster, quantile_cont(CAST(monetary AS DOUBLE), 0.25) AS q1, quantile_cont(CAST(monetary AS DOUBLE), 0.5) AS q2,
-                quantile_cont(CAST(monetary AS DOUBLE), 0.75) AS q3 FROM levels GROUP BY cluster) USING (cluster) GROUP BY cluster""")
+    q["s5_box_statistics"] = _with(_boxes())
     q["s6_scatter"] = _with("SELECT customer_id, CAST(recency AS DOUBLE) AS x, CAST(monetary AS DOUBLE) AS y, cluster FROM levels")
 
     q["e1_redundancy"] = _with("SELECT l_redundancy, rfm_redundancy FROM redundancy", _SPEAR_SCORES[0], _REDUNDANCY)
@@ -572,6 +623,36 @@ def oracle_sql() -> dict[str, str]:
     q["k6_multi_start_optimum"] = _with(_exhaustive(2, 16), _lattice(4))
     q["k7_objective_recomputed"] = _with(
         "SELECT k, best_cut, best_cut AS label_cut FROM (" + " UNION ALL ".join(_exhaustive(k) for k in (2, 3, 4)) + ")", _EXHAUSTIVE)
+    three = (_EXHAUSTIVE, _largest_cuts("cut", (3,)), "chosen AS (SELECT scored.*, cluster FROM scored JOIN cut USING (r, f))")
+    q["k7_segment_customers_optimum"] = _with("SELECT customer_id, CAST(cluster AS BIGINT) AS cluster FROM chosen", *three)
+    q["g25_profile_of_optimum"] = _with(f"SELECT * REPLACE (CAST(cluster AS BIGINT) AS cluster) FROM ({_profile('chosen')})", *three)
+    q["g27_volume_value_of_optimum"] = _with(f"SELECT * REPLACE (CAST(cluster AS BIGINT) AS cluster) FROM ({_volume('chosen')})", *three)
+    q["s5_boxes_of_optimum"] = _with(f"SELECT * REPLACE (CAST(cluster AS BIGINT) AS cluster) FROM ({_boxes('chosen')})", *three)
+    q["k13_loyalty_of_optimum"] = _with(
+        """SELECT CAST(cluster AS BIGINT) AS cluster, round(r_score, 6) AS r_score, round(f_score, 6) AS f_score, round(distance, 6) AS distance,
+        CAST(floor(rank() OVER (ORDER BY distance DESC) + (count(*) OVER (PARTITION BY distance) - 1) / 2.0) AS BIGINT) AS rank FROM (
+        SELECT cluster, avg(CAST(r AS DOUBLE)) AS r_score, avg(CAST(f AS DOUBLE)) AS f_score, round(sqrt(avg(CAST(r AS DOUBLE)) ** 2 + avg(CAST(f AS DOUBLE)) ** 2), 9) AS distance FROM chosen GROUP BY cluster)""", *three)
+    swept = (_EXHAUSTIVE, _largest_cuts("cut", (2, 3, 4)), _small_gaps("small_gaps", "cut"), _silhouette("euclidean", "small_gaps"))
+    q["k8_sweep_optimum"] = _with(
+        f"""SELECT 'RF' AS variables, k, best_cut AS objective, true AS settled, n_cells, n_clusters, round(silhouette, 6) AS silhouette
+        FROM ({best}) JOIN curve USING (k) JOIN (SELECT k, count(*) AS n_cells, count(DISTINCT cluster) AS n_clusters FROM cut GROUP BY k) USING (k)""", *swept)
+    q["k19_deviation_of_optimum"] = _with(
+        "SELECT round(avg(abs(silhouette - published)), 6) AS mean_delta, round(max(abs(silhouette - published)), 6) AS max_delta, CASE WHEN avg(abs(silhouette - published)) < 0.03 THEN 'CONFIRMED' ELSE 'CHECK' END AS verdict FROM curve JOIN published USING (k)",
+        *swept, PUBLISHED)
+    beside = f"""SELECT 'RF' AS pair, * FROM ({best}) UNION ALL SELECT 'FM', * FROM ({" UNION ALL ".join(_exhaustive(k, tag="_fm") for k in (2, 3, 4))})"""
+    q["k9_side_by_side_optimum"] = _with(
+        f"""SELECT k, {", ".join(f'max(CASE WHEN pair = {p!r} THEN best_cut END) AS "{p}"' for p in ("RF", "FM"))} FROM ({beside}) GROUP BY k""",
+        _EXHAUSTIVE, _lattice(3, "monetary", "frequency", "_fm"))
+    q["k11_robustness_optimum"] = _with(
+        f"SELECT CAST(budget AS BIGINT) AS budget, best_cut, best_cut AS worst_cut, CAST(100 AS DOUBLE) AS hit_pct, true AS settled FROM ({_exhaustive(3)}), (VALUES (50), (200)) AS b(budget)", _EXHAUSTIVE)
+    q["k16_ward_labels"] = _with("SELECT k, CAST(v AS BIGINT) AS cell_id, cnt, CAST(cluster AS BIGINT) AS cluster FROM tree WHERE k BETWEEN 2 AND 8", _EXHAUSTIVE, _tree())
+    methods = {"max-k-cut": "cut", "K-means": "squares", "Ward": "tree"}
+    columns = ", ".join(f'round(max(CASE WHEN method = \'{m}\' THEN silhouette END), 6) AS "{m}"' for m in methods)
+    q["k18_method_silhouettes_optimum"] = _with(
+        f"SELECT 'RF' AS variables, k, {columns} FROM curve GROUP BY k", _EXHAUSTIVE, _tree(), _largest_cuts("cut", (2, 3)),
+        _partitions("squares", (2, 3), "arg_min(id, inertia)", _inertias),
+        "methods AS (" + " UNION ALL ".join(f"SELECT '{m}' AS method, k, v, r, f, cnt, cluster FROM {t} WHERE k <= 3" for m, t in methods.items()) + ")",
+        _small_gaps("small_gaps", "methods", "method, k"), _silhouette("euclidean", "small_gaps", "method, k"))
     q["k12_silhouette"] = _with("SELECT CAST(k AS BIGINT) AS k, round(silhouette, 6) AS silhouette FROM curve", _silhouette("euclidean"))
     q["k13_loyalty_ranking"] = _with(
         "SELECT cluster, round(r_score, 6) AS r_score, round(f_score, 6) AS f_score, round(m_score, 6) AS m_score, round(l_score, 6) AS l_score, round(distance, 6) AS distance, rank FROM loyal", _LOYALTY)
