@@ -71,6 +71,16 @@ def country_shares(log: DataFrame, top: int | None = None) -> DataFrame:
     return shares.limit(top) if top else shares
 
 
+def share_of_countries(log: DataFrame, countries: list[str]) -> DataFrame:
+    """Rows and share of each named country among the rows with a country, by plain sums without a group per country.
+
+    A country that the log does not hold has no rows and a NULL share, and so has every country of an empty log.
+    """
+    rows = log.agg(F.count("Country").alias("n"), *[F.count_if(F.col("Country") == c).alias(f"n{i}") for i, c in enumerate(countries)])
+    named = F.explode(F.array(*[F.struct(F.lit(c).alias("Country"), F.col(f"n{i}").alias("n_rows")) for i, c in enumerate(countries)]))
+    return rows.select("n", named.alias("c")).selectExpr("c.Country", "c.n_rows", "IF(c.n_rows > 0, CAST(c.n_rows AS DOUBLE) / n, NULL) AS share")
+
+
 def herfindahl(log: DataFrame) -> DataFrame:
     """Sum of squared country shares, from the counts alone."""
     counts = log.filter("Country IS NOT NULL").groupBy("Country").agg(F.count("*").cast("double").alias("n"))

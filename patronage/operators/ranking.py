@@ -22,10 +22,13 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from patronage.sources.storage import materialise
+
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 4096
 ACCURACY = 10_000  # of approximate percentiles; their error is below 1 / ACCURACY
 MARGIN = 3 / ACCURACY
+WIDE = 8  # a bucket to be sorted with more than so many times the rows of a bucket is cut again
 
 
 @dataclass(frozen=True)
@@ -94,7 +97,7 @@ def _around(keyed: DataFrame, ranks: dict[tuple[str, str], list[int]],
             totals: dict[tuple[str, str], int]) -> tuple[DataFrame, str]:
     """A thin bucket around each wanted rank and wide ones between, which are only counted.
 
-    Should a rank fall outside its thin bucket, the wide one that holds it is sorted.
+    Should a rank fall outside its thin bucket, the wide one that holds it is cut again evenly.
     """
     own = {
         key: sorted({min(1.0, max(0.0, rank / totals[key] + side)) for rank in wanted for side in (-MARGIN, MARGIN)})
@@ -111,10 +114,10 @@ def _around(keyed: DataFrame, ranks: dict[tuple[str, str], list[int]],
 
 
 def bucketed(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET,
-             wanted: Callable[[str, int], Iterable[int]] | None = None) -> Ordered:
+             wanted: Callable[[str, str, int], Iterable[int]] | None = None) -> Ordered:
     """Assign each long row a bucket such that buckets are ordered by (ordinal, tie).
 
-    If ranks are wanted and every row weighs one, the buckets lie around those ranks,
+    ``wanted`` gives the ranks for an axis, a group and its total weight. If ranks are wanted and every row weighs one, the buckets lie around those ranks,
     otherwise they are of about equal size.
     """
     stats = rows.groupBy("axis", "grp").agg(
@@ -136,7 +139,7 @@ def bucketed(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET,
     key = f"CAST(ordinal AS DOUBLE) + CAST(tie - {low}L AS DOUBLE) / {span!r}D"
     keyed = rows.selectExpr("*", f"explode(array({key})) AS key")
     if wanted is not None and all(r.total == r.n for r in stats):
-        ranks = {key: sorted(set(wanted(key[0], total))) for key, total in totals.items()}
+        ranks = {key: sorted(set(wanted(*key, total))) for key, total in totals.items()}
         keyed, bucket = _around(keyed, ranks, totals)
     else:
         keyed, bucket = _evenly(keyed, buckets)
@@ -158,20 +161,29 @@ def order_statistics(
 ) -> tuple[dict[tuple[str, str], dict[int, tuple[int, int]]], dict[tuple[str, str], int]]:
     """The ``(ordinal, tie)`` found at the wanted ranks (1-based) of each axis and group.
 
-    Only the buckets that hold a wanted rank are sorted. The answer is as large as the
-    list of ranks; the total weight of each axis and group comes with it.
+    Only the buckets that hold a wanted rank are sorted, and those of too many rows are cut
+    into buckets again first, so no task sorts a share of a large table. The answer is as
+    large as the list of ranks; the total weight of each axis and group comes with it.
     """
-    ordered = bucketed(rows, rows_per_bucket, wanted)
+    return _at_ranks(rows, lambda axis, _grp, total: wanted(axis, total), rows_per_bucket)
+
+
+def _at_ranks(
+    rows: DataFrame, wanted: Callable[[str, str, int], Iterable[int]], rows_per_bucket: int, evenly: bool = False,
+) -> tuple[dict[tuple[str, str], dict[int, tuple[int, int]]], dict[tuple[str, str], int]]:
+    ordered = bucketed(rows, rows_per_bucket, None if evenly else wanted)
     targets: list[tuple[str, str, int, int, int]] = []
     if ordered.buckets == 1:
         sizes = {(axis, grp): [(0, total)] for (axis, grp), total in ordered.totals.items()}
     else:
         sizes = {}
-        counted = ordered.rows.groupBy("axis", "grp", "bucket").agg(F.sum("weight").alias("n"))
+        counted = ordered.rows.groupBy("axis", "grp", "bucket").agg(F.sum("weight").alias("n"), F.count("*").alias("n_rows"))
+        lengths = {}
         for r in counted.collect():
             sizes.setdefault((r.axis, r.grp), []).append((r.bucket, r.n))
+            lengths[r.axis, r.grp, r.bucket] = r.n_rows
     for (axis, grp), parts in sizes.items():
-        ranks = sorted(set(wanted(axis, ordered.totals[axis, grp])))
+        ranks = sorted(set(wanted(axis, grp, ordered.totals[axis, grp])))
         before = 0
         for bucket, n in sorted(parts):
             targets += [(axis, grp, bucket, rank, rank - before) for rank in ranks if before < rank <= before + n]
@@ -184,6 +196,19 @@ def order_statistics(
     local_ranks: dict[tuple[str, str, int], list[tuple[int, int]]] = {}
     for axis, grp, bucket, rank, local in targets:
         local_ranks.setdefault((axis, grp, bucket), []).append((rank, local))
+    if ordered.buckets > 1:
+        # after even cuts, a bucket that is all of its axis and group holds one key only: nothing is left to cut
+        wide = [key for key in local_ranks if lengths[key] > WIDE * rows_per_bucket and not (evenly and len(sizes[key[:2]]) == 1)]
+        if wide:
+            again = {(axis, f"{grp}/{bucket}"): (axis, grp, bucket) for axis, grp, bucket in wide}
+            inside = ordered.rows.filter(" OR ".join(_in_bucket(*key) for key in wide))
+            inside = materialise(inside.withColumn("grp", F.concat_ws("/", "grp", "bucket")).drop("bucket"), "wide")
+            narrower, _ = _at_ranks(inside, lambda axis, grp, _total: [local for _, local in local_ranks[again[axis, grp]]], rows_per_bucket, True)
+            for key, places in narrower.items():
+                for rank, local in local_ranks.pop(again[key]):
+                    found[again[key][:2]][rank] = places[local]
+            if not local_ranks:
+                return found, ordered.totals
     # one membership test: the bucket's own expression is then evaluated once per row
     chosen: dict[tuple[str, str], list[str]] = {}
     for axis, grp, bucket in local_ranks:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronage.sources.storage import materialise
+
 AXES = ["r_score", "f_score", "m_score", "l_score"]
 RFM_AXES = AXES[:3]
 AXIS_PAIRS = [(a, b) for i, a in enumerate(AXES) for b in AXES[i + 1:]]
@@ -13,11 +15,11 @@ REDUNDANCY_SLACK = 0.1
 
 
 def tenure_cells(mart: DataFrame) -> DataFrame:
-    """Cells of all four scores with their customers and the length of tenure inside."""
-    return mart.groupBy(*AXES).agg(
+    """Cells of all four scores with their customers and the length of tenure inside; stored, as most reports read them more than once."""
+    return materialise(mart.groupBy(*AXES).agg(
         F.count("*").alias("cnt"), F.min("length").alias("length_min"),
         F.sum("length").alias("length_sum"), F.max("length").alias("length_max"),
-    )
+    ), "tenure-cells")
 
 
 def cell_counts(cells: DataFrame) -> DataFrame:
@@ -31,18 +33,19 @@ def cell_counts(cells: DataFrame) -> DataFrame:
 def spearman_scores(cells: DataFrame) -> DataFrame:
     """Spearman correlation of each pair of scores.
 
-    Ranks depend on the score alone, so weighted cells (at most the lattice) replace
-    customers, and the windows below run over that many rows.
+    A rank depends on the score alone, so it follows from the customers per axis and score: windows run over these few rows,
+    and the cells, however many, look their ranks up in one row of maps. NULL scores have no rank and add nothing.
     """
-    ranked = cells
-    for a in AXES:
-        ranked = ranked.withColumn(f"{a}_rank", F.expr(
-            f"sum(cnt) OVER (ORDER BY {a} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-            f" - (sum(cnt) OVER (PARTITION BY {a}) - 1) / 2D"))
-    ranked = ranked.withColumn("middle", (F.sum("cnt").over(Window.partitionBy()) + 1) / 2)
+    stacked = ", ".join(f"'{a}', {a}" for a in AXES)
+    per_score = cells.selectExpr("cnt", f"stack({len(AXES)}, {stacked}) AS (axis, score)").filter("score IS NOT NULL").groupBy("axis", "score").agg(F.sum("cnt").alias("n"))
+    places = per_score.selectExpr(
+        "axis", "score", "sum(n) OVER (PARTITION BY axis ORDER BY score) - (n - 1) / 2D - (sum(n) OVER (PARTITION BY axis) + 1) / 2D AS off_middle")
+    maps = places.groupBy().agg(*[
+        F.expr(f"map_from_entries(collect_list(IF(axis = '{a}', struct(score, off_middle), NULL)))").alias(f"of_{a}") for a in AXES])
+    ranked = cells.crossJoin(F.broadcast(maps)).select("cnt", *[F.expr(f"of_{a}[{a}]").alias(f"{a}_off") for a in AXES])  # a single row
 
     def product(a: str, b: str) -> str:
-        return f"sum(cnt * ({a}_rank - middle) * ({b}_rank - middle))"
+        return f"sum(cnt * {a}_off * {b}_off)"
 
     values = ranked.selectExpr(*[
         f"{product(a, b)} / nullif(sqrt({product(a, a)} * {product(b, b)}), 0D) AS {a}_{b}" for a, b in AXIS_PAIRS])

@@ -561,6 +561,12 @@ def g14_top_countries(spark, d):
     return P.country_shares(transaction_log(spark, d), top=3)
 
 
+@query
+def g14_named_countries(spark, d):
+    """One country that trades and one that no row names."""
+    return P.share_of_countries(transaction_log(spark, d), ["UNITED KINGDOM", "ATLANTIS"])
+
+
 @query
 def g15_missing_customer_countries(spark, d):
     return P.missing_customer_countries(transaction_log(spark, d))

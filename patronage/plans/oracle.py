@@ -486,6 +486,9 @@ def oracle_sql() -> dict[str, str]:
     shares = "SELECT Country, count(*) AS n_rows, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share FROM tx GROUP BY Country"
     q["g14_country_shares"] = _with(shares)
     q["g14_top_countries"] = _with(shares + " ORDER BY n_rows DESC, Country LIMIT 3")
+    q["g14_named_countries"] = _with(
+        "SELECT c AS Country, count(tx.Country) AS n_rows, CASE WHEN count(tx.Country) > 0 THEN round(count(tx.Country) / CAST((SELECT count(Country) FROM tx) AS DOUBLE), 6) END AS share "
+        "FROM (VALUES ('UNITED KINGDOM'), ('ATLANTIS')) AS v(c) LEFT JOIN tx ON tx.Country = c GROUP BY c")
     q["g15_missing_customer_countries"] = _with(
         "SELECT Country, count(*) AS n_rows FROM tx WHERE CustomerID IS NULL GROUP BY Country ORDER BY n_rows DESC, Country LIMIT 3")
     q["g16_cancellation_summary"] = _with(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.operators import profile as P
+from patronage.operators import ranking
 from patronage.operators.evaluate import box_statistics
 from patronage.operators.ranking import bucketed, cumulative, long_form, order_statistics, quantiles, value_counts
 from patronage.operators.scoring import add_scores, ntile_starts, rank_cut_starts
@@ -78,6 +79,29 @@ def test_groups_have_their_own_order(customers):
             values[0], values[len(values) // 2 - 1], values[-1]]
 
 
+def test_wide_buckets_are_cut_again(customers, monkeypatch):
+    """Without a margin each rank is missed by its thin bucket; the wide one around it must not be sorted whole."""
+    sorted_rows, plain = [], ranking.bucketed
+
+    def counted(rows, *options):
+        ordered = plain(rows, *options)
+        sorted_rows.append(ordered.rows.groupBy("axis", "grp", "bucket").count().agg(F.max("count")).first()[0])
+        return ordered
+
+    monkeypatch.setattr(ranking, "bucketed", counted)
+    monkeypatch.setattr(ranking, "ACCURACY", 4)
+    monkeypatch.setattr(ranking, "MARGIN", 0.0)
+    grouped = customers.withColumn("g", F.expr("IF(customer_id % 2 = 0, 'a/1', 'b')"))
+    ranks = [1, 17, 700, 701, 1400]
+    found, _ = order_statistics(long_form(grouped, {"L": "length", "R": "-recency"}, "customer_id", "g"), lambda _a, _n: ranks, 20)
+    rows = grouped.collect()
+    for g in ("a/1", "b"):
+        for axis, value in (("L", lambda r: r.length), ("R", lambda r: -r.recency)):
+            order = sorted((value(r), r.customer_id) for r in rows if r.g == g)
+            assert found[axis, g] == {rank: order[rank - 1] for rank in ranks}
+    assert len(sorted_rows) == 2 and sorted_rows[0] > 160 >= sorted_rows[1]
+
+
 @pytest.mark.parametrize("rows_per_bucket", [80, 10**6])
 def test_running_totals(customers, rows_per_bucket):
     rows = long_form(customers, {"M": "-CAST(monetary * 100 AS BIGINT)"}, "customer_id")
