@@ -1191,8 +1191,11 @@ def s5_boxes_of_optimum(spark, d):
 
 @query
 def k8_sweep_optimum(spark, d):
-    """The sweep on nine cells; the gap has a check of its own."""
-    return K.sweep(_in_three(spark, d), [["R", "F"]], [2, 3, 4], bins=3)[0].drop("gap")
+    """The sweep on nine cells; the gap has a check of its own.
+
+    Two and three clusters only: at sf0.001 two partitions into four have the same cut, and SQL cannot tell which of them a search meets first.
+    """
+    return K.sweep(_in_three(spark, d), [["R", "F"]], [2, 3], bins=3)[0].drop("gap")
 
 
 @query
@@ -1214,8 +1217,8 @@ def k11_robustness_optimum(spark, d):
 
 @query
 def k19_deviation_of_optimum(spark, d):
-    """The swept curve of the nine cells beside the published one, for the k that both have."""
-    return E.deviation(K.sweep(_in_three(spark, d), [["R", "F"]], [2, 3, 4], bins=3)[0])
+    """The swept curve of the nine cells beside the published one, for the k of ``k8_sweep_optimum``."""
+    return E.deviation(K.sweep(_in_three(spark, d), [["R", "F"]], [2, 3], bins=3)[0])
 
 
 @query

@@ -635,7 +635,7 @@ def oracle_sql() -> dict[str, str]:
         """SELECT CAST(cluster AS BIGINT) AS cluster, round(r_score, 6) AS r_score, round(f_score, 6) AS f_score, round(distance, 6) AS distance,
         CAST(floor(rank() OVER (ORDER BY distance DESC) + (count(*) OVER (PARTITION BY distance) - 1) / 2.0) AS BIGINT) AS rank FROM (
         SELECT cluster, avg(CAST(r AS DOUBLE)) AS r_score, avg(CAST(f AS DOUBLE)) AS f_score, round(sqrt(avg(CAST(r AS DOUBLE)) ** 2 + avg(CAST(f AS DOUBLE)) ** 2), 9) AS distance FROM chosen GROUP BY cluster)""", *three)
-    swept = (_EXHAUSTIVE, _largest_cuts("cut", (2, 3, 4)), _small_gaps("small_gaps", "cut"), _silhouette("euclidean", "small_gaps"))
+    swept = (_EXHAUSTIVE, _largest_cuts("cut", (2, 3)), _small_gaps("small_gaps", "cut"), _silhouette("euclidean", "small_gaps"))
     q["k8_sweep_optimum"] = _with(
         f"""SELECT 'RF' AS variables, k, best_cut AS objective, true AS settled, n_cells, n_clusters, round(silhouette, 6) AS silhouette
         FROM ({best}) JOIN curve USING (k) JOIN (SELECT k, count(*) AS n_cells, count(DISTINCT cluster) AS n_clusters FROM cut GROUP BY k) USING (k)""", *swept)
