@@ -230,7 +230,11 @@ def scores(docs: DataFrame, model: Model | Constant, accept: float = ACCEPT) ->
 
 
 def accepted(docs: DataFrame, model: Model | Constant, accept: float = ACCEPT) -> DataFrame:
-    """The rows of ``docs`` whose text is accepted, with all their columns; texts are not shuffled."""
+    """The rows of ``docs`` whose text is accepted, with all their columns; texts are not shuffled.
+
+    Null and empty texts are judged as an empty passage. A row depends on its text alone, so rows that repeat a text stay or go together;
+    null ids stay null, an empty table stays empty, and other columns are carried along whatever their names.
+    """
     def run(batches):
         for part in slices(batches):
             yield part.filter(pa.array(model.score(part.column("text")) >= accept))

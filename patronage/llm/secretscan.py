@@ -185,7 +185,11 @@ def secrets(docs: DataFrame, model: np.ndarray, least: float = LEAST_RATIO) -> D
 
 
 def redacted(docs: DataFrame, model: np.ndarray, least: float = LEAST_RATIO) -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by a mark; ``n_chars``, where there is one, follows the new text."""
+    """``docs`` with every secret in ``text`` replaced by a mark; ``n_chars``, where there is one, follows the new text.
+
+    Every row stays. A null text stays null and an empty one empty; rows that repeat a text are masked alike; null ids stay null, an empty table
+    stays empty, and other columns are carried along whatever their names.
+    """
     names = docs.columns
 
     def run(batches):

@@ -103,6 +103,22 @@ def test_masking(odd, model):
     assert secretscan.masked("a bc def", [(2, 0, 4), (3, 1, 6), (6, 2, 7)]) == "a [SECRET][SECRET]f"
 
 
+def test_stages_on_rows_they_leave_alone(spark, model, none):
+    """Empty tables, null and empty texts, repeated rows and other columns, through masking and the classifier's filter."""
+    assert secretscan.redacted(none, model).count() == passages.accepted(none, passages.Constant(1.0)).count() == 0
+    secret = "password = abcdefgh12345678"
+    rows = [(1, None, "a"), (None, "", "b"), (2, secret, "c"), (2, secret, "c"), (3, "plain words", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    masked = secretscan.redacted(docs, model)
+    got = sorted(map(tuple, masked.collect()), key=str)
+    assert masked.columns == docs.columns and len(got) == 5
+    assert [r for r in got if r[2] != "c"] == sorted((r for r in rows if r[2] != "c"), key=str)
+    texts = {r[1] for r in got if r[2] == "c"}
+    assert len(texts) == 1 and "abcdefgh12345678" not in texts.pop()
+    assert passages.accepted(docs, passages.Constant(1.0)).count() == 5
+    assert passages.accepted(docs, passages.Constant(0.0)).count() == 0
+
+
 def test_identifiers_come_from_all_documents(spark):
     docs = spark.range(2600).selectExpr("id AS doc_id", "concat('common w', translate(string(id), '0123456789', 'abcdefghij')) AS text")
     docs = docs.union(spark.createDataFrame([(None, "unseen unseen ab"), (5000, None)], "doc_id long, text string"))
