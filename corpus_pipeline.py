@@ -1,4 +1,9 @@
-"""From raw documents to token ids, in five stages; each is written as Parquet and read again as the next one's input."""
+"""From raw documents to token ids, in five stages; each is written as Parquet and read again as the next one's input.
+
+In every stage null ids stay null, an empty table stays empty, and other columns are carried along whatever their names (the last stage leaves
+them out). A null or empty text is judged as an empty passage by the first stage; a later one finds no copies, benchmark items or secrets in it and gives it no ids.
+Rows that repeat an id: those whose id stays all stay, those whose id goes as a near copy all go.
+"""
 
 from __future__ import annotations
 
