@@ -164,6 +164,9 @@ class Pair(units.Lookup):
         super().forget()
         self.facts, self.groups = np.zeros((0, 4), np.int64), []
 
+    def make_room(self) -> None:
+        self.forget()  # all at once: a chunk ends whenever rows are numbered anew
+
     def encoded(self, texts: list[str]):
         """Ids and their number of each unit, on either side; units go through the libraries in lines, as they would stand in a text."""
         ends = np.array([-1, *(i for i, t in enumerate(texts) if i % PER_LINE == PER_LINE - 1 or not PLAIN_END.search(t) or MARK in t), len(texts) - 1])

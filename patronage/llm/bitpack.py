@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import struct
+import uuid
 import zlib
 
 import numpy as np
@@ -32,9 +33,11 @@ MAGIC = b"IDB2"
 HEAD = "<4sB3xQQIIQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK = 4096
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 #: A sign that stands between words that are encoded in one line.
 JOINER = "\x01"
+#: Distinct words that a Python worker remembers, about.
+REMEMBERED = 500_000
 #: Bytes of text in a part, which one task arranges; a part of one very long document may hold more.
 PART_BYTES = 2 << 20
 #: Ranges of doc_id that are cut at quantiles; beyond them each range is divided evenly by value.
@@ -112,6 +115,44 @@ def _part_of(doc: np.ndarray, edges: np.ndarray, fine: int) -> np.ndarray:
     return at * fine + piece
 
 
+_lookups: dict[str, units.Lookup] = {}
+
+
+def shared_lookup(job: str, tokenizer: str) -> units.Lookup:
+    """The tokenizer (the content of its file) and the words met: of each Python worker, whose tasks of a job go on with what its earlier ones have encoded."""
+    if job not in _lookups:
+        _lookups.clear()  # a worker that comes to another job starts anew
+        pa.set_memory_pool(pa.system_memory_pool())  # of which what is freed can be given back
+        os.environ.setdefault("RAYON_NUM_THREADS", "1")  # a task has a core; more threads only hold memory
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(tokenizer)
+        ids_of = lambda lines: [e.ids for e in library.encode_batch_fast(lines, add_special_tokens=False)]
+        mark = ids_of([JOINER])[0]
+        encode = units.joined(ids_of, f" {JOINER} ", mark[0] if len(mark) == 1 else None)
+        suffix, vocabulary = getattr(library.model, "end_of_word_suffix", None), library.get_vocab()
+        if suffix:
+            final = np.zeros(max(vocabulary.values()) + 1, bool)
+            final[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
+            encode = units.by_ends(ids_of, final, encode)
+        del vocabulary
+        give_back()  # what the file's content took while it was read
+        _lookups[job] = units.Lookup(encode, REMEMBERED)
+    return _lookups[job]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker stays when its task has ended, and others may run beside it."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
+def forget_lookups() -> None:
+    if _lookups:
+        _lookups.clear()
+        give_back()
+
+
 FILES = "part int, file int, content binary"
 
 
@@ -135,18 +176,12 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
     shares = [k / coarse for k in range(coarse + 1)] if coarse else [0.5]
     edges = texts.agg(F.percentile_approx("doc_id", shares, 10 * RANGES)).first()[0] or [0]
     edges = np.unique(np.array(edges, np.int64))
-    width = width_of(vocabulary)
+    width, job = width_of(vocabulary), uuid.uuid4().hex
     with open(tokenizer_path, encoding="utf-8") as file:
         content = spark.sparkContext.broadcast(file.read())  # a vocabulary file, of a size apart from the corpus
 
-    def encode(batches):
-        os.environ.setdefault("RAYON_NUM_THREADS", "1")  # a task has a core; more threads only hold memory
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_str(content.value)
-        ids_of = lambda lines: [e.ids for e in tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
-        mark = ids_of([JOINER])[0]
-        lookup = units.Lookup(units.joined(ids_of, f" {JOINER} ", mark[0] if len(mark) == 1 else None))
+    def fragments(batches):
+        lookup = shared_lookup(job, content.value)
         for rows in slices(batches, CHUNK):
             ids, begin = lookup.ids(units.words(rows.column("text")))
             bare = pc.is_null(rows.column("doc_id")).to_numpy(zero_copy_only=False)
@@ -167,7 +202,12 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, fi
                 out.append((int(part[some[0]]), to_file(doc[some], sizes[some], chosen, width)))
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([c for _, c in out], pa.binary())], names=["part", "content"])
 
+    def encode(batches):
+        yield from fragments(batches)
+        give_back()
+
     def arrange(table: pa.Table) -> pa.Table:
+        forget_lookups()  # all texts are encoded when parts are arranged
         part = table.column("part")[0].as_py()
         files = [IdFile(c) for c in table.column("content").to_pylist()]
         doc = np.concatenate([f.doc_ids for f in files])

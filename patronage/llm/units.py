@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 
-from patronage.llm.wordarrays import BASE, BASE_INVERSE, BYTE, BYTE_LOWER, SPACE, buffer, mix, powers, ranges
+from patronage.llm.wordarrays import BASE, BASE_INVERSE, BYTE, BYTE_LOWER, buffer, mix, powers, ranges
 
-#: Distinct units that a task remembers; beyond it begins anew, which costs time only.
+#: Distinct units that are remembered, about; beyond it, those that were not met again are forgotten, which costs time only.
 REMEMBERED = 300_000
 #: Units that are encoded at once.
 BATCH = 16_384
 
-_HIGH = np.zeros(256, bool)
-_HIGH[128:] = True
-_HIGH[ord("<")] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: Words of letters that normalisation leaves single letters, so that no tokenizer of words splits them.
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
 _POINT = np.zeros(256, bool)
 _POINT[list(b".,;:!?")] = True
 
@@ -43,18 +42,27 @@ class Spans:
         return found
 
 
+def _letter(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is an ASCII letter; comparisons of bytes are faster than a table."""
+    return (data | np.uint8(32)) - np.uint8(97) < 26
+
+
 def _names(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool) -> np.ndarray:
     n = len(data)
-    inverse = powers(BASE_INVERSE, n + 1)[start]
+    value = (BYTE_LOWER if fold else BYTE).take(data)
+    apart = np.uint64(0)
+    if fold:  # a word with a high byte or ``<`` keeps the case of its letters
+        marks = np.zeros(n + 1, np.int64)
+        np.cumsum((data >= 128) | (data == ord("<")), out=marks[1:])
+        high = marks[end] > marks[start]
+        upper = np.flatnonzero(data - np.uint8(65) < 26)
+        upper = upper[high[np.searchsorted(start, upper, "right") - 1]]
+        value[upper] = BYTE[data[upper]]
+        apart = (~high).astype(np.uint64)
+    value *= powers(BASE, n)[:n]
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(BYTE[data] * powers(BASE, n)[:n], out=sums[1:])
-    exact = mix((sums[end] - sums[start]) * inverse)
-    if not fold:
-        return exact
-    np.cumsum(BYTE_LOWER[data] * powers(BASE, n)[:n], out=sums[1:])
-    folded = mix((sums[end] - sums[start]) * inverse + np.uint64(1))
-    high = np.concatenate([[0], np.cumsum(_HIGH[data])])
-    return np.where(high[end] > high[start], exact, folded)
+    np.cumsum(value, out=sums[1:])
+    return mix((sums[end] - sums[start]) * powers(BASE_INVERSE, n + 1)[start] + apart)
 
 
 def words(texts: pa.Array) -> Spans:
@@ -63,7 +71,7 @@ def words(texts: pa.Array) -> Spans:
     characters, or with ``<`` (special strings), keep theirs."""
     data, offsets = buffer(texts)
     n = len(data)
-    gap = SPACE[data]
+    gap = (data == 0x20) | (data - np.uint8(9) < 5)
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before, after = np.ones(n, bool), np.ones(n, bool)
@@ -71,7 +79,8 @@ def words(texts: pa.Array) -> Spans:
     final = ~gap & (after | edge[1:])
     opening = ~gap & (before | edge[:-1])
     split = np.zeros(n, bool)
-    split[1:] = final[1:] & _POINT[data[1:]] & _LETTER[data[:-1]] & ~opening[1:]
+    split[1:] = final[1:] & _letter(data[:-1]) & ~opening[1:]
+    split[split] = _POINT[data[split]]
     start = np.flatnonzero(opening | split)
     end = np.flatnonzero(final | np.append(split[1:], False)) + 1
     return Spans(data, start, end, _names(data, start, end, True), np.searchsorted(start, offsets))
@@ -116,6 +125,33 @@ def joined(encode: Callable[[list[str]], list[list[int]]], joiner: str, mark: in
     return run
 
 
+def by_ends(encode: Callable[[list[str]], list[list[int]]], final: np.ndarray, other: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], per_line: int = 256):
+    """An encoder of many units at once, like ``joined``, for a tokenizer that marks the last piece of a word (``final``, by id).
+
+    Plain words stand in lines with nothing but spaces between them, each up to its final piece. ``other`` encodes the rest, and all
+    units if a line has not as many final pieces as words.
+    """
+    def run(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((PLAIN.fullmatch(t) is not None for t in texts), bool, len(texts))
+        some = [t for t, own in zip(texts, plain.tolist()) if own]
+        lines = [some[i:i + per_line] for i in range(0, len(some), per_line)]
+        found = [np.asarray(x, np.uint32) for x in encode([" ".join(x) for x in lines])]
+        if any(not len(ids) or not final[ids[-1]] or final[ids].sum() != len(line) for ids, line in zip(found, lines)):
+            return other(texts)
+        ids = np.concatenate([np.zeros(0, np.uint32), *found])
+        sizes = np.zeros(len(texts), np.int64)
+        sizes[plain] = np.diff(np.flatnonzero(final[ids]), prepend=-1)
+        if plain.all():
+            return ids, sizes
+        rest, sizes[~plain] = other([t for t, own in zip(texts, plain.tolist()) if not own])
+        own = np.repeat(plain, sizes)
+        out = np.empty(len(own), np.uint32)
+        out[own], out[~own] = ids, rest
+        return out, sizes
+
+    return run
+
+
 class Lookup:
     """Ids of units: encodes those it has not met, and remembers them up to a limit."""
 
@@ -124,28 +160,51 @@ class Lookup:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.names, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # ascending names, and the row of each
         self.flat = np.zeros(0, np.uint32)
         self.begin = np.zeros(1, np.int64)
+        self.again = np.zeros(0, bool)  # rows met in a later column than their first
+
+    def make_room(self) -> None:
+        """Forget the units that were not met again since room was made."""
+        kept = np.flatnonzero(self.again)
+        number = np.full(len(self.again), -1)
+        number[kept] = np.arange(len(kept))
+        place = number[self.place]
+        self.names, self.place = self.names[place >= 0], place[place >= 0]
+        sizes = np.diff(self.begin)[kept]
+        self.flat = self.flat[ranges(self.begin[kept], sizes)]
+        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+        self.again = np.zeros(len(kept), bool)
 
     def rows(self, spans: Spans) -> np.ndarray:
         """The remembered row of each unit."""
-        if len(self.place) > self.limit:
-            self.forget()
-        name, at, inverse = np.unique(spans.name, return_index=True, return_inverse=True)
-        row = np.fromiter((self.place.get(x, -1) for x in name.tolist()), np.int64, len(name))
-        new = np.flatnonzero(row < 0)
-        flats, sizes = [self.flat], []
-        for part in np.split(new, np.arange(BATCH, len(new), BATCH)) if len(new) else []:
-            ids, size = self.encode(spans.texts(at[part]))
-            flats.append(ids.astype(np.uint32))
-            sizes.append(size)
+        if len(self.names) > self.limit:
+            self.make_room()
+        coded = pa.array(spans.name).dictionary_encode()
+        each, name = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+        order = np.argsort(name)
+        name = name[order]
+        spot = np.searchsorted(self.names, name)
+        known = spot < len(self.names)
+        known[known] = self.names[spot[known]] == name[known]
+        row = np.zeros(len(name), np.int64)
+        row[known] = self.place[spot[known]]
+        self.again[row[known]] = True
+        new = np.flatnonzero(~known)
         if len(new):
+            at = np.zeros(len(name), np.int64)
+            at[each] = np.arange(len(each))  # any unit of the name
+            at = at[order[new]]
+            found = [self.encode(spans.texts(at[i:i + BATCH])) for i in range(0, len(new), BATCH)]
             row[new] = len(self.begin) - 1 + np.arange(len(new))
-            self.place.update(zip(name[new].tolist(), row[new].tolist()))
-            self.flat = np.concatenate(flats)
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))])
-        return row[inverse]
+            self.names, self.place = np.insert(self.names, spot[new], name[new]), np.insert(self.place, spot[new], row[new])
+            self.flat = np.concatenate([self.flat, *(ids.astype(np.uint32) for ids, _ in found)])
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate([sizes for _, sizes in found]))])
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        back = np.empty_like(row)
+        back[order] = row
+        return back[each]
 
     def ids(self, spans: Spans) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and where each text's ids begin (one more at the end)."""

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from conftest import SF
 
-from patronage.llm import bitpack, bpecount, divergence, passages, pieces, secretscan
+from patronage.llm import bitpack, bpecount, divergence, passages, pieces, secretscan, units
 
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
@@ -273,6 +273,61 @@ def test_packed_ids_of_rows_without_id(spark, odd, part_bytes):
     assert [r["doc_id"] for r in found][:len(found) - len(named)] == [None] * (len(found) - len(named)) and named == sorted(named)
 
 
+def library_encoders():
+    """Of the word tokenizer: an encoder of lines, the final pieces, and the encoder with marks between units."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORD_FILE)
+    encode = lambda lines: [e.ids for e in library.encode_batch(lines, add_special_tokens=False)]
+    final = np.zeros(library.get_vocab_size(), bool)
+    final[[i for token, i in library.get_vocab().items() if token.endswith("</w>")]] = True
+    return encode, final, units.joined(encode, f" {bitpack.JOINER} ", encode([bitpack.JOINER])[0][0])
+
+
+def test_plain_words_end_with_their_final_piece():
+    encode, final, other = library_encoders()
+    words = ["plain", "Word", "Über", "éclair", "ß", "x" * 300, "don't", "</w>", "a\u0301b", "İstanbul", "\u00a0", "×", "42", "...", "日本", "<|endoftext|>", "\x01", "a", "ÿÿ"]
+    for texts in (words, words[:5], words[6:9], ["same"] * 3 + words * 30, ["w" + "é" * i for i in range(600)]):
+        ids, sizes = units.by_ends(encode, final, other, per_line=7)(texts)
+        each = [encode([t])[0] for t in texts]
+        assert sizes.tolist() == [len(x) for x in each] and ids.tolist() == [i for x in each for i in x]
+        marked = []  # with final pieces that are none, all go the other way
+        ids, sizes = units.by_ends(encode, ~final, lambda t: marked.extend(t) or other(t), per_line=7)(texts)
+        assert marked == texts and sizes.tolist() == [len(x) for x in each] and ids.tolist() == [i for x in each for i in x]
+
+
+def test_words_that_come_again_are_encoded_once():
+    _, _, other = library_encoders()
+    seen = []
+    lookup = units.Lookup(lambda texts: seen.extend(texts) or other(texts), limit=60)
+    for k in range(12):
+        texts = ["the common words " + " ".join(f"rare{chr(97 + k)}{chr(97 + i)}" for i in range(20)), "", "Common é É"]
+        ids, begin = lookup.ids(units.words(pa.array(texts)))
+        assert [ids[a:b].tolist() for a, b in zip(begin[:-1], begin[1:])] == library_ids(texts)
+        assert len(lookup.names) <= 60 + 25
+    assert [seen.count(w) for w in ("the", "words", "é", "É")] == [1] * 4 and len(seen) == len(set(seen)) == 5 + 12 * 20
+    lookup.ids(units.words(pa.array(["rareaa the"])))
+    assert seen[-1] == "rareaa" and seen.count("the") == 1  # what did not come again was forgotten
+
+
+def test_tasks_of_a_job_share_a_workers_words():
+    with open(WORD_FILE, encoding="utf-8") as file:
+        content = file.read()
+    first = bitpack.shared_lookup("a job", content)
+    first.ids(units.words(pa.array(["some words"])))
+    assert bitpack.shared_lookup("a job", content) is first and len(first.names) == 2
+    assert len(bitpack.shared_lookup("another", content).names) == 0
+
+
+def test_names_of_words_fold_case_of_plain_ones_only():
+    texts = ["Word word WORD É é Éa ÉA éa <A <a A. a. a", "", "\tword\x0b\x0cA,\u00a0a"]
+    spans = units.words(pa.array(texts))
+    found = spans.texts(np.arange(len(spans.start)))
+    assert found == ["Word", "word", "WORD", "É", "é", "Éa", "ÉA", "éa", "<A", "<a", "A", ".", "a", ".", "a", "word", "A,\u00a0a"]
+    as_named = [t.lower() if t.isascii() and "<" not in t else t + "!" for t in found]
+    assert len(set(spans.name.tolist())) == len(set(as_named)) == len(set(zip(as_named, spans.name.tolist())))
+
+
 def test_parts_ascend_with_ids():
     r = np.random.default_rng(7)
     doc = np.sort(r.integers(-2**62, 2**62, 5000))
